@@ -14,13 +14,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetframe.functions.calendar import daynum_minute
+from fleetframe.functions.exact import rounded_mean_of, stddev_of, unit_aggs
 from fleetframe.operators.cleaning import clean_telemetry
 from fleetframe.operators.joins import sized_for_broadcast
 from fleetframe.operators.quality import STRICT_RULES, expect_or_drop, rule_metrics
 from fleetframe.operators.trips import build_trips, ev_trip_aggregates, trip_measures
 from fleetframe.operators.vehicles import ev_vehicles, vehicle_signals
-from fleetframe.schema import SAMPLE_COLUMNS, SILVER_COLUMNS, TRIP_KEYS
-from fleetframe.sources.testbed import telemetry
+from fleetframe.operators import aggregates, features, history
+from fleetframe.schema import (
+    BATTERY_COLUMNS, CATEGORY_COLUMNS, COMPLEXITY_COLUMNS, INTERACTION_COLUMNS, RATIO_COLUMNS,
+    ROUTE_HISTORY_COLUMNS, ROUTE_KEYS, SAMPLE_COLUMNS, SILVER_COLUMNS, TIME_COLUMNS, TRIP_KEYS,
+    VEHICLE_HISTORY_COLUMNS,
+)
+from fleetframe.session import materialize
+from fleetframe.sources.testbed import read_table, telemetry
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -141,3 +148,122 @@ def quality_metrics(spark, sf_dir):
 @query
 def silver_trips(spark, sf_dir):
     return silver(spark, sf_dir).select(*[c for c in SILVER_COLUMNS if c != "processing_timestamp"])
+
+
+# --- gold summaries ------------------------------------------------------------
+
+def _round_cols(df: DataFrame, names, scale: int = 4) -> DataFrame:
+    """Round unrounded floating aggregates for cross-engine comparison."""
+    return df.withColumns({n: F.round(n, scale) for n in names})
+
+
+@query
+def vehicle_daily_stats(spark, sf_dir):
+    out = aggregates.vehicle_daily_stats(silver(spark, sf_dir)).drop("processing_timestamp")
+    return _round_cols(out, ["total_duration_minutes", "stddev_distance_km", "avg_elevation_gain_m"])
+
+
+@query
+def route_patterns(spark, sf_dir):
+    out = aggregates.route_patterns(silver(spark, sf_dir)).drop("processing_timestamp")
+    return _round_cols(out, ["avg_duration_minutes", "avg_elevation_gain_m", "stddev_energy"])
+
+
+@query
+def temporal_patterns(spark, sf_dir):
+    out = aggregates.temporal_patterns(silver(spark, sf_dir)).drop("processing_timestamp")
+    return _round_cols(out, ["avg_speed_kmh", "stddev_energy"])
+
+
+# --- history and features ----------------------------------------------------------
+
+@query
+def vehicle_history_30(spark, sf_dir):
+    return features.vehicle_history(silver(spark, sf_dir)).select(*TRIP_KEYS, *VEHICLE_HISTORY_COLUMNS)
+
+
+@query
+def route_history_10(spark, sf_dir):
+    keyed = aggregates.with_route_key(silver(spark, sf_dir))
+    return features.route_history(keyed).select(*TRIP_KEYS, *ROUTE_KEYS, *ROUTE_HISTORY_COLUMNS)
+
+
+@query
+def fleet_comparison(spark, sf_dir):
+    hist = materialize(features.vehicle_history(silver(spark, sf_dir)), "vehicle-history")
+    return features.with_fleet_comparison(hist).select(
+        *TRIP_KEYS, "vehicle_avg_efficiency_last30", "vehicle_efficiency_vs_fleet")
+
+
+def _engineered(spark, sf_dir, columns):
+    return features.engineered(aggregates.with_route_key(silver(spark, sf_dir))).select(*TRIP_KEYS, *columns)
+
+
+@query
+def interaction_features(spark, sf_dir):
+    return _engineered(spark, sf_dir, INTERACTION_COLUMNS)
+
+
+@query
+def ratio_features(spark, sf_dir):
+    return _engineered(spark, sf_dir, RATIO_COLUMNS)
+
+
+@query
+def battery_features(spark, sf_dir):
+    return _engineered(spark, sf_dir, BATTERY_COLUMNS)
+
+
+@query
+def complexity_features(spark, sf_dir):
+    return _engineered(spark, sf_dir, COMPLEXITY_COLUMNS)
+
+
+@query
+def time_features(spark, sf_dir):
+    return _engineered(spark, sf_dir, ["trip_hour", "trip_dayofweek", *TIME_COLUMNS])
+
+
+@query
+def category_features(spark, sf_dir):
+    return _engineered(spark, sf_dir, ["distance_km", "avg_speed_kmh", *CATEGORY_COLUMNS])
+
+
+def feature_rows(spark, sf_dir):
+    return features.build_features(silver(spark, sf_dir))
+
+
+@query
+def feature_table(spark, sf_dir):
+    return feature_rows(spark, sf_dir).drop("feature_timestamp")
+
+
+@query
+def key_check(spark, sf_dir):
+    """Declared key constraints of the feature table: expect zero violations."""
+    per_key = feature_rows(spark, sf_dir).groupBy(*TRIP_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0).cast("long")).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("VehId").isNull(), F.col("n"))), F.lit(0).cast("long")).alias("null_vehid"),
+        F.coalesce(F.sum(F.when(F.col("Trip").isNull(), F.col("n"))), F.lit(0).cast("long")).alias("null_trip"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0).cast("long")).alias("duplicate_keys"),
+    )
+
+
+# --- the same history operator on another table --------------------------------------
+
+@query
+def priority_order_history(spark, sf_dir):
+    """Previous 30 orders of the same priority (by date, then key): count, mean
+    and sample deviation of their total price.  Five priorities over all orders:
+    every key is hot, which is what the chunked operator is for."""
+    orders = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+    price = unit_aggs("o_totalprice", 2, squares=True)  # prices are in cents
+    out = history.trailing_aggregates(
+        orders, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], 30,
+        {"prev_order_count": F.count("o_orderkey"), **{f"_p{k}": v for k, v in price.items()}})
+    s, n, q = F.col("_ps"), F.col("_pn"), F.col("_pq")
+    return out.select("o_orderkey", "o_orderpriority", "o_orderdate", "prev_order_count",
+                      rounded_mean_of(s, n, 2, 2).alias("prev_avg_totalprice"),
+                      F.round(stddev_of(s, q, n, 2), 2).alias("prev_stddev_totalprice"))

@@ -38,6 +38,37 @@ def clean(expr: str) -> str:
 
 HOUR_ANGLE = repr(2 * math.pi / 24)
 
+
+# Exact arithmetic on fixed-scale values: integer units, exact sums, HALF_UP
+# rounding in integers.  ``over`` is an optional window clause (" OVER w").
+def _u(x: str, s: int) -> str:
+    return f"CAST(round(({x}) * {10 ** s}) AS BIGINT)"
+
+
+def x_sum(x: str, s: int, over: str = "") -> str:
+    return f"(CAST(sum({_u(x, s)}){over} AS DOUBLE) / CAST({10 ** s} AS DOUBLE))"
+
+
+def x_mean(x: str, s: int, over: str = "") -> str:
+    n = f"count({_u(x, s)}){over}"
+    return (f"(CASE WHEN {n} > 0 THEN CAST(sum({_u(x, s)}){over} AS DOUBLE)"
+            f" / CAST({n} * {10 ** s} AS DOUBLE) END)")
+
+
+def x_rmean(x: str, s: int, k: int, over: str = "") -> str:
+    S, n = f"sum({_u(x, s)}){over}", f"count({_u(x, s)}){over}"
+    d = f"({n} * {10 ** s})"
+    q = f"((abs({S}) * {2 * 10 ** k} + {d}) // (2 * {d}))"
+    return (f"(CASE WHEN {n} > 0 THEN CAST(CASE WHEN {S} < 0 THEN -{q} ELSE {q} END AS DOUBLE)"
+            f" / CAST({10 ** k} AS DOUBLE) END)")
+
+
+def x_sd(x: str, s: int, over: str = "") -> str:
+    U = _u(x, s)
+    S, n, Q = f"sum({U}){over}", f"count({U}){over}", f"sum(CAST({U} AS HUGEINT) * {U}){over}"
+    return (f"(CASE WHEN {n} > 1 THEN sqrt(CAST({n} * {Q} - {S} * {S} AS DOUBLE)"
+            f" / (CAST({n} AS DOUBLE) * CAST({n} - 1 AS DOUBLE))) / CAST({10 ** s} AS DOUBLE) END)")
+
 # ---------------------------------------------------------------------------
 # Base chain: events -> raw telemetry -> clean samples -> vehicles -> trips.
 # ---------------------------------------------------------------------------
@@ -185,6 +216,80 @@ STRICT = ("trip_count > 0 AND duration_seconds > 0 AND distance_km > 0 AND total
           " AND start_timestamp_ms IS NOT NULL")
 
 
+CTE_FEATURES = f"""
+feat_base AS (
+  SELECT *, {rnd('origin_lat', 2)} AS origin_lat_rounded, {rnd('origin_lon', 2)} AS origin_lon_rounded,
+    {rnd('destination_lat', 2)} AS dest_lat_rounded, {rnd('destination_lon', 2)} AS dest_lon_rounded
+  FROM silver
+),
+feat_hist AS (
+  SELECT *,
+    {x_rmean('efficiency_km_per_energy', 4, 4, ' OVER wv')} AS vehicle_avg_efficiency_last30,
+    {x_rmean('total_energy_consumption', 2, 2, ' OVER wv')} AS vehicle_avg_energy_last30,
+    {rnd(x_sd('total_energy_consumption', 2, ' OVER wv'), 2)} AS vehicle_stddev_energy_last30,
+    {x_rmean('distance_km', 2, 2, ' OVER wv')} AS vehicle_avg_distance_last30,
+    count("Trip") OVER wv AS vehicle_trip_count_last30,
+    {x_rmean('total_energy_consumption', 2, 2, ' OVER wr')} AS route_avg_energy_last10,
+    {x_rmean('duration_minutes', 2, 2, ' OVER wr')} AS route_avg_duration_last10,
+    {x_rmean('avg_speed_kmh', 2, 2, ' OVER wr')} AS route_avg_speed_last10,
+    count("Trip") OVER wr AS route_trip_count
+  FROM feat_base
+  WINDOW wv AS (PARTITION BY "VehId" ORDER BY "DayNum", "Trip"
+                ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING),
+         wr AS (PARTITION BY origin_lat_rounded, origin_lon_rounded, dest_lat_rounded, dest_lon_rounded
+                ORDER BY "DayNum", "VehId", "Trip" ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)
+),
+feat_eng AS (
+  SELECT *,
+    {rnd('distance_km * elevation_gain_m', 2)} AS distance_elevation_interaction,
+    {rnd('pow(avg_speed_kmh, 2)', 2)} AS speed_squared,
+    {guarded('pow(avg_speed_kmh, 2)', 'distance_km', 2)} AS speed_per_distance,
+    {guarded('duration_minutes', 'distance_km', 4)} AS duration_per_distance,
+    {rnd('max_speed_kmh - avg_speed_kmh', 2)} AS speed_variability,
+    {guarded('elevation_gain_m', 'distance_km', 4)} AS elevation_gradient,
+    {guarded('distance_km * 60', 'duration_minutes', 2)} AS actual_speed_efficiency,
+    {guarded('avg_speed_kmh', 'max_speed_kmh', 4)} AS speed_efficiency_ratio,
+    {rnd('max_battery_soc - min_battery_soc', 2)} AS battery_soc_range,
+    {guarded('max_battery_soc - min_battery_soc', 'duration_minutes', 4)} AS battery_usage_rate,
+    {guarded('total_energy_consumption', 'distance_km', 4)} AS energy_per_km,
+    {guarded('elevation_gain_m', 'duration_minutes', 4)} AS elevation_per_minute,
+    CAST(CASE WHEN trip_hour BETWEEN 7 AND 9 OR trip_hour BETWEEN 17 AND 19 THEN 1 ELSE 0 END AS INTEGER) AS is_rush_hour,
+    CAST(CASE WHEN trip_dayofweek IN (1, 7) THEN 1 ELSE 0 END AS INTEGER) AS is_weekend,
+    {rnd(f'sin(trip_hour * CAST({HOUR_ANGLE} AS DOUBLE))', 4)} AS hour_sin,
+    {rnd(f'cos(trip_hour * CAST({HOUR_ANGLE} AS DOUBLE))', 4)} AS hour_cos,
+    CAST(CASE WHEN distance_km <= 5 THEN 0 WHEN distance_km <= 15 THEN 1 WHEN distance_km <= 30 THEN 2
+              ELSE 3 END AS DOUBLE) AS distance_category,
+    CAST(CASE WHEN avg_speed_kmh <= 30 THEN 0 WHEN avg_speed_kmh <= 60 THEN 1 ELSE 2 END AS DOUBLE) AS speed_category
+  FROM feat_hist
+),
+feat_all AS (
+  SELECT *,
+    {rnd('speed_variability / CAST(10.0 AS DOUBLE) + elevation_gradient * 100', 2)} AS trip_complexity_score,
+    {rnd(f"vehicle_avg_efficiency_last30 - (SELECT {x_mean('vehicle_avg_efficiency_last30', 4)} FROM feat_hist)", 4)}
+      AS vehicle_efficiency_vs_fleet
+  FROM feat_eng
+)"""
+
+FEATURE_SELECT = """"DayNum", "VehId", "Trip", trip_date, start_timestamp_ms,
+  total_energy_consumption AS target_energy_consumption,
+  distance_km, duration_minutes, avg_speed_kmh, max_speed_kmh,
+  avg_battery_soc, min_battery_soc, max_battery_soc, avg_elevation_m, elevation_gain_m,
+  origin_lat_rounded, origin_lon_rounded, dest_lat_rounded, dest_lon_rounded,
+  trip_year, trip_month, trip_dayofweek, trip_hour,
+  vehicle_avg_efficiency_last30, vehicle_avg_energy_last30, vehicle_stddev_energy_last30,
+  vehicle_avg_distance_last30, vehicle_trip_count_last30,
+  route_avg_energy_last10, route_avg_duration_last10, route_avg_speed_last10, route_trip_count,
+  distance_elevation_interaction, speed_squared, speed_per_distance, duration_per_distance,
+  speed_variability, elevation_gradient, actual_speed_efficiency, speed_efficiency_ratio,
+  battery_soc_range, battery_usage_rate, energy_per_km, elevation_per_minute,
+  trip_complexity_score, is_rush_hour, is_weekend, hour_sin, hour_cos,
+  distance_category, speed_category, vehicle_efficiency_vs_fleet"""
+
+FEATURE_FILTER = """vehicle_trip_count_last30 >= 5 AND vehicle_avg_efficiency_last30 IS NOT NULL
+  AND vehicle_avg_energy_last30 IS NOT NULL AND vehicle_stddev_energy_last30 IS NOT NULL
+  AND route_trip_count >= 1"""
+
+
 def with_(ctes: list[str], body: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + body
 
@@ -233,4 +338,81 @@ def queries() -> dict[str, str]:
             count(*) - CAST(count_if(coalesce({cond}, false)) AS BIGINT) AS rows_failed FROM trips_all"""
         for name, cond in rules))
     q["silver_trips"] = _base(f"SELECT {SILVER_COLS} FROM silver")
+
+    q["vehicle_daily_stats"] = _base(f"""SELECT "VehId", trip_date,
+        count("Trip") AS total_trips,
+        {x_sum('distance_km', 2)} AS total_distance_km,
+        {x_sum('total_energy_consumption', 2)} AS total_energy_consumption,
+        {rnd(x_sum('duration_minutes', 2), 4)} AS total_duration_minutes,
+        {x_rmean('efficiency_km_per_energy', 4, 4)} AS avg_efficiency,
+        {x_rmean('avg_speed_kmh', 2, 2)} AS avg_speed_kmh,
+        {x_rmean('avg_battery_soc', 2, 2)} AS avg_battery_soc,
+        max(distance_km) AS max_trip_distance_km, min(distance_km) AS min_trip_distance_km,
+        {rnd(x_sd('distance_km', 2), 4)} AS stddev_distance_km,
+        max(max_speed_kmh) AS max_speed_observed,
+        {rnd(x_mean('elevation_gain_m', 2), 4)} AS avg_elevation_gain_m
+      FROM silver GROUP BY "VehId", trip_date""")
+    q["route_patterns"] = _base(f"""SELECT origin_lat_rounded, origin_lon_rounded,
+        dest_lat_rounded, dest_lon_rounded,
+        count("Trip") AS trip_count,
+        {x_rmean('distance_km', 2, 2)} AS avg_distance_km,
+        {x_rmean('total_energy_consumption', 2, 2)} AS avg_energy_consumption,
+        {rnd(x_mean('duration_minutes', 2), 4)} AS avg_duration_minutes,
+        {x_rmean('efficiency_km_per_energy', 4, 4)} AS avg_efficiency,
+        {x_rmean('avg_speed_kmh', 2, 2)} AS avg_speed_kmh,
+        {rnd(x_mean('elevation_gain_m', 2), 4)} AS avg_elevation_gain_m,
+        {rnd(x_sd('total_energy_consumption', 2), 4)} AS stddev_energy,
+        count(DISTINCT "VehId") AS unique_vehicles
+      FROM (SELECT *, {rnd('origin_lat', 2)} AS origin_lat_rounded,
+                      {rnd('origin_lon', 2)} AS origin_lon_rounded,
+                      {rnd('destination_lat', 2)} AS dest_lat_rounded,
+                      {rnd('destination_lon', 2)} AS dest_lon_rounded FROM silver)
+      GROUP BY origin_lat_rounded, origin_lon_rounded, dest_lat_rounded, dest_lon_rounded
+      HAVING count("Trip") >= 3""")
+    q["temporal_patterns"] = _base(f"""SELECT trip_dayofweek, trip_hour,
+        count("Trip") AS trip_count,
+        {x_rmean('distance_km', 2, 2)} AS avg_distance_km,
+        {x_rmean('total_energy_consumption', 2, 2)} AS avg_energy_consumption,
+        {rnd(x_mean('avg_speed_kmh', 2), 4)} AS avg_speed_kmh,
+        {x_rmean('efficiency_km_per_energy', 4, 4)} AS avg_efficiency,
+        {rnd(x_sd('total_energy_consumption', 2), 4)} AS stddev_energy
+      FROM silver GROUP BY trip_dayofweek, trip_hour""")
+
+    def feat(body: str) -> str:
+        return with_(BASE + [CTE_FEATURES], body)
+
+    q["vehicle_history_30"] = feat(f"""SELECT {KEYS}, vehicle_avg_efficiency_last30,
+        vehicle_avg_energy_last30, vehicle_stddev_energy_last30, vehicle_avg_distance_last30,
+        vehicle_trip_count_last30 FROM feat_hist""")
+    q["route_history_10"] = feat(f"""SELECT {KEYS}, origin_lat_rounded, origin_lon_rounded,
+        dest_lat_rounded, dest_lon_rounded, route_avg_energy_last10, route_avg_duration_last10,
+        route_avg_speed_last10, route_trip_count FROM feat_hist""")
+    q["fleet_comparison"] = feat(f"""SELECT {KEYS}, vehicle_avg_efficiency_last30,
+        vehicle_efficiency_vs_fleet FROM feat_all""")
+    q["interaction_features"] = feat(f"""SELECT {KEYS}, distance_elevation_interaction,
+        speed_squared, speed_per_distance, duration_per_distance, speed_variability FROM feat_all""")
+    q["ratio_features"] = feat(f"""SELECT {KEYS}, elevation_gradient, actual_speed_efficiency,
+        speed_efficiency_ratio FROM feat_all""")
+    q["battery_features"] = feat(f"""SELECT {KEYS}, battery_soc_range, battery_usage_rate,
+        energy_per_km FROM feat_all""")
+    q["complexity_features"] = feat(f"""SELECT {KEYS}, elevation_per_minute,
+        trip_complexity_score FROM feat_all""")
+    q["time_features"] = feat(f"""SELECT {KEYS}, trip_hour, trip_dayofweek, is_rush_hour,
+        is_weekend, hour_sin, hour_cos FROM feat_all""")
+    q["category_features"] = feat(f"""SELECT {KEYS}, distance_km, avg_speed_kmh,
+        distance_category, speed_category FROM feat_all""")
+    q["feature_table"] = feat(f"SELECT {FEATURE_SELECT} FROM feat_all WHERE {FEATURE_FILTER}")
+    q["key_check"] = feat(f"""SELECT
+        CAST(coalesce(sum(n), 0) AS BIGINT) AS rows,
+        CAST(coalesce(sum(CASE WHEN "VehId" IS NULL THEN n END), 0) AS BIGINT) AS null_vehid,
+        CAST(coalesce(sum(CASE WHEN "Trip" IS NULL THEN n END), 0) AS BIGINT) AS null_trip,
+        CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_keys
+      FROM (SELECT {KEYS}, count(*) AS n FROM feat_all WHERE {FEATURE_FILTER} GROUP BY {KEYS})""")
+    q["priority_order_history"] = f"""SELECT o_orderkey, o_orderpriority, o_orderdate,
+        count(o_orderkey) OVER w AS prev_order_count,
+        {x_rmean('o_totalprice', 2, 2, ' OVER w')} AS prev_avg_totalprice,
+        {rnd(x_sd('o_totalprice', 2, ' OVER w'), 2)} AS prev_stddev_totalprice
+      FROM orders
+      WINDOW w AS (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey
+                   ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)"""
     return q
