@@ -26,8 +26,11 @@ from fleetframe.schema import (
     ROUTE_HISTORY_COLUMNS, ROUTE_KEYS, SAMPLE_COLUMNS, SILVER_COLUMNS, TIME_COLUMNS, TRIP_KEYS,
     VEHICLE_HISTORY_COLUMNS,
 )
-from fleetframe.session import materialize
+from fleetframe.schema import RAW_COLUMNS
+from fleetframe.session import materialize, scratch_path
+from fleetframe.sources.csv import read_telemetry_csv, write_csv
 from fleetframe.sources.testbed import read_table, telemetry
+from fleetframe.streaming.ingest import run_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -267,3 +270,40 @@ def priority_order_history(spark, sf_dir):
     return out.select("o_orderkey", "o_orderpriority", "o_orderdate", "prev_order_count",
                       rounded_mean_of(s, n, 2, 2).alias("prev_avg_totalprice"),
                       F.round(stddev_of(s, q, n, 2), 2).alias("prev_stddev_totalprice"))
+
+
+# --- CSV sources: batch (header-aware) and incremental stream -------------------------
+
+def _halves(df: DataFrame, column: str):
+    even = F.coalesce((F.col(column) % 2) == 0, F.lit(True))
+    return df.filter(even), df.filter(~even)
+
+
+@query
+def csv_batch_ingest(spark, sf_dir):
+    """Telemetry written as CSV in two header layouts (one reversed, with an extra
+    column), read back aligned by name and cleaned: equals ``clean_signals``."""
+    raw = telemetry(spark, sf_dir)
+    root = scratch_path(spark, "csv-batch")
+    a, b = _halves(raw, "VehId")
+    write_csv(a, f"{root}/layout_a")
+    reordered = [F.col(f"`{c}`") for c in reversed(RAW_COLUMNS)] + [F.lit("1").alias("Extra Signal")]
+    write_csv(b.select(*reordered), f"{root}/layout_b")
+    return clean_telemetry(read_telemetry_csv(spark, root))
+
+
+@query
+def csv_stream_ingest(spark, sf_dir):
+    """Telemetry CSV arriving in two drops, ingested by two triggered stream runs
+    (a third run finds nothing new), then cleaned: equals ``clean_signals``."""
+    raw = telemetry(spark, sf_dir)
+    root = scratch_path(spark, "csv-stream")
+    source, sink, checkpoint = f"{root}/source", f"{root}/sink", f"{root}/checkpoint"
+    first, second = _halves(raw, "Trip")
+    write_csv(first, f"{source}/drop1")
+    run_ingest(spark, source, sink, checkpoint)
+    write_csv(second, f"{source}/drop2")
+    run_ingest(spark, source, sink, checkpoint)
+    if run_ingest(spark, source, sink, checkpoint) != 0:
+        raise RuntimeError("stream re-run ingested rows twice")
+    return clean_telemetry(spark.read.parquet(sink))

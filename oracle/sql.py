@@ -302,6 +302,8 @@ def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["telemetry_view"] = with_([CTE_TELEMETRY], "SELECT * FROM telemetry")
     q["clean_signals"] = with_([CTE_TELEMETRY, CTE_SAMPLES], "SELECT * FROM samples")
+    q["csv_batch_ingest"] = q["clean_signals"]
+    q["csv_stream_ingest"] = q["clean_signals"]
     q["vehicle_classes"] = with_([CTE_TELEMETRY, CTE_SAMPLES, CTE_VEHICLES], "SELECT * FROM vehicle_signals")
     q["ev_vehicles"] = with_([CTE_TELEMETRY, CTE_SAMPLES, CTE_VEHICLES],
                              'SELECT * FROM ev_vehicles ORDER BY "VehId"')
