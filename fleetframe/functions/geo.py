@@ -15,8 +15,8 @@ ROUTE_GRID_DECIMALS = 2
 def haversine_km(lat1, lon1, lat2, lon2, scale: int = 2) -> Column:
     """Haversine distance in km between two fixes, rounded to ``scale``.
 
-    ``a`` is clamped to [0, 1] so floating error near antipodal points cannot
-    produce sqrt of a negative number.
+    ``a`` is clamped to at most 1 so floating error near antipodal points
+    cannot produce sqrt of a negative number; a missing coordinate gives NULL.
     """
     lat1, lon1, lat2, lon2 = map(_c, (lat1, lon1, lat2, lon2))
     dlat = F.radians(lat2 - lat1)
@@ -24,7 +24,7 @@ def haversine_km(lat1, lon1, lat2, lon2, scale: int = 2) -> Column:
     half_dlat = F.sin(dlat / 2)
     half_dlon = F.sin(dlon / 2)
     a = half_dlat * half_dlat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_dlon * half_dlon
-    a = F.least(F.lit(1.0), a)
+    a = F.when(a > 1.0, F.lit(1.0)).otherwise(a)  # (least() would turn NULL into 1.0)
     c = F.atan2(F.sqrt(a), F.sqrt(F.lit(1.0) - a)) * 2
     return F.round(c * EARTH_RADIUS_KM, scale)
 

@@ -30,9 +30,14 @@ def broadcast_budget_bytes(spark) -> int:
     return value if value > 0 else DEFAULT_BROADCAST_BYTES
 
 
-def sized_for_broadcast(small: DataFrame, row_bytes: int, tag: str) -> tuple[DataFrame, bool]:
-    """(materialized ``small``, whether rows * row_bytes fits the broadcast budget)."""
+def sized_for_broadcast(small: DataFrame, row_bytes: int, tag: str,
+                        written: bool = False) -> tuple[DataFrame, bool]:
+    """(materialized ``small``, whether rows * row_bytes fits the broadcast budget).
+
+    ``written``: ``small`` is already a scan of written files (count is cheap)."""
     spark = small.sparkSession
-    written = materialize(small, tag)
-    rows = written.count()
+    if not written:
+        small = materialize(small, tag)
+    rows = small.count()
+    written = small
     return written, rows * row_bytes <= broadcast_budget_bytes(spark)

@@ -52,7 +52,11 @@ def expect_or_drop(df: DataFrame, rules) -> DataFrame:
 
 def observe_and_drop(df: DataFrame, rules, name: str = "quality") -> tuple[DataFrame, Observation]:
     """Filter by ``rules``; the Observation holds per-rule failure counts after
-    the first action on the returned frame (no extra pass over the data)."""
+    the first action on the returned frame (no extra pass over the data).
+
+    Counts cover every execution of the plan: use it on a plan that runs once
+    (a plain write), not under a range-partitioned write, whose sampling pass
+    executes the input a second time."""
     rules = tuple(rules)
     obs = Observation(name)
     metrics = [F.count(F.lit(1)).alias("rows_in")]

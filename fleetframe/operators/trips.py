@@ -98,11 +98,15 @@ def trip_measures(agg: DataFrame, now: Column | None = None) -> DataFrame:
     return step3.select(*SILVER_COLUMNS)
 
 
-def ev_trip_aggregates(samples: DataFrame, vehicles: DataFrame | None = None) -> DataFrame:
-    """Trip aggregates of battery-electric vehicles only (see module doc)."""
+def ev_trip_aggregates(samples: DataFrame, vehicles: DataFrame | None = None,
+                       vehicles_written: bool = False) -> DataFrame:
+    """Trip aggregates of battery-electric vehicles only (see module doc).
+
+    ``vehicles_written``: ``vehicles`` is a scan of an already written table."""
     if vehicles is None:
-        vehicles = ev_vehicles(samples)
-    keys, fits = sized_for_broadcast(vehicles.select("VehId"), _VEHICLE_ROW_BYTES, "ev-vehicles")
+        vehicles, vehicles_written = ev_vehicles(samples), False
+    keys, fits = sized_for_broadcast(vehicles.select("VehId"), _VEHICLE_ROW_BYTES, "ev-vehicles",
+                                     written=vehicles_written)
     if fits:
         kept = samples.join(F.broadcast(keys), "VehId", "left_semi")
         return trip_aggregates(kept)

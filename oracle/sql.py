@@ -156,7 +156,7 @@ CTE_TRIPS_ALL = f"""
 trip_base AS (
   SELECT *,
     (end_timestamp_ms - start_timestamp_ms) / 1000 AS duration_seconds,
-    least(CAST(1.0 AS DOUBLE), {_A}) AS hav_a,
+    CASE WHEN ({_A}) > 1 THEN CAST(1.0 AS DOUBLE) ELSE ({_A}) END AS hav_a,
     DATE '2017-10-31' + CAST(floor("DayNum") AS INTEGER) AS trip_date,
     CAST(floor(("DayNum" - floor("DayNum")) * 24) AS INTEGER) AS trip_hour,
     CAST(floor((("DayNum" - floor("DayNum")) * 24 - floor(("DayNum" - floor("DayNum")) * 24)) * 60) AS INTEGER) AS trip_minute
