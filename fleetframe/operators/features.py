@@ -16,7 +16,9 @@ from fleetframe.functions.exact import mean_of, rounded_mean_of, stddev_of, unit
 from fleetframe.functions.calendar import hour_cos, hour_sin, is_rush_hour, is_weekend
 from fleetframe.functions.numeric import guarded_ratio
 from fleetframe.operators.aggregates import with_route_key
-from fleetframe.operators.history import plain_trailing_aggregates, trailing_aggregates
+from fleetframe.operators.history import (
+    largest_key_rows, plain_trailing_aggregates, trailing_aggregates,
+)
 from fleetframe.schema import FEATURE_COLUMNS, ROUTE_KEYS
 from fleetframe.session import materialize
 
@@ -30,9 +32,9 @@ VEHICLE_ORDER = ["DayNum", "Trip"]
 ROUTE_ORDER = ["DayNum", "VehId", "Trip"]
 
 
-def _history(df, keys, order, frame, aggs, chunks, skew_safe):
+def _history(df, keys, order, frame, aggs, chunks, skew_safe, largest=None):
     if skew_safe:
-        return trailing_aggregates(df, keys, order, frame, aggs, chunks=chunks)
+        return trailing_aggregates(df, keys, order, frame, aggs, chunks=chunks, largest=largest)
     return plain_trailing_aggregates(df, keys, order, frame, aggs)
 
 
@@ -48,13 +50,14 @@ def _drop_parts(df: DataFrame, *tags: str) -> DataFrame:
     return df.drop(*[c for c in df.columns if any(c.startswith(t + "_") for t in tags)])
 
 
-def vehicle_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool = True) -> DataFrame:
+def vehicle_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool = True,
+                    largest: int | None = None) -> DataFrame:
     """Previous 30 trips of the same vehicle (by day, then trip number)."""
     aggs = {**_frame_aggs("_ve", "efficiency_km_per_energy", 4),
             **_frame_aggs("_vn", "total_energy_consumption", 2, squares=True),
             **_frame_aggs("_vd", "distance_km", 2),
             "vehicle_trip_count_last30": F.count("Trip")}
-    out = _history(trips, ["VehId"], VEHICLE_ORDER, VEHICLE_FRAME, aggs, chunks, skew_safe)
+    out = _history(trips, ["VehId"], VEHICLE_ORDER, VEHICLE_FRAME, aggs, chunks, skew_safe, largest)
     (es, en, _), (ns, nn, nq), (ds, dn, _) = _parts("_ve"), _parts("_vn"), _parts("_vd")
     out = out.withColumns({
         "vehicle_avg_efficiency_last30": rounded_mean_of(es, en, 4, 4),
@@ -65,14 +68,15 @@ def vehicle_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool
     return _drop_parts(out, "_ve", "_vn", "_vd")
 
 
-def route_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool = True) -> DataFrame:
+def route_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool = True,
+                  largest: int | None = None) -> DataFrame:
     """Previous 10 trips on the same rounded route (by day, vehicle, trip).
     Needs the route key columns (``with_route_key``)."""
     aggs = {**_frame_aggs("_rn", "total_energy_consumption", 2),
             **_frame_aggs("_rd", "duration_minutes", 2),
             **_frame_aggs("_rs", "avg_speed_kmh", 2),
             "route_trip_count": F.count("Trip")}
-    out = _history(trips, ROUTE_KEYS, ROUTE_ORDER, ROUTE_FRAME, aggs, chunks, skew_safe)
+    out = _history(trips, ROUTE_KEYS, ROUTE_ORDER, ROUTE_FRAME, aggs, chunks, skew_safe, largest)
     (ns, nn, _), (ds, dn, _), (ss, sn, _) = _parts("_rn"), _parts("_rd"), _parts("_rs")
     out = out.withColumns({
         "route_avg_energy_last10": rounded_mean_of(ns, nn, 2, 2),
@@ -143,9 +147,15 @@ def engineered(df: DataFrame) -> DataFrame:
 
 
 def history_stage(trips: DataFrame, chunks: int | None = None, skew_safe: bool = True) -> DataFrame:
-    """Route key, vehicle and route history, engineered columns (all trips)."""
+    """Route key, vehicle and route history, engineered columns (all trips).
+
+    ``trips`` should be a scan of written data: key sizes are measured on it
+    (two small aggregates) before the windows are planned."""
     keyed = with_route_key(trips)
-    return engineered(route_history(vehicle_history(keyed, chunks, skew_safe), chunks, skew_safe))
+    v_largest = largest_key_rows(keyed, ["VehId"]) if skew_safe else None
+    r_largest = largest_key_rows(keyed, ROUTE_KEYS) if skew_safe else None
+    vehicles = vehicle_history(keyed, chunks, skew_safe, v_largest)
+    return engineered(route_history(vehicles, chunks, skew_safe, r_largest))
 
 
 def with_fleet_comparison(hist: DataFrame) -> DataFrame:
@@ -166,8 +176,13 @@ def training_rows() -> Column:
 
 
 def build_features(trips: DataFrame, now: Column | None = None, chunks: int | None = None,
-                   skew_safe: bool = True) -> DataFrame:
-    """The ML feature table: 53 columns, trips with enough history only."""
+                   skew_safe: bool = True, trips_written: bool = False) -> DataFrame:
+    """The ML feature table: 53 columns, trips with enough history only.
+
+    ``trips_written``: ``trips`` is already a scan of a written table; otherwise
+    it is written once first, so that measuring and windowing read files."""
+    if not trips_written:
+        trips = materialize(trips, "feature-trips")
     hist = materialize(history_stage(trips, chunks, skew_safe), "history")
     out = with_fleet_comparison(hist).withColumns({
         "target_energy_consumption": F.col("total_energy_consumption"),

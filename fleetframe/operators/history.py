@@ -19,16 +19,26 @@ work per task:
 
 Work per task is bounded by the chunk size plus ``N`` rows.  Frames use a
 total order: ``order_by`` must be unique within ``partition_by``.
+
+``trailing_aggregates`` first measures the largest key (one aggregate pass,
+combined map-side).  When no key exceeds ``max_key_rows`` (session conf
+``fleetframe.history.maxKeyRows``) the plain window is already bounded per
+task and is used as is (one shuffle); otherwise the chunked plan runs.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetframe.session import materialize
 
+# Rows of one key that a single window task may hold before the key is split.
+MAX_KEY_ROWS_CONF = "fleetframe.history.maxKeyRows"
+DEFAULT_MAX_KEY_ROWS = 5_000_000
+
 _CHUNK, _ROW, _N, _LAST = "_tw_chunk", "_tw_row", "_tw_n", "_tw_last"
 _TARGET, _HALO = "_tw_target", "_tw_halo"
 
@@ -73,20 +83,48 @@ def halo_plan(counts: DataFrame, partition_by, frame: int) -> DataFrame:
             .filter(F.col("take") > 0))
 
 
+def max_key_rows(spark) -> int:
+    return int(spark.conf.get(MAX_KEY_ROWS_CONF, str(DEFAULT_MAX_KEY_ROWS)))
+
+
+def largest_key_rows(df: DataFrame, partition_by) -> int:
+    """Row count of the most frequent key (NULL keys count as one key)."""
+    counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.agg(F.max("_rows")).first()[0] or 0
+
+
 def trailing_aggregates(df: DataFrame, partition_by, order_by, frame: int,
-                        aggregates: dict[str, Column], chunks: int | None = None) -> DataFrame:
+                        aggregates: dict[str, Column], chunks: int | None = None,
+                        largest: int | None = None) -> DataFrame:
     """Add ``aggregates`` evaluated over the previous ``frame`` rows of each key.
 
     ``aggregates`` maps output names to aggregate expressions (``F.avg(...)``,
     ``F.count(...)``, ...) that are applied ``.over`` the trailing frame.
+    ``largest``: the most frequent key's row count, if the caller measured it.
     """
+    if largest is None:
+        largest = largest_key_rows(df, partition_by)
+    if largest <= max_key_rows(df.sparkSession):
+        return plain_trailing_aggregates(df, partition_by, order_by, frame, aggregates)
+    return chunked_trailing_aggregates(df, partition_by, order_by, frame, aggregates, chunks)
+
+
+def chunked_trailing_aggregates(df: DataFrame, partition_by, order_by, frame: int,
+                                aggregates: dict[str, Column], chunks: int | None = None) -> DataFrame:
+    """The split-key plan (module doc, steps 1-4), whatever the key sizes."""
     partition_by, order_by = list(partition_by), list(order_by)
     chunks = chunks or _default_chunks(df)
     cols = df.columns
-    keyed = (df.repartitionByRange(chunks, *partition_by, *order_by)
-             .sortWithinPartitions(*partition_by, *order_by)
-             .withColumns({_CHUNK: F.spark_partition_id(), _ROW: F.monotonically_increasing_id()}))
-    keyed = materialize(keyed, "trailing")
+    # The range exchange samples its input before shuffling it; keep the input
+    # for those two passes only (a lost block is recomputed from lineage).
+    source = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        keyed = (source.repartitionByRange(chunks, *partition_by, *order_by)
+                 .sortWithinPartitions(*partition_by, *order_by)
+                 .withColumns({_CHUNK: F.spark_partition_id(), _ROW: F.monotonically_increasing_id()}))
+        keyed = materialize(keyed, "trailing")
+    finally:
+        source.unpersist()
 
     counts = keyed.groupBy(*partition_by, _CHUNK).agg(
         F.count(F.lit(1)).alias(_N), F.max(_ROW).alias(_LAST))

@@ -72,7 +72,7 @@ def build_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
 
 def build_ml_features(spark: SparkSession, cfg: PipelineConfig) -> None:
     silver = read_table(spark, cfg.root, "silver_ev_trips")
-    features = build_features(silver, cfg.clock(), chunks=cfg.chunks)
+    features = build_features(silver, cfg.clock(), chunks=cfg.chunks, trips_written=True)
     write_table(features, cfg.root, "ml_features_energy_prediction")
     require(read_table(spark, cfg.root, "ml_features_energy_prediction"), FEATURE_KEY_RULES)
 

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetframe.functions.exact import rounded_mean_of, unit_aggs
-from fleetframe.operators.history import plain_trailing_aggregates, trailing_aggregates
+from fleetframe.operators.history import (
+    MAX_KEY_ROWS_CONF, chunked_trailing_aggregates, plain_trailing_aggregates, trailing_aggregates,
+)
 
 
 def data(spark, n=3000):
@@ -26,7 +28,7 @@ def aggs():
 def test_chunked_equals_plain(spark, chunks, frame):
     df = data(spark)
     plain = plain_trailing_aggregates(df, ["k"], ["o"], frame, aggs())
-    chunked = trailing_aggregates(df, ["k"], ["o"], frame, aggs(), chunks=chunks)
+    chunked = chunked_trailing_aggregates(df, ["k"], ["o"], frame, aggs(), chunks=chunks)
     assert chunked.columns == plain.columns
     a, b = rows_of(plain), rows_of(chunked)
     assert len(a) == len(b) == 3000
@@ -36,7 +38,7 @@ def test_chunked_equals_plain(spark, chunks, frame):
 def test_multi_column_key_and_order(spark):
     df = data(spark).withColumn("k2", F.col("k") % 2).withColumn("o2", F.col("o") % 5)
     plain = plain_trailing_aggregates(df, ["k", "k2"], ["o2", "o"], 10, aggs())
-    chunked = trailing_aggregates(df, ["k", "k2"], ["o2", "o"], 10, aggs(), chunks=9)
+    chunked = chunked_trailing_aggregates(df, ["k", "k2"], ["o2", "o"], 10, aggs(), chunks=9)
     assert rows_of(plain) == rows_of(chunked)
 
 
@@ -44,7 +46,7 @@ def test_frame_cap_and_current_row_excluded(spark):
     energies = [float(i) for i in range(1, 35)] + [1e9]
     df = spark.createDataFrame([(1, i, e) for i, e in enumerate(energies)], "v long, t long, e double")
     p = unit_aggs("e", 2)
-    out = trailing_aggregates(df, ["v"], ["t"], 30, {"n": F.count("e"), **p}, chunks=4)
+    out = chunked_trailing_aggregates(df, ["v"], ["t"], 30, {"n": F.count("e"), **p}, chunks=4)
     rows = {r["t"]: r for r in out.select(
         "t", "n", rounded_mean_of(F.col("s"), F.col("n"), 2, 2).alias("m")).collect()}
     assert rows[0]["n"] == 0 and rows[0]["m"] is None
@@ -64,3 +66,17 @@ def test_halo_bounded(spark):
     counts = keyed.groupBy("k", h._CHUNK).agg(F.count(F.lit(1)).alias(h._N), F.max(h._ROW).alias(h._LAST))
     plan = h.halo_plan(counts, ["k"], 30)
     assert plan.agg(F.sum("take")).first()[0] <= 8 * 30
+
+
+def test_split_only_when_a_key_is_hot(spark):
+    from fleetframe.plans.inspect import plan_text
+    df = data(spark)
+    plain_plan = plan_text(trailing_aggregates(df, ["k"], ["o"], 5, aggs()))
+    assert "_tw_target" not in plain_plan            # largest key (1000 rows) is small
+    spark.conf.set(MAX_KEY_ROWS_CONF, "500")
+    try:
+        split = trailing_aggregates(df, ["k"], ["o"], 5, aggs(), chunks=6)
+        assert "_tw_target" in plan_text(split)
+        assert rows_of(split) == rows_of(plain_trailing_aggregates(df, ["k"], ["o"], 5, aggs()))
+    finally:
+        spark.conf.unset(MAX_KEY_ROWS_CONF)

@@ -31,3 +31,15 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert "distance_km" in df.columns
+
+
+@pytest.mark.parametrize("name", ["vehicle_history_30", "route_history_10", "feature_table",
+                                  "priority_order_history"])
+def test_split_key_plan_matches_oracle(spark, name):
+    """Force the chunked (hot key) history plan and compare with the oracle."""
+    spark.conf.set("fleetframe.history.maxKeyRows", "20")
+    try:
+        r = compare(spark, name, QUERIES[name], SQL[name], SF_SMALL, duck_connection(SF_SMALL))
+    finally:
+        spark.conf.unset("fleetframe.history.maxKeyRows")
+    assert r["match"], r

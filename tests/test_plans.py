@@ -24,13 +24,21 @@ def test_scan_prunes_columns(spark):
 
 
 def test_features_never_funnel_rows_into_one_task(spark):
-    feats = build_features(silver(spark, SF_TINY), chunks=4)
-    assert not rows_to_one_task(feats)
+    spark.conf.set("fleetframe.history.maxKeyRows", "10")
+    try:
+        feats = build_features(silver(spark, SF_TINY), chunks=4)
+        assert not rows_to_one_task(feats)
+    finally:
+        spark.conf.unset("fleetframe.history.maxKeyRows")
 
 
 def test_history_window_is_split_by_chunk(spark):
-    df = REGISTRY["priority_order_history"](spark, SF_TINY)
-    text = plan_text(df)
+    spark.conf.set("fleetframe.history.maxKeyRows", "10")   # every priority is "hot"
+    try:
+        df = REGISTRY["priority_order_history"](spark, SF_TINY)
+        text = plan_text(df)
+    finally:
+        spark.conf.unset("fleetframe.history.maxKeyRows")
     window_lines = [l for l in text.splitlines() if "Window [" in l]
     data_windows = [l for l in window_lines if "collect_list" not in l]
     # the row windows are keyed by (priority, chunk); the only other window runs
