@@ -10,9 +10,9 @@ Plan shape, chosen for large inputs:
 * otherwise the trip aggregate runs first (one partial row per trip and task
   is shuffled) and the much smaller trip rows are joined to the list with a
   shuffle join (adaptive execution splits a skewed vehicle);
-* every aggregate is algebraic (min/max/sum/count/avg and a min/max of a
-  struct for the first/last fix), so a trip with a third of all samples is
-  still pre-aggregated in every task before the shuffle.
+* every aggregate is algebraic with fixed-width buffers (min/max/sum/count/
+  avg, min_by/max_by on a numeric key), so Spark plans hash aggregation and a
+  trip with a third of all samples is still pre-aggregated in every task.
 """
 
 from __future__ import annotations
@@ -31,19 +31,36 @@ from fleetframe.schema import SILVER_COLUMNS, TRIP_KEYS
 
 # Bytes per row of the broadcast vehicle list (one long key plus row overhead).
 _VEHICLE_ROW_BYTES = 32
+# Range of the position hash that orders fixes taken in the same millisecond.
+_TIE_RANGE = 1 << 32
+
+
+def fix_order() -> Column:
+    """Order of GPS fixes within a trip: time, then a hash of the position.
+
+    A primitive (decimal) key keeps the trip aggregate a hash aggregate (a
+    min/max over a struct would force a sort of every sample).  The four
+    ``min_by``/``max_by`` aggregates compare the same key over the same rows,
+    so latitude and longitude always come from one sample; samples at the same
+    millisecond are ordered by the position hash, the same way on every run.
+    NULL time -> NULL key -> never picked.
+    """
+    ts = F.col("ts_ms").cast("decimal(38,0)")
+    tie = F.pmod(F.xxhash64("lat", "lon"), F.lit(_TIE_RANGE))
+    return ts * F.lit(_TIE_RANGE) + tie
 
 
 def trip_aggregates(samples: DataFrame) -> DataFrame:
     """Per-trip raw aggregates of canonical samples (nothing rounded yet)."""
     ts = F.col("ts_ms")
-    fix = F.when(ts.isNotNull(), F.struct(ts.alias("t"), F.col("lat").alias("lat"), F.col("lon").alias("lon")))
+    order = fix_order()
     return (samples.groupBy(*TRIP_KEYS).agg(
         F.min(ts).alias("start_timestamp_ms"),
         F.max(ts).alias("end_timestamp_ms"),
-        # first / last fix by time; ties resolved the same way on every run,
-        # latitude and longitude always from the same sample.
-        F.min(fix).alias("_first"),
-        F.max(fix).alias("_last"),
+        F.min_by("lat", order).alias("origin_lat"),
+        F.min_by("lon", order).alias("origin_lon"),
+        F.max_by("lat", order).alias("destination_lat"),
+        F.max_by("lon", order).alias("destination_lon"),
         F.sum("energy").alias("total_energy_consumption"),
         F.avg("battery_soc_pct").alias("avg_battery_soc"),
         F.min("battery_soc_pct").alias("min_battery_soc"),
@@ -57,8 +74,7 @@ def trip_aggregates(samples: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("trip_count"),
     ).select(
         *TRIP_KEYS, "start_timestamp_ms", "end_timestamp_ms",
-        F.col("_first.lat").alias("origin_lat"), F.col("_first.lon").alias("origin_lon"),
-        F.col("_last.lat").alias("destination_lat"), F.col("_last.lon").alias("destination_lon"),
+        "origin_lat", "origin_lon", "destination_lat", "destination_lon",
         "total_energy_consumption", "avg_battery_soc", "min_battery_soc", "max_battery_soc",
         "avg_battery_voltage", "avg_speed_kmh", "max_speed_kmh",
         "avg_elevation_m", "max_elevation_m", "min_elevation_m", "trip_count",

@@ -55,3 +55,12 @@ def test_filters_reach_parquet_scan(spark, tmp_dir):
     text = plan_text(q, "formatted")
     assert "PushedFilters: [IsNotNull(VehId), EqualTo(VehId,8)]" in text
     assert "ReadSchema: struct<VehId:bigint,Trip:bigint,distance_km:double>" in text
+
+
+def test_every_aggregate_is_hash_based(spark):
+    """No sort-based aggregation (it would sort every raw sample map-side)."""
+    for name in ("silver_trips", "vehicle_daily_stats", "route_patterns", "temporal_patterns",
+                 "vehicle_classes", "quality_metrics"):
+        text = plan_text(REGISTRY[name](spark, SF_TINY))
+        assert "SortAggregate" not in text and "HashAggregate" in text, name
+        assert "BroadcastNestedLoopJoin" not in text and "CartesianProduct" not in text, name
