@@ -307,3 +307,31 @@ def csv_stream_ingest(spark, sf_dir):
     if run_ingest(spark, source, sink, checkpoint) != 0:
         raise RuntimeError("stream re-run ingested rows twice")
     return clean_telemetry(spark.read.parquet(sink))
+
+
+# --- row checks on output tables (counts and a keyed preview) ---------------------
+
+@query
+def table_row_counts(spark, sf_dir):
+    """Row count of every output table, computed from one written silver table."""
+    trips = materialize(silver(spark, sf_dir), "silver")
+    tables = {
+        "silver_ev_trips": trips,
+        "gold_vehicle_daily_stats": aggregates.vehicle_daily_stats(trips),
+        "gold_route_patterns": aggregates.route_patterns(trips),
+        "gold_temporal_patterns": aggregates.temporal_patterns(trips),
+        "ml_features_energy_prediction": features.build_features(trips, trips_written=True),
+    }
+    counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
+              for name, df in tables.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
+@query
+def silver_preview(spark, sf_dir):
+    """First ten trips by (VehId, DayNum, Trip): a top-k, each task keeps ten."""
+    cols = [c for c in SILVER_COLUMNS if c != "processing_timestamp"]
+    return silver(spark, sf_dir).orderBy("VehId", "DayNum", "Trip").limit(10).select(*cols)

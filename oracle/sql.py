@@ -410,6 +410,18 @@ def queries() -> dict[str, str]:
         CAST(coalesce(sum(CASE WHEN "Trip" IS NULL THEN n END), 0) AS BIGINT) AS null_trip,
         CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_keys
       FROM (SELECT {KEYS}, count(*) AS n FROM feat_all WHERE {FEATURE_FILTER} GROUP BY {KEYS})""")
+    q["table_row_counts"] = feat(f"""
+      SELECT 'silver_ev_trips' AS table_name, count(*) AS row_count FROM silver
+      UNION ALL SELECT 'gold_vehicle_daily_stats', count(*)
+        FROM (SELECT 1 FROM silver GROUP BY "VehId", trip_date)
+      UNION ALL SELECT 'gold_route_patterns', count(*)
+        FROM (SELECT 1 FROM feat_base GROUP BY origin_lat_rounded, origin_lon_rounded,
+              dest_lat_rounded, dest_lon_rounded HAVING count("Trip") >= 3)
+      UNION ALL SELECT 'gold_temporal_patterns', count(*)
+        FROM (SELECT 1 FROM silver GROUP BY trip_dayofweek, trip_hour)
+      UNION ALL SELECT 'ml_features_energy_prediction', count(*) FROM feat_all WHERE {FEATURE_FILTER}""")
+    q["silver_preview"] = _base(f"""SELECT {SILVER_COLS} FROM silver
+      ORDER BY "VehId", "DayNum", "Trip" LIMIT 10""")
     q["priority_order_history"] = f"""SELECT o_orderkey, o_orderpriority, o_orderdate,
         count(o_orderkey) OVER w AS prev_order_count,
         {x_rmean('o_totalprice', 2, 2, ' OVER w')} AS prev_avg_totalprice,
