@@ -3,14 +3,19 @@
 Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Each query is run to completion with the ``noop`` sink (all rows computed,
 nothing collected to the driver).  One untimed warm-up query runs first.
+
+Per query the report also gives, from Spark's event log (written to a fresh
+scratch folder): shuffle bytes written, the longest task and the task count.
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -32,17 +37,25 @@ def main() -> None:
     from fleetframe.session import build_session
     from fleetframe.plans.queries import REGISTRY
 
+    log_dir = tempfile.mkdtemp(prefix="fleetframe-bench-eventlog-")
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus, app_name="fleetframe-bench",
-                          extra={"spark.driver.memory": "8g"})
+                          extra={"spark.driver.memory": "8g", "spark.eventLog.enabled": "true",
+                                 "spark.eventLog.dir": f"file://{log_dir}",
+                                 "spark.eventLog.compress": "false"})
+    windows: dict[str, tuple[float, float]] = {}
 
     def run(name: str, sf: str) -> float:
         t0 = time.perf_counter()
+        w0 = time.time() * 1000
         REGISTRY[name](spark, sf).write.format("noop").mode("overwrite").save()
+        windows[name] = (w0, time.time() * 1000)
         return time.perf_counter() - t0
 
     run("silver_trips", sf_dir)  # warm-up: JVM, codegen, file listing caches
     timings = {name: round(run(name, sf_dir), 3) for name in HEADLINE}
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    spark.stop()
+    stats = task_stats(log_dir, {n: windows[n] for n in HEADLINE})
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_queries_total",
@@ -53,8 +66,45 @@ def main() -> None:
         "events": events,
         "csv_ingest_rows_per_sec": round(events / timings["csv_stream_ingest"], 1),
         "cpus": cpus,
+        "shuffle_bytes": {n: v["shuffle_bytes"] for n, v in stats.items()},
+        "max_task_ms": {n: v["max_task_ms"] for n, v in stats.items()},
+        "tasks": {n: v["tasks"] for n, v in stats.items()},
     }))
-    spark.stop()
+
+
+def task_stats(log_dir: str, windows: dict[str, tuple[float, float]]) -> dict[str, dict]:
+    """Shuffle bytes, longest task and task count per query (jobs by submit time)."""
+    stage_query: dict[int, str] = {}
+    out = {n: {"shuffle_bytes": 0, "max_task_ms": 0, "tasks": 0} for n in windows}
+    paths = [p for p in glob.glob(f"{log_dir}/**/*", recursive=True) if os.path.isfile(p)]
+    # rolling logs: events_<n>_<app>; keep their order
+    paths.sort(key=lambda p: [int(t) if t.isdigit() else t for t in re.split(r"(\d+)", p)])
+    for path in paths:
+        if os.path.basename(path).startswith("appstatus"):
+            continue
+        with open(path) as f:
+            for line in f:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    t = ev.get("Submission Time", 0)
+                    for name, (a, b) in windows.items():
+                        if a <= t <= b:
+                            for sid in ev.get("Stage IDs", []):
+                                stage_query[sid] = name
+                elif kind == "SparkListenerTaskEnd":
+                    name = stage_query.get(ev.get("Stage ID"))
+                    if name is None:
+                        continue
+                    info = ev.get("Task Info", {})
+                    metrics = ev.get("Task Metrics") or {}
+                    written = (metrics.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+                    o = out[name]
+                    o["shuffle_bytes"] += int(written or 0)
+                    o["tasks"] += 1
+                    o["max_task_ms"] = max(o["max_task_ms"],
+                                           int(info.get("Finish Time", 0) - info.get("Launch Time", 0)))
+    return out
 
 
 if __name__ == "__main__":

@@ -23,7 +23,8 @@ class TableSpec:
 
 TABLES = {t.name: t for t in (
     TableSpec("bronze_ev_telemetry", "bronze",
-              "Raw telemetry samples as ingested from CSV files, plus ingestion time."),
+              "Telemetry samples as ingested from CSV files: signals typed and renamed, "
+              "other source columns kept as text, plus ingestion time."),
     TableSpec("ev_vehicles", "silver",
               "Vehicles with a battery signal and never a combustion signal.", ("VehId",)),
     TableSpec("silver_ev_trips", "silver",

@@ -21,7 +21,7 @@ from fleetframe.operators.trips import ev_trip_aggregates, trip_measures
 from fleetframe.operators.vehicles import ev_vehicles
 from fleetframe.plans.catalog import read_table, table_path, write_table
 from fleetframe.session import materialize
-from fleetframe.streaming.ingest import run_ingest
+from fleetframe.streaming.ingest import run_ingest, typed_samples
 
 
 @dataclass
@@ -31,6 +31,7 @@ class PipelineConfig:
     now: str | None = None       # fixed processing time (ISO text) for reproducible runs
     strict: bool = False         # also drop zero-distance / zero-energy / keyless trips
     chunks: int | None = None    # range chunks of the history windows
+    max_files_per_trigger: int | None = None  # split a large backlog into several batches
     results: dict = field(default_factory=dict)
 
     def clock(self) -> Column | None:
@@ -43,7 +44,8 @@ class PipelineConfig:
 
 def ingest_bronze(spark: SparkSession, cfg: PipelineConfig) -> int:
     return run_ingest(spark, cfg.source_path, table_path(cfg.root, "bronze_ev_telemetry"),
-                      f"{cfg.checkpoint}/bronze_ev_telemetry", now=cfg.clock())
+                      f"{cfg.checkpoint}/bronze_ev_telemetry", now=cfg.clock(),
+                      transform=typed_samples, max_files_per_trigger=cfg.max_files_per_trigger)
 
 
 def build_silver(spark: SparkSession, cfg: PipelineConfig) -> dict:

@@ -30,7 +30,7 @@ from fleetframe.schema import RAW_COLUMNS
 from fleetframe.session import materialize, scratch_path
 from fleetframe.sources.csv import read_telemetry_csv, write_csv
 from fleetframe.sources.testbed import read_table, telemetry
-from fleetframe.streaming.ingest import run_ingest
+from fleetframe.streaming.ingest import run_ingest, typed_samples
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -301,10 +301,10 @@ def csv_stream_ingest(spark, sf_dir):
     source, sink, checkpoint = f"{root}/source", f"{root}/sink", f"{root}/checkpoint"
     first, second = _halves(raw, "Trip")
     write_csv(first, f"{source}/drop1")
-    run_ingest(spark, source, sink, checkpoint)
+    run_ingest(spark, source, sink, checkpoint, transform=typed_samples)
     write_csv(second, f"{source}/drop2")
-    run_ingest(spark, source, sink, checkpoint)
-    if run_ingest(spark, source, sink, checkpoint) != 0:
+    run_ingest(spark, source, sink, checkpoint, transform=typed_samples)
+    if run_ingest(spark, source, sink, checkpoint, transform=typed_samples) != 0:
         raise RuntimeError("stream re-run ingested rows twice")
     return clean_telemetry(spark.read.parquet(sink))
 

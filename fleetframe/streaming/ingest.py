@@ -14,6 +14,8 @@ or the stream is restarted with the widened schema.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -39,9 +41,15 @@ def csv_stream(spark: SparkSession, source_dir: str, schema: T.StructType | None
 
 def ingest_csv_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                       schema: T.StructType | None = None, now=None,
-                      max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start one ``availableNow`` run: new files -> appended Parquet rows."""
+                      max_files_per_trigger: int | None = None,
+                      transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """Start one ``availableNow`` run: new files -> appended Parquet rows.
+
+    ``transform`` is applied to the stream before writing (the pipeline types
+    and renames the signals here, so bronze is stored compactly, once)."""
     stream = csv_stream(spark, source_dir, schema, max_files_per_trigger)
+    if transform is not None:
+        stream = transform(stream)
     stamped = stream.withColumn("ingestion_timestamp", now if now is not None else F.current_timestamp())
     return (stamped.writeStream.format("parquet")
             .option("checkpointLocation", checkpoint_dir)
@@ -51,9 +59,12 @@ def ingest_csv_stream(spark: SparkSession, source_dir: str, sink_dir: str, check
 
 
 def run_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-               schema: T.StructType | None = None, now=None, timeout_s: float | None = None) -> int:
+               schema: T.StructType | None = None, now=None, timeout_s: float | None = None,
+               transform: Callable[[DataFrame], DataFrame] | None = None,
+               max_files_per_trigger: int | None = None) -> int:
     """Run one triggered ingestion to completion; returns rows appended."""
-    query = ingest_csv_stream(spark, source_dir, sink_dir, checkpoint_dir, schema, now)
+    query = ingest_csv_stream(spark, source_dir, sink_dir, checkpoint_dir, schema, now,
+                              max_files_per_trigger, transform)
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
@@ -65,3 +76,9 @@ def run_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_d
         rows = p.get("numInputRows", 0) if isinstance(p, dict) else getattr(p, "numInputRows", 0)
         total += int(rows or 0)
     return total
+
+
+def typed_samples(stream: DataFrame) -> DataFrame:
+    """Canonical, typed signals plus any extra source columns (as text)."""
+    from fleetframe.operators.cleaning import clean_telemetry
+    return clean_telemetry(stream, keep_extra=True)
