@@ -28,15 +28,20 @@ _HEADER_BYTES = 64 * 1024
 
 
 def _filesystem(path: str):
+    """(pyarrow filesystem, path on it) for local, ``file:`` and remote URIs."""
     from pyarrow import fs as pafs
-    if "://" in path and not path.startswith("file://"):
+    if path.startswith("file:"):
+        local = path[len("file:"):]
+        while local.startswith("//"):
+            local = local[1:]
+        return pafs.LocalFileSystem(), local
+    if "://" in path:
         return pafs.FileSystem.from_uri(path)
-    local = path[len("file://"):] if path.startswith("file://") else path
-    return pafs.LocalFileSystem(), local
+    return pafs.LocalFileSystem(), path
 
 
 def _qualify(original: str, found: str) -> str:
-    if "://" in original and not original.startswith("file://"):
+    if "://" in original and not original.startswith("file:"):
         scheme = original.split("://", 1)[0]
         return f"{scheme}://{found}"
     return found
@@ -103,6 +108,27 @@ def read_telemetry_csv(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
+def path_exists(path: str) -> bool:
+    from pyarrow import fs as pafs
+    filesystem, local = _filesystem(path)
+    return filesystem.get_file_info(local).type != pafs.FileType.NotFound
+
+
+def write_text(path: str, text: str) -> None:
+    filesystem, local = _filesystem(path)
+    parent = local.rsplit("/", 1)[0]
+    if parent:
+        filesystem.create_dir(parent, recursive=True)
+    with filesystem.open_output_stream(local) as f:
+        f.write(text.encode("utf-8"))
+
+
+def read_text(path: str) -> str:
+    filesystem, local = _filesystem(path)
+    with filesystem.open_input_stream(local) as f:
+        return f.read().decode("utf-8")
+
+
 def merged_schema_json(df: DataFrame) -> str:
     """The schema of a header-aligned read, as JSON (kept next to the data so a
     later stream can be restarted with the widened column set)."""

@@ -6,10 +6,11 @@ their rows with an ingestion time to a Parquet table, and stops.  Re-running
 without new files adds nothing.
 
 Column binding: the stream schema is the header of the first file (or one
-given explicitly) and ``enforceSchema`` is off, so a file whose header differs
+given explicitly), kept in a schema file on the first run so later runs bind
+the same columns, and ``enforceSchema`` is off, so a file whose header differs
 fails the run loudly instead of landing values in the wrong columns.  Such a
 source is re-read with ``sources.csv.read_telemetry_csv`` (aligns by name),
-or the stream is restarted with the widened schema.
+or the schema file is replaced with the widened schema and the stream re-run.
 """
 
 from __future__ import annotations
@@ -19,16 +20,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetframe.sources.csv import list_csv_files, read_header, text_schema
+from fleetframe.sources.csv import (
+    list_csv_files, path_exists, read_header, read_text, schema_from_json, text_schema, write_text,
+)
+
+
+def stream_schema(source_dir: str, schema_location: str | None = None) -> T.StructType:
+    """The schema kept at ``schema_location``, else the first file's header
+    (saved there for the next run)."""
+    if schema_location and path_exists(schema_location):
+        return schema_from_json(read_text(schema_location))
+    files = list_csv_files(source_dir)
+    if not files:
+        raise FileNotFoundError(f"no CSV files under {source_dir} to take a header from")
+    schema = text_schema(read_header(files[0]))
+    if schema_location:
+        write_text(schema_location, schema.json())
+    return schema
 
 
 def csv_stream(spark: SparkSession, source_dir: str, schema: T.StructType | None = None,
                max_files_per_trigger: int | None = None) -> DataFrame:
     if schema is None:
-        files = list_csv_files(source_dir)
-        if not files:
-            raise FileNotFoundError(f"no CSV files under {source_dir} to take a header from")
-        schema = text_schema(read_header(files[0]))
+        schema = stream_schema(source_dir)
     reader = (spark.readStream.schema(schema)
               .option("header", True)
               .option("enforceSchema", False)
@@ -62,7 +76,12 @@ def run_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_d
                schema: T.StructType | None = None, now=None, timeout_s: float | None = None,
                transform: Callable[[DataFrame], DataFrame] | None = None,
                max_files_per_trigger: int | None = None) -> int:
-    """Run one triggered ingestion to completion; returns rows appended."""
+    """Run one triggered ingestion to completion; returns rows appended.
+
+    Without an explicit ``schema`` the stream schema is kept next to the
+    checkpoint (``<checkpoint_dir>/_schema.json``)."""
+    if schema is None:
+        schema = stream_schema(source_dir, f"{checkpoint_dir.rstrip('/')}/_schema.json")
     query = ingest_csv_stream(spark, source_dir, sink_dir, checkpoint_dir, schema, now,
                               max_files_per_trigger, transform)
     query.awaitTermination(timeout_s)

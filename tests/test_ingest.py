@@ -50,3 +50,26 @@ def test_stream_equals_batch_and_rerun_is_idempotent(spark, tmp_dir):
     direct = clean_telemetry(raw)
     assert rows_of(streamed) == rows_of(batch) == rows_of(direct)
     assert "ingestion_timestamp" in spark.read.parquet(sink).columns
+
+
+def test_stream_keeps_its_schema_and_rejects_a_different_header(spark, tmp_dir):
+    import pytest
+    src, sink, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
+    _write(f"{src}/a.csv", "VehId,Trip,DayNum,Energy_Consumption\n1,1,1.5,2.5\n")
+    assert run_ingest(spark, src, sink, ckpt) == 1
+    assert os.path.exists(f"{ckpt}/_schema.json")
+    _write(f"{src}/0_new.csv", "VehId,Trip,DayNum,Energy_Consumption\n2,1,2.5,3.5\n")
+    assert run_ingest(spark, src, sink, ckpt) == 1         # same header: appended
+    _write(f"{src}/1_swapped.csv", "Trip,VehId,DayNum,Energy_Consumption\n9,3,3.5,1.0\n")
+    with pytest.raises(Exception):
+        run_ingest(spark, src, sink, ckpt)                 # different header: loud failure
+    assert sorted(r["VehId"] for r in spark.read.parquet(sink).collect()) == ["1", "2"]
+
+
+def test_observation_counts_failed_rules(spark, tmp_dir):
+    from fleetframe.operators.quality import Rule, observe_and_drop
+    df = spark.createDataFrame([(1, 0.0), (2, 5.0), (3, None)], "id int, d double")
+    kept, obs = observe_and_drop(df, [Rule("positive", "d > 0")], "t1")
+    kept.write.parquet(f"{tmp_dir}/out")
+    assert obs.get == {"rows_in": 3, "failed_positive": 2}
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 1
