@@ -5,8 +5,9 @@ header lists the same columns in another order (or adds one) would be read
 into the wrong columns without any error.  ``read_telemetry_csv`` therefore:
 
 1. lists the files and reads only the header line of each (a few bytes per
-   file, in parallel, through ``pyarrow.fs`` so local, HDFS and object-store
-   paths work alike);
+   file, through ``pyarrow.fs`` so local, HDFS and object-store paths work
+   alike): on driver threads for a short listing, as a Spark job over the
+   file list (executors read the headers) for a long one;
 2. groups files by their exact header;
 3. reads each group with a text schema built from that header (one
    distributed read per distinct header, not per file);
@@ -25,6 +26,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 _HEADER_BYTES = 64 * 1024
+# Listings longer than this have their headers read by a Spark job.
+DISTRIBUTED_HEADER_FILES = 512
+_HEADER_SEP = "\x1f"
 
 
 def _filesystem(path: str):
@@ -80,6 +84,32 @@ def headers_by_file(files: list[str], threads: int = 16) -> dict[str, tuple[str,
         return dict(zip(files, pool.map(read_header, files)))
 
 
+def _read_headers(batches):
+    import pandas as pd
+    for pdf in batches:
+        headers = [_HEADER_SEP.join(read_header(p)) for p in pdf["path"]]
+        yield pd.DataFrame({"path": pdf["path"], "header": headers})
+
+
+def header_groups(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by exact header (files without a header line are skipped)."""
+    groups: dict[tuple[str, ...], list[str]] = {}
+    if len(files) <= DISTRIBUTED_HEADER_FILES:
+        pairs = headers_by_file(files).items()
+    else:
+        slices = max(1, min(len(files) // 64, spark.sparkContext.defaultParallelism * 4))
+        listing = spark.createDataFrame([(f,) for f in files], "path string").repartition(slices)
+        found = listing.mapInPandas(_read_headers, "path string, header string")
+        # (path, header) per file: the driver already holds the listing and
+        # needs every path to issue the reads
+        pairs = [(r["path"], tuple(r["header"].split(_HEADER_SEP)) if r["header"] else ())
+                 for r in found.collect()]
+    for f, header in pairs:
+        if header:
+            groups.setdefault(header, []).append(f)
+    return {h: sorted(fs) for h, fs in groups.items()}
+
+
 def text_schema(header: tuple[str, ...]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType(), True) for name in header])
 
@@ -97,10 +127,7 @@ def read_telemetry_csv(spark: SparkSession, path: str) -> DataFrame:
     files = list_csv_files(path)
     if not files:
         raise FileNotFoundError(f"no CSV files under {path}")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f, header in headers_by_file(files).items():
-        if header:
-            groups.setdefault(header, []).append(f)
+    groups = header_groups(spark, files)
     frames = [read_csv_group(spark, fs, h) for h, fs in sorted(groups.items())]
     out = frames[0]
     for frame in frames[1:]:

@@ -73,3 +73,18 @@ def test_observation_counts_failed_rules(spark, tmp_dir):
     kept.write.parquet(f"{tmp_dir}/out")
     assert obs.get == {"rows_in": 3, "failed_positive": 2}
     assert spark.read.parquet(f"{tmp_dir}/out").count() == 1
+
+
+def test_distributed_header_discovery(spark, tmp_dir, monkeypatch):
+    from fleetframe.sources import csv as csvmod
+    for i in range(12):
+        header = "VehId,Trip,DayNum" if i % 3 else "DayNum,VehId,Trip"
+        row = f"{i},{i + 100},{i}.5" if i % 3 else f"{i}.5,{i},{i + 100}"
+        _write(f"{tmp_dir}/f{i:02d}.csv", f"{header}\n{row}\n")
+    local = csvmod.header_groups(spark, list_csv_files(tmp_dir))
+    monkeypatch.setattr(csvmod, "DISTRIBUTED_HEADER_FILES", 2)
+    remote = csvmod.header_groups(spark, list_csv_files(tmp_dir))
+    assert local == remote and len(remote) == 2
+    rows = clean_telemetry(read_telemetry_csv(spark, tmp_dir)).collect()
+    assert sorted((r["VehId"], r["Trip"], r["DayNum"]) for r in rows) == [
+        (i, i + 100, i + 0.5) for i in range(12)]
