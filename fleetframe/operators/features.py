@@ -17,7 +17,7 @@ from fleetframe.functions.calendar import hour_cos, hour_sin, is_rush_hour, is_w
 from fleetframe.functions.numeric import guarded_ratio
 from fleetframe.operators.aggregates import with_route_key
 from fleetframe.operators.history import (
-    largest_key_rows, plain_trailing_aggregates, trailing_aggregates,
+    key_profile, plain_trailing_aggregates, trailing_aggregates,
 )
 from fleetframe.schema import FEATURE_COLUMNS, ROUTE_KEYS
 from fleetframe.session import materialize
@@ -32,9 +32,9 @@ VEHICLE_ORDER = ["DayNum", "Trip"]
 ROUTE_ORDER = ["DayNum", "VehId", "Trip"]
 
 
-def _history(df, keys, order, frame, aggs, chunks, skew_safe, largest=None):
+def _history(df, keys, order, frame, aggs, chunks, skew_safe, profile=None):
     if skew_safe:
-        return trailing_aggregates(df, keys, order, frame, aggs, chunks=chunks, largest=largest)
+        return trailing_aggregates(df, keys, order, frame, aggs, chunks=chunks, profile=profile)
     return plain_trailing_aggregates(df, keys, order, frame, aggs)
 
 
@@ -51,13 +51,13 @@ def _drop_parts(df: DataFrame, *tags: str) -> DataFrame:
 
 
 def vehicle_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool = True,
-                    largest: int | None = None) -> DataFrame:
+                    profile: tuple[int, int] | None = None) -> DataFrame:
     """Previous 30 trips of the same vehicle (by day, then trip number)."""
     aggs = {**_frame_aggs("_ve", "efficiency_km_per_energy", 4),
             **_frame_aggs("_vn", "total_energy_consumption", 2, squares=True),
             **_frame_aggs("_vd", "distance_km", 2),
             "vehicle_trip_count_last30": F.count("Trip")}
-    out = _history(trips, ["VehId"], VEHICLE_ORDER, VEHICLE_FRAME, aggs, chunks, skew_safe, largest)
+    out = _history(trips, ["VehId"], VEHICLE_ORDER, VEHICLE_FRAME, aggs, chunks, skew_safe, profile)
     (es, en, _), (ns, nn, nq), (ds, dn, _) = _parts("_ve"), _parts("_vn"), _parts("_vd")
     out = out.withColumns({
         "vehicle_avg_efficiency_last30": rounded_mean_of(es, en, 4, 4),
@@ -69,14 +69,14 @@ def vehicle_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool
 
 
 def route_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool = True,
-                  largest: int | None = None) -> DataFrame:
+                  profile: tuple[int, int] | None = None) -> DataFrame:
     """Previous 10 trips on the same rounded route (by day, vehicle, trip).
     Needs the route key columns (``with_route_key``)."""
     aggs = {**_frame_aggs("_rn", "total_energy_consumption", 2),
             **_frame_aggs("_rd", "duration_minutes", 2),
             **_frame_aggs("_rs", "avg_speed_kmh", 2),
             "route_trip_count": F.count("Trip")}
-    out = _history(trips, ROUTE_KEYS, ROUTE_ORDER, ROUTE_FRAME, aggs, chunks, skew_safe, largest)
+    out = _history(trips, ROUTE_KEYS, ROUTE_ORDER, ROUTE_FRAME, aggs, chunks, skew_safe, profile)
     (ns, nn, _), (ds, dn, _), (ss, sn, _) = _parts("_rn"), _parts("_rd"), _parts("_rs")
     out = out.withColumns({
         "route_avg_energy_last10": rounded_mean_of(ns, nn, 2, 2),
@@ -152,10 +152,10 @@ def history_stage(trips: DataFrame, chunks: int | None = None, skew_safe: bool =
     ``trips`` should be a scan of written data: key sizes are measured on it
     (two small aggregates) before the windows are planned."""
     keyed = with_route_key(trips)
-    v_largest = largest_key_rows(keyed, ["VehId"]) if skew_safe else None
-    r_largest = largest_key_rows(keyed, ROUTE_KEYS) if skew_safe else None
-    vehicles = vehicle_history(keyed, chunks, skew_safe, v_largest)
-    return engineered(route_history(vehicles, chunks, skew_safe, r_largest))
+    v_profile = key_profile(keyed, ["VehId"]) if skew_safe else None
+    r_profile = key_profile(keyed, ROUTE_KEYS) if skew_safe else None
+    vehicles = vehicle_history(keyed, chunks, skew_safe, v_profile)
+    return engineered(route_history(vehicles, chunks, skew_safe, r_profile))
 
 
 def with_fleet_comparison(hist: DataFrame) -> DataFrame:

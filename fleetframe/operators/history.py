@@ -20,10 +20,12 @@ work per task:
 Work per task is bounded by the chunk size plus ``N`` rows.  Frames use a
 total order: ``order_by`` must be unique within ``partition_by``.
 
-``trailing_aggregates`` first measures the largest key (one aggregate pass,
-combined map-side).  When no key exceeds ``max_key_rows`` (session conf
-``fleetframe.history.maxKeyRows``) the plain window is already bounded per
-task and is used as is (one shuffle); otherwise the chunked plan runs.
+``trailing_aggregates`` first measures the largest key and the total (one
+aggregate pass, combined map-side).  A key is hot when it holds more than
+``skewFactor`` times the rows of an average shuffle partition (but at least
+``minSplitRows``), or more than ``maxKeyRows`` in any case (session confs
+``fleetframe.history.*``).  Without a hot key the plain window is already
+balanced and runs as is (one shuffle); otherwise the chunked plan runs.
 """
 
 from __future__ import annotations
@@ -35,9 +37,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetframe.session import materialize
 
-# Rows of one key that a single window task may hold before the key is split.
+# When a key is split (see module doc).
 MAX_KEY_ROWS_CONF = "fleetframe.history.maxKeyRows"
 DEFAULT_MAX_KEY_ROWS = 5_000_000
+SKEW_FACTOR_CONF = "fleetframe.history.skewFactor"
+DEFAULT_SKEW_FACTOR = 4.0
+MIN_SPLIT_ROWS_CONF = "fleetframe.history.minSplitRows"
+DEFAULT_MIN_SPLIT_ROWS = 100_000
 
 _CHUNK, _ROW, _N, _LAST = "_tw_chunk", "_tw_row", "_tw_n", "_tw_last"
 _TARGET, _HALO = "_tw_target", "_tw_halo"
@@ -83,28 +89,40 @@ def halo_plan(counts: DataFrame, partition_by, frame: int) -> DataFrame:
             .filter(F.col("take") > 0))
 
 
-def max_key_rows(spark) -> int:
-    return int(spark.conf.get(MAX_KEY_ROWS_CONF, str(DEFAULT_MAX_KEY_ROWS)))
+def hot_key_rows(spark, total_rows: int) -> float:
+    """Rows above which one key is split into chunks."""
+    conf = spark.conf
+    cap = int(conf.get(MAX_KEY_ROWS_CONF, str(DEFAULT_MAX_KEY_ROWS)))
+    factor = float(conf.get(SKEW_FACTOR_CONF, str(DEFAULT_SKEW_FACTOR)))
+    floor = int(conf.get(MIN_SPLIT_ROWS_CONF, str(DEFAULT_MIN_SPLIT_ROWS)))
+    partitions = max(1, int(conf.get("spark.sql.shuffle.partitions", "200")))
+    return min(cap, max(floor, factor * total_rows / partitions))
 
 
-def largest_key_rows(df: DataFrame, partition_by) -> int:
-    """Row count of the most frequent key (NULL keys count as one key)."""
+def key_profile(df: DataFrame, partition_by) -> tuple[int, int]:
+    """(rows of the most frequent key, all rows); NULL keys count as one key."""
     counts = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.agg(F.max("_rows")).first()[0] or 0
+    row = counts.agg(F.max("_rows"), F.sum("_rows")).first()
+    return int(row[0] or 0), int(row[1] or 0)
+
+
+def is_hot(df: DataFrame, profile: tuple[int, int]) -> bool:
+    largest, total = profile
+    return largest > hot_key_rows(df.sparkSession, total)
 
 
 def trailing_aggregates(df: DataFrame, partition_by, order_by, frame: int,
                         aggregates: dict[str, Column], chunks: int | None = None,
-                        largest: int | None = None) -> DataFrame:
+                        profile: tuple[int, int] | None = None) -> DataFrame:
     """Add ``aggregates`` evaluated over the previous ``frame`` rows of each key.
 
     ``aggregates`` maps output names to aggregate expressions (``F.avg(...)``,
     ``F.count(...)``, ...) that are applied ``.over`` the trailing frame.
-    ``largest``: the most frequent key's row count, if the caller measured it.
+    ``profile``: ``key_profile`` of the input, if the caller measured it.
     """
-    if largest is None:
-        largest = largest_key_rows(df, partition_by)
-    if largest <= max_key_rows(df.sparkSession):
+    if profile is None:
+        profile = key_profile(df, partition_by)
+    if not is_hot(df, profile):
         return plain_trailing_aggregates(df, partition_by, order_by, frame, aggregates)
     return chunked_trailing_aggregates(df, partition_by, order_by, frame, aggregates, chunks)
 

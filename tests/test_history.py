@@ -80,3 +80,18 @@ def test_split_only_when_a_key_is_hot(spark):
         assert rows_of(split) == rows_of(plain_trailing_aggregates(df, ["k"], ["o"], 5, aggs()))
     finally:
         spark.conf.unset(MAX_KEY_ROWS_CONF)
+
+
+def test_hot_key_threshold_is_relative_to_partition_size(spark):
+    from fleetframe.operators.history import hot_key_rows
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1000")
+        # 1e9 rows over 1000 partitions: a key above 4M rows (4x average) is hot
+        assert hot_key_rows(spark, 10**9) == 4_000_000
+        # small tables: never below the floor
+        assert hot_key_rows(spark, 10_000) == 100_000
+        # huge tables: never above the absolute cap
+        assert hot_key_rows(spark, 10**12) == 5_000_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
