@@ -82,36 +82,38 @@ def trip_aggregates(samples: DataFrame) -> DataFrame:
 
 
 def trip_measures(agg: DataFrame, now: Column | None = None) -> DataFrame:
-    """Derived trip columns in the silver order (no rows dropped)."""
-    duration_seconds = (F.col("end_timestamp_ms") - F.col("start_timestamp_ms")) / 1000
+    """Derived trip columns in the silver order (no rows dropped).
+
+    One projection built from shared Column values (one analysis pass; repeated
+    sub-expressions are evaluated once by codegen)."""
+    c = F.col
+    duration_seconds = (c("end_timestamp_ms") - c("start_timestamp_ms")) / 1000
     distance = haversine_km("origin_lat", "origin_lon", "destination_lat", "destination_lon")
-    step1 = agg.withColumns({
-        "duration_seconds": duration_seconds,
-        "distance_km": distance,
-        "trip_date": daynum_date("DayNum"),
-        "trip_hour": daynum_hour("DayNum"),
-    })
-    step2 = step1.withColumns({
-        "duration_minutes": F.round(F.col("duration_seconds") / 60, 2),
+    trip_date = daynum_date("DayNum")
+    derived = {
+        "trip_date": trip_date,
         "trip_start_datetime": start_datetime_text("DayNum"),
-        "trip_end_datetime": end_datetime_text("DayNum", "duration_seconds"),
-        "trip_year": F.year("trip_date"),
-        "trip_month": F.month("trip_date"),
-        "trip_dayofweek": F.dayofweek("trip_date"),
-        "elevation_gain_m": F.round(F.col("max_elevation_m") - F.col("min_elevation_m"), 2),
+        "trip_end_datetime": end_datetime_text("DayNum", duration_seconds),
+        "trip_year": F.year(trip_date),
+        "trip_month": F.month(trip_date),
+        "trip_dayofweek": F.dayofweek(trip_date),
+        "trip_hour": daynum_hour("DayNum"),
+        "distance_km": distance,
+        "duration_seconds": duration_seconds,
+        "duration_minutes": F.round(duration_seconds / 60, 2),
         # rounded distance over unrounded energy; zero energy -> NULL
-        "efficiency_km_per_energy": F.round(safe_ratio("distance_km", "total_energy_consumption"), 4),
-        "processing_timestamp": now if now is not None else F.current_timestamp(),
-    })
-    step3 = step2.withColumns({
+        "efficiency_km_per_energy": F.round(safe_ratio(distance, c("total_energy_consumption")), 4),
         "total_energy_consumption": F.round("total_energy_consumption", 2),
         "avg_battery_soc": F.round("avg_battery_soc", 2),
         "avg_battery_voltage": F.round("avg_battery_voltage", 2),
         "avg_speed_kmh": F.round("avg_speed_kmh", 2),
         "max_speed_kmh": F.round("max_speed_kmh", 2),
         "avg_elevation_m": F.round("avg_elevation_m", 2),
-    })
-    return step3.select(*SILVER_COLUMNS)
+        "elevation_gain_m": F.round(c("max_elevation_m") - c("min_elevation_m"), 2),
+        "processing_timestamp": now if now is not None else F.current_timestamp(),
+    }
+    return agg.select(*[derived[name].alias(name) if name in derived else c(name)
+                        for name in SILVER_COLUMNS])
 
 
 def ev_trip_aggregates(samples: DataFrame, vehicles: DataFrame | None = None,
