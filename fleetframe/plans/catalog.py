@@ -7,10 +7,13 @@ later reads skip files and row groups for vehicle/day lookups.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetframe.sources.csv import read_text, write_text
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -44,6 +47,36 @@ TABLES = {t.name: t for t in (
 )}
 
 
+# Column descriptions kept in the written schema (field metadata "comment").
+COLUMN_COMMENTS = {
+    "DayNum": "fractional day: integer part counts days from 2017-11-01 (day 1), fraction is time of day",
+    "VehId": "vehicle id",
+    "Trip": "trip number of the vehicle",
+    "trip_date": "calendar date of the trip start",
+    "start_timestamp_ms": "first sample time, ms (relative clock of the source)",
+    "end_timestamp_ms": "last sample time, ms (relative clock of the source)",
+    "distance_km": "great-circle distance first fix to last fix, km (2 decimals)",
+    "duration_seconds": "last minus first sample time, seconds",
+    "duration_minutes": "duration in minutes (2 decimals)",
+    "total_energy_consumption": "sum of sample energy (2 decimals)",
+    "efficiency_km_per_energy": "distance per unit of energy (4 decimals); NULL for zero energy",
+    "elevation_gain_m": "max minus min elevation, m (2 decimals)",
+    "trip_count": "samples in the trip",
+    "target_energy_consumption": "prediction target: the trip's total energy",
+    "vehicle_trip_count_last30": "trips of the vehicle among the previous 30 (by day, trip)",
+    "route_trip_count": "trips on the route among the previous 10 (by day, vehicle, trip)",
+    "vehicle_efficiency_vs_fleet": "own 30-trip efficiency minus the fleet mean of that column",
+    "unique_vehicles": "distinct vehicles on the route",
+}
+
+
+def with_comments(df: DataFrame) -> DataFrame:
+    known = {c: COLUMN_COMMENTS[c] for c in df.columns if c in COLUMN_COMMENTS}
+    for column, comment in known.items():
+        df = df.withMetadata(column, {"comment": comment})
+    return df
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{TABLES[name].layer}/{name}"
 
@@ -52,12 +85,20 @@ def write_table(df: DataFrame, root: str, name: str) -> str:
     """Overwrite a table; clustered tables are range-partitioned and sorted first
     (adaptive execution sizes the output partitions)."""
     spec, path = TABLES[name], table_path(root, name)
-    out = df
+    out = with_comments(df)
     if spec.cluster_by:
-        out = df.repartitionByRange(*spec.cluster_by).sortWithinPartitions(*spec.cluster_by)
+        out = out.repartitionByRange(*spec.cluster_by).sortWithinPartitions(*spec.cluster_by)
     out.write.mode("overwrite").parquet(path)
+    write_text(f"{path}/_table.json", json.dumps(
+        {"name": spec.name, "layer": spec.layer, "comment": spec.comment,
+         "keys": list(spec.keys), "cluster_by": list(spec.cluster_by)}, indent=1))
     return path
 
 
+def describe_table(root: str, name: str) -> dict:
+    """The descriptor written next to a table."""
+    return json.loads(read_text(f"{table_path(root, name)}/_table.json"))
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(root, name))

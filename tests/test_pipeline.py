@@ -30,6 +30,10 @@ def test_pipeline_layers(spark, tmp_dir):
     assert rows_of(feats.select(*fcols)) == rows_of(expected_f.select(*fcols))
     for name in TABLES:
         assert read_table(spark, cfg.root, name).count() >= 0
+    from fleetframe.plans.catalog import describe_table
+    assert describe_table(cfg.root, "silver_ev_trips")["cluster_by"] == ["VehId", "DayNum"]
+    field = read_table(spark, cfg.root, "silver_ev_trips").schema["distance_km"]
+    assert "great-circle" in field.metadata["comment"]
 
     # a second run with no new files ingests nothing and rewrites the same tables
     again = run(spark, cfg)
