@@ -20,7 +20,8 @@ from fleetframe.operators.quality import (
 from fleetframe.operators.trips import ev_trip_aggregates, trip_measures
 from fleetframe.operators.vehicles import ev_vehicles
 from fleetframe.plans.catalog import read_table, table_path, write_table
-from fleetframe.session import materialize
+from fleetframe.session import RUN_SCRATCH_CONF, materialize, scratch_path
+from fleetframe.sources.csv import remove_dir
 from fleetframe.streaming.ingest import run_ingest, typed_samples
 
 
@@ -32,6 +33,7 @@ class PipelineConfig:
     strict: bool = False         # also drop zero-distance / zero-energy / keyless trips
     chunks: int | None = None    # range chunks of the history windows
     max_files_per_trigger: int | None = None  # split a large backlog into several batches
+    keep_intermediate: bool = False  # keep this run's intermediate files (debugging)
     results: dict = field(default_factory=dict)
 
     def clock(self) -> Column | None:
@@ -80,9 +82,19 @@ def build_ml_features(spark: SparkSession, cfg: PipelineConfig) -> None:
 
 
 def run(spark: SparkSession, cfg: PipelineConfig) -> dict:
-    """Run every layer; returns ingested row count and silver rule counts."""
-    cfg.results["bronze_rows_ingested"] = ingest_bronze(spark, cfg)
-    cfg.results["silver_quality"] = build_silver(spark, cfg)
-    build_gold(spark, cfg)
-    build_ml_features(spark, cfg)
+    """Run every layer; returns ingested row count and silver rule counts.
+
+    Intermediate results of this run go to one folder under the checkpoint
+    root, removed once every table is written (kept if the run fails)."""
+    run_dir = scratch_path(spark, "pipeline-run")
+    spark.conf.set(RUN_SCRATCH_CONF, run_dir)
+    try:
+        cfg.results["bronze_rows_ingested"] = ingest_bronze(spark, cfg)
+        cfg.results["silver_quality"] = build_silver(spark, cfg)
+        build_gold(spark, cfg)
+        build_ml_features(spark, cfg)
+    finally:
+        spark.conf.unset(RUN_SCRATCH_CONF)
+    if not cfg.keep_intermediate:
+        remove_dir(run_dir)
     return cfg.results

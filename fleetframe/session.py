@@ -65,9 +65,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Session conf naming the folder of the current pipeline run (set by plans.pipeline).
+RUN_SCRATCH_CONF = "fleetframe.scratch.run"
+
+
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    """A new, unique folder under the checkpoint root."""
-    return f"{checkpoint_root(spark)}/fleetframe/{tag}-{uuid.uuid4().hex[:12]}"
+    """A new, unique folder under the checkpoint root (under the current
+    pipeline run's folder while one is active)."""
+    base = spark.conf.get(RUN_SCRATCH_CONF, None) or f"{checkpoint_root(spark)}/fleetframe"
+    return f"{base}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:

@@ -156,6 +156,13 @@ def read_text(path: str) -> str:
         return f.read().decode("utf-8")
 
 
+def remove_dir(path: str) -> None:
+    """Delete a folder this library created (no error if it is already gone)."""
+    filesystem, local = _filesystem(path)
+    if path_exists(path):
+        filesystem.delete_dir(local)
+
+
 def merged_schema_json(df: DataFrame) -> str:
     """The schema of a header-aligned read, as JSON (kept next to the data so a
     later stream can be restarted with the widened column set)."""

@@ -13,8 +13,13 @@ def test_pipeline_layers(spark, tmp_dir):
     write_csv(telemetry(spark, SF_TINY), f"{tmp_dir}/incoming/batch1", partitions=3)
     cfg = PipelineConfig(source_path=f"{tmp_dir}/incoming", root=f"{tmp_dir}/lake",
                          now="2024-01-01 00:00:00", chunks=3)
+    import glob
+    from fleetframe.session import checkpoint_root, local_path
+    scratch = local_path(checkpoint_root(spark)) + "/fleetframe"
+    before = set(glob.glob(f"{scratch}/pipeline-run-*"))
     result = run(spark, cfg)
     assert result["bronze_rows_ingested"] == 1000
+    assert set(glob.glob(f"{scratch}/pipeline-run-*")) == before   # intermediates removed
     q = result["silver_quality"]
     silver = read_table(spark, cfg.root, "silver_ev_trips")
     silver_rows = silver.count()
