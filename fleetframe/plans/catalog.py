@@ -1,8 +1,11 @@
-"""Table registry: layer, description, keys and clustering of every output table.
-
-Tables live at ``<root>/<layer>/<name>`` as Parquet.  ``cluster_by`` columns
-are range-partitioned and sorted on write, so Parquet min/max statistics let
-later reads skip files and row groups for vehicle/day lookups.
+"""Table registry: layer, description, keys, partitioning and clustering of every table.
+
+Tables live at ``<root>/<layer>/<name>`` as Parquet.  ``partition_by``
+columns become folders (a refresh rewrites only the partitions it touched:
+dynamic partition overwrite).  ``cluster_by`` columns are range-partitioned
+and sorted on write, so Parquet min/max statistics let later reads skip files
+and row groups for vehicle/day lookups; range partitioning also splits a
+partition value that holds a large share of the rows over several tasks.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fleetframe.schema import DAILY_COLUMNS, SILVER_COLUMNS
 from fleetframe.sources.csv import read_text, write_text
 
 
@@ -22,20 +26,25 @@ class TableSpec:
     comment: str
     keys: tuple[str, ...] = ()
     cluster_by: tuple[str, ...] = ()
+    partition_by: tuple[str, ...] = ()
+    columns: tuple[str, ...] = ()  # column order on read (partition columns come last on disk)
 
 
 TABLES = {t.name: t for t in (
     TableSpec("bronze_ev_telemetry", "bronze",
               "Telemetry samples as ingested from CSV files: signals typed and renamed, "
-              "other source columns kept as text, plus ingestion time."),
+              "other source columns kept as text, plus ingestion time and run number."),
+    TableSpec("vehicle_signals", "silver",
+              "Per vehicle: whether any sample ever carried a combustion / battery signal.", ("VehId",)),
     TableSpec("ev_vehicles", "silver",
               "Vehicles with a battery signal and never a combustion signal.", ("VehId",)),
     TableSpec("silver_ev_trips", "silver",
               "One row per trip of a battery-electric vehicle with its measures.",
-              ("DayNum", "VehId", "Trip"), ("VehId", "DayNum")),
+              ("DayNum", "VehId", "Trip"), ("trip_date", "VehId", "DayNum"), ("trip_date",),
+              tuple(SILVER_COLUMNS)),
     TableSpec("gold_vehicle_daily_stats", "gold",
               "Trips, distance, energy and efficiency per vehicle and day.",
-              ("VehId", "trip_date"), ("VehId", "trip_date")),
+              ("VehId", "trip_date"), ("trip_date", "VehId"), ("trip_date",), tuple(DAILY_COLUMNS)),
     TableSpec("gold_route_patterns", "gold",
               "Energy and efficiency per rounded origin/destination route (>= 3 trips).",
               ("origin_lat_rounded", "origin_lon_rounded", "dest_lat_rounded", "dest_lon_rounded")),
@@ -46,7 +55,6 @@ TABLES = {t.name: t for t in (
               ("DayNum", "VehId", "Trip"), ("VehId", "trip_date")),
 )}
 
-
 # Column descriptions kept in the written schema (field metadata "comment").
 COLUMN_COMMENTS = {
     "DayNum": "fractional day: integer part counts days from 2017-11-01 (day 1), fraction is time of day",
@@ -81,24 +89,34 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{TABLES[name].layer}/{name}"
 
 
-def write_table(df: DataFrame, root: str, name: str) -> str:
-    """Overwrite a table; clustered tables are range-partitioned and sorted first
-    (adaptive execution sizes the output partitions)."""
+def write_table(df: DataFrame, root: str, name: str, only_touched_partitions: bool = False) -> str:
+    """Write a table.  Default: replace it.  ``only_touched_partitions``: replace
+    just the partitions present in ``df`` (dynamic partition overwrite).
+    Clustered tables are range-partitioned and sorted first (adaptive execution
+    sizes the output partitions)."""
     spec, path = TABLES[name], table_path(root, name)
     out = with_comments(df)
     if spec.cluster_by:
         out = out.repartitionByRange(*spec.cluster_by).sortWithinPartitions(*spec.cluster_by)
-    out.write.mode("overwrite").parquet(path)
+    writer = out.write.mode("overwrite")
+    if spec.partition_by:
+        writer = writer.partitionBy(*spec.partition_by)
+        if only_touched_partitions:
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
     write_text(f"{path}/_table.json", json.dumps(
         {"name": spec.name, "layer": spec.layer, "comment": spec.comment,
-         "keys": list(spec.keys), "cluster_by": list(spec.cluster_by)}, indent=1))
+         "keys": list(spec.keys), "cluster_by": list(spec.cluster_by),
+         "partition_by": list(spec.partition_by)}, indent=1))
     return path
 
 
+def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    df = spark.read.parquet(table_path(root, name))
+    columns = TABLES[name].columns
+    return df.select(*columns) if columns else df
+
+
 def describe_table(root: str, name: str) -> dict:
     """The descriptor written next to a table."""
     return json.loads(read_text(f"{table_path(root, name)}/_table.json"))
-
-
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(root, name))

@@ -3,14 +3,31 @@
 Every layer is written once and read back by the next, so the three gold
 tables and the feature table share one silver computation, and a lost
 executor recomputes from the last written layer, not from the raw files.
+
+Refreshes are incremental where the data allows it:
+
+* each ingestion run tags its rows with a run number;
+* vehicle signal flags are a ``max`` per vehicle, so old flags merged with
+  the flags of the new rows equal the flags over all rows;
+* when the set of battery-electric vehicles is unchanged, only trips on the
+  days that received new samples can change: those days' samples are read
+  (a ``DayNum`` range filter reaches the bronze scan), their trips rebuilt and
+  written over just those ``trip_date`` partitions of silver; daily stats
+  follow the same days;
+* when the set changes (a vehicle shows a combustion signal, or a new
+  battery-only vehicle appears), silver is rebuilt in full;
+* route and hour-of-week patterns and the features read all of silver (trip
+  rows, a small share of the samples) and are rebuilt every run.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from fleetframe.functions.calendar import DAYNUM_EPOCH
 from fleetframe.operators.aggregates import route_patterns, temporal_patterns, vehicle_daily_stats
 from fleetframe.operators.cleaning import clean_telemetry
 from fleetframe.operators.features import build_features
@@ -18,12 +35,15 @@ from fleetframe.operators.quality import (
     FEATURE_KEY_RULES, SILVER_RULES, STRICT_RULES, expect_or_drop, require, rule_metrics,
 )
 from fleetframe.operators.trips import ev_trip_aggregates, trip_measures
-from fleetframe.operators.vehicles import ev_vehicles
+from fleetframe.operators.vehicles import vehicle_signals
 from fleetframe.plans.catalog import read_table, table_path, write_table
+from fleetframe.schema import BEV_LABEL
 from fleetframe.session import RUN_SCRATCH_CONF, materialize, scratch_path
-from fleetframe.sources.csv import remove_dir
+from fleetframe.sources.csv import path_exists, read_text, remove_dir, write_text
 from fleetframe.streaming.ingest import run_ingest, typed_samples
 
+RUN_COLUMN = "ingest_run"
+
 
 @dataclass
 class PipelineConfig:
@@ -34,6 +54,7 @@ class PipelineConfig:
     chunks: int | None = None    # range chunks of the history windows
     max_files_per_trigger: int | None = None  # split a large backlog into several batches
     keep_intermediate: bool = False  # keep this run's intermediate files (debugging)
+    full_refresh: bool = False   # rebuild silver from all of bronze
     results: dict = field(default_factory=dict)
 
     def clock(self) -> Column | None:
@@ -43,33 +64,147 @@ class PipelineConfig:
     def checkpoint(self) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints"
 
+    @property
+    def state_path(self) -> str:
+        return f"{self.root.rstrip('/')}/_state/pipeline.json"
 
-def ingest_bronze(spark: SparkSession, cfg: PipelineConfig) -> int:
-    return run_ingest(spark, cfg.source_path, table_path(cfg.root, "bronze_ev_telemetry"),
-                      f"{cfg.checkpoint}/bronze_ev_telemetry", now=cfg.clock(),
-                      transform=typed_samples, max_files_per_trigger=cfg.max_files_per_trigger)
+    @property
+    def rules(self):
+        return STRICT_RULES if self.strict else SILVER_RULES
+
+
+def load_state(cfg: PipelineConfig) -> dict:
+    return json.loads(read_text(cfg.state_path)) if path_exists(cfg.state_path) else {}
 
 
-def build_silver(spark: SparkSession, cfg: PipelineConfig) -> dict:
-    samples = clean_telemetry(read_table(spark, cfg.root, "bronze_ev_telemetry"))
-    write_table(ev_vehicles(samples), cfg.root, "ev_vehicles")
+def save_state(cfg: PipelineConfig, state: dict) -> None:
+    write_text(cfg.state_path, json.dumps(state, indent=1))
+
+
+def ingest_bronze(spark: SparkSession, cfg: PipelineConfig, state: dict) -> int:
+    run_no = int(state.get("ingest_runs", 0)) + 1
+
+    def tag(stream: DataFrame) -> DataFrame:
+        return typed_samples(stream).withColumn(RUN_COLUMN, F.lit(run_no))
+
+    rows = run_ingest(spark, cfg.source_path, table_path(cfg.root, "bronze_ev_telemetry"),
+                      f"{cfg.checkpoint}/bronze_ev_telemetry", now=cfg.clock(),
+                      transform=tag, max_files_per_trigger=cfg.max_files_per_trigger)
+    if rows:
+        state["ingest_runs"] = run_no
+        save_state(cfg, state)
+    return rows
+
+
+def _ev_from_flags(flags: DataFrame) -> DataFrame:
+    return (flags.filter((F.col("has_battery") == 1) & (F.col("has_combustion") == 0))
+            .select("VehId", F.lit(BEV_LABEL).alias("vehicle_type")))
+
+
+def _same_vehicles(a: DataFrame, b: DataFrame) -> bool:
+    ka, kb = a.select("VehId"), b.select("VehId")
+    return ka.exceptAll(kb).isEmpty() and kb.exceptAll(ka).isEmpty()
+
+
+def refresh_vehicles(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame,
+                     new_rows: DataFrame | None) -> bool:
+    """Write vehicle flags and the EV list; True if the EV set changed."""
+    if new_rows is None:
+        flags = vehicle_signals(clean_telemetry(bronze))
+        old_ev = None
+    else:
+        merged = read_table(spark, cfg.root, "vehicle_signals").unionByName(
+            vehicle_signals(clean_telemetry(new_rows)))
+        flags = merged.groupBy("VehId").agg(F.max("has_combustion").alias("has_combustion"),
+                                            F.max("has_battery").alias("has_battery"))
+        old_ev = read_table(spark, cfg.root, "ev_vehicles")
+    flags = materialize(flags, "vehicle-flags")  # read before the tables are replaced
+    changed = old_ev is None or not _same_vehicles(old_ev, _ev_from_flags(flags))
+    write_table(flags, cfg.root, "vehicle_signals")
+    write_table(_ev_from_flags(flags), cfg.root, "ev_vehicles")
+    return changed
+
+
+def _trip_candidates(spark: SparkSession, cfg: PipelineConfig, samples: DataFrame) -> DataFrame:
     vehicles = read_table(spark, cfg.root, "ev_vehicles")
-    # Candidate trips are written once: the rule counts and the clustered write
-    # (whose range sampling would otherwise re-run the trip aggregation) read them.
-    candidates = materialize(
+    # written once: the rule counts and the clustered write (whose range
+    # sampling would otherwise re-run the trip aggregation) read them
+    return materialize(
         trip_measures(ev_trip_aggregates(samples, vehicles, vehicles_written=True), cfg.clock()),
         "silver-candidates")
-    rules = STRICT_RULES if cfg.strict else SILVER_RULES
+
+
+def _rule_counts(candidates: DataFrame, rules) -> dict:
     counts = rule_metrics(candidates, rules).collect()  # one row per rule
-    write_table(expect_or_drop(candidates, rules), cfg.root, "silver_ev_trips")
     out = {"rows_in": counts[0]["rows_checked"] if counts else 0}
     out.update({f"failed_{r['rule']}": r["rows_failed"] for r in counts})
     return out
 
 
-def build_gold(spark: SparkSession, cfg: PipelineConfig) -> None:
+def _affected_days(spark: SparkSession, cfg: PipelineConfig, new_rows: DataFrame) -> list[int]:
+    """Day numbers (floor of DayNum) of new samples of EV vehicles (a few per run)."""
+    ev = read_table(spark, cfg.root, "ev_vehicles").select("VehId")
+    days = (clean_telemetry(new_rows).join(ev, "VehId", "left_semi")
+            .select(F.floor("DayNum").alias("d")).where(F.col("d").isNotNull()).distinct())
+    return sorted(int(r["d"]) for r in days.collect())
+
+
+def _dates(days: list[int]) -> list:
+    import datetime as dt
+    epoch = dt.date.fromisoformat(DAYNUM_EPOCH)
+    return [epoch + dt.timedelta(days=d) for d in days]
+
+
+def _drop_emptied_partitions(spark: SparkSession, cfg: PipelineConfig, name: str,
+                             written: DataFrame, dates: list) -> None:
+    """Affected dates that produced no rows keep their old folder under dynamic
+    overwrite; remove those folders."""
+    present = {r["trip_date"] for r in written.select("trip_date").distinct().collect()}
+    for d in dates:
+        if d not in present:
+            remove_dir(f"{table_path(cfg.root, name)}/trip_date={d.isoformat()}")
+
+
+def build_silver(spark: SparkSession, cfg: PipelineConfig, state: dict) -> dict:
+    bronze = read_table(spark, cfg.root, "bronze_ev_telemetry")
+    through = state.get("silver_through_run")
+    incremental = (through is not None and not cfg.full_refresh
+                   and path_exists(table_path(cfg.root, "silver_ev_trips")))
+    new_rows = bronze.filter(F.col(RUN_COLUMN) > F.lit(int(through))) if incremental else None
+    if refresh_vehicles(spark, cfg, bronze, new_rows):
+        incremental = False
+    samples = clean_telemetry(bronze)
+    if not incremental:
+        candidates = _trip_candidates(spark, cfg, samples)
+        write_table(expect_or_drop(candidates, cfg.rules), cfg.root, "silver_ev_trips")
+        report = {"mode": "full", **_rule_counts(candidates, cfg.rules)}
+        days = None
+    else:
+        days = _affected_days(spark, cfg, new_rows)
+        report = {"mode": "incremental", "days": len(days), "rows_in": 0}
+        if days:
+            in_days = (F.floor("DayNum").isin(days)
+                       & (F.col("DayNum") >= float(days[0])) & (F.col("DayNum") < float(days[-1] + 1)))
+            candidates = _trip_candidates(spark, cfg, samples.filter(in_days))
+            kept = expect_or_drop(candidates, cfg.rules)
+            write_table(kept, cfg.root, "silver_ev_trips", only_touched_partitions=True)
+            _drop_emptied_partitions(spark, cfg, "silver_ev_trips", kept, _dates(days))
+            report.update(_rule_counts(candidates, cfg.rules))
+    state["silver_days_refreshed"] = days
+    return report
+
+
+def build_gold(spark: SparkSession, cfg: PipelineConfig, state: dict) -> None:
     silver = read_table(spark, cfg.root, "silver_ev_trips")
-    write_table(vehicle_daily_stats(silver, cfg.clock()), cfg.root, "gold_vehicle_daily_stats")
+    days = state.get("silver_days_refreshed")
+    if days is None:
+        write_table(vehicle_daily_stats(silver, cfg.clock()), cfg.root, "gold_vehicle_daily_stats")
+    elif days:
+        dates = _dates(days)
+        daily = vehicle_daily_stats(silver.filter(F.col("trip_date").isin(dates)), cfg.clock())
+        daily = materialize(daily, "daily-refresh")
+        write_table(daily, cfg.root, "gold_vehicle_daily_stats", only_touched_partitions=True)
+        _drop_emptied_partitions(spark, cfg, "gold_vehicle_daily_stats", daily, dates)
     write_table(route_patterns(silver, now=cfg.clock()), cfg.root, "gold_route_patterns")
     write_table(temporal_patterns(silver, cfg.clock()), cfg.root, "gold_temporal_patterns")
 
@@ -82,17 +217,28 @@ def build_ml_features(spark: SparkSession, cfg: PipelineConfig) -> None:
 
 
 def run(spark: SparkSession, cfg: PipelineConfig) -> dict:
-    """Run every layer; returns ingested row count and silver rule counts.
+    """Ingest new files and refresh every layer; returns row counts and rule counts.
 
     Intermediate results of this run go to one folder under the checkpoint
     root, removed once every table is written (kept if the run fails)."""
     run_dir = scratch_path(spark, "pipeline-run")
     spark.conf.set(RUN_SCRATCH_CONF, run_dir)
+    state = load_state(cfg)
     try:
-        cfg.results["bronze_rows_ingested"] = ingest_bronze(spark, cfg)
-        cfg.results["silver_quality"] = build_silver(spark, cfg)
-        build_gold(spark, cfg)
+        cfg.results["bronze_rows_ingested"] = ingest_bronze(spark, cfg, state)
+        if not path_exists(table_path(cfg.root, "bronze_ev_telemetry")):
+            return cfg.results  # nothing ingested yet
+        latest = int(state.get("ingest_runs", 0))
+        if state.get("silver_through_run") == latest and not cfg.full_refresh:
+            cfg.results["silver_quality"] = {"mode": "unchanged"}
+            state["silver_days_refreshed"] = []
+        else:
+            cfg.results["silver_quality"] = build_silver(spark, cfg, state)
+        build_gold(spark, cfg, state)
         build_ml_features(spark, cfg)
+        state["silver_through_run"] = latest
+        state.pop("silver_days_refreshed", None)
+        save_state(cfg, state)
     finally:
         spark.conf.unset(RUN_SCRATCH_CONF)
     if not cfg.keep_intermediate:

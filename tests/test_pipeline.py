@@ -36,11 +36,12 @@ def test_pipeline_layers(spark, tmp_dir):
     for name in TABLES:
         assert read_table(spark, cfg.root, name).count() >= 0
     from fleetframe.plans.catalog import describe_table
-    assert describe_table(cfg.root, "silver_ev_trips")["cluster_by"] == ["VehId", "DayNum"]
+    spec = describe_table(cfg.root, "silver_ev_trips")
+    assert spec["cluster_by"] == ["trip_date", "VehId", "DayNum"] and spec["partition_by"] == ["trip_date"]
     field = read_table(spark, cfg.root, "silver_ev_trips").schema["distance_km"]
     assert "great-circle" in field.metadata["comment"]
 
-    # a second run with no new files ingests nothing and rewrites the same tables
+    # a second run with no new files ingests nothing and leaves silver as it is
     again = run(spark, cfg)
-    assert again["bronze_rows_ingested"] == 0
+    assert again["bronze_rows_ingested"] == 0 and again["silver_quality"]["mode"] == "unchanged"
     assert read_table(spark, cfg.root, "silver_ev_trips").count() == silver_rows
