@@ -87,9 +87,12 @@ def ingest_bronze(spark: SparkSession, cfg: PipelineConfig, state: dict) -> int:
     def tag(stream: DataFrame) -> DataFrame:
         return typed_samples(stream).withColumn(RUN_COLUMN, F.lit(run_no))
 
-    rows = run_ingest(spark, cfg.source_path, table_path(cfg.root, "bronze_ev_telemetry"),
-                      f"{cfg.checkpoint}/bronze_ev_telemetry", now=cfg.clock(),
-                      transform=tag, max_files_per_trigger=cfg.max_files_per_trigger)
+    try:
+        rows = run_ingest(spark, cfg.source_path, table_path(cfg.root, "bronze_ev_telemetry"),
+                          f"{cfg.checkpoint}/bronze_ev_telemetry", now=cfg.clock(),
+                          transform=tag, max_files_per_trigger=cfg.max_files_per_trigger)
+    except FileNotFoundError:
+        return 0  # no file has arrived yet (nothing to take a schema from)
     if rows:
         state["ingest_runs"] = run_no
         save_state(cfg, state)

@@ -45,3 +45,10 @@ def test_pipeline_layers(spark, tmp_dir):
     again = run(spark, cfg)
     assert again["bronze_rows_ingested"] == 0 and again["silver_quality"]["mode"] == "unchanged"
     assert read_table(spark, cfg.root, "silver_ev_trips").count() == silver_rows
+
+
+def test_pipeline_before_any_file(spark, tmp_dir):
+    import os
+    os.makedirs(f"{tmp_dir}/incoming")
+    cfg = PipelineConfig(source_path=f"{tmp_dir}/incoming", root=f"{tmp_dir}/lake")
+    assert run(spark, cfg) == {"bronze_rows_ingested": 0}
