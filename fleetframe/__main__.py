@@ -1,6 +1,7 @@
 """Command line: ``python -m fleetframe run --source DIR --root DIR`` (or via spark-submit).
 
-Runs every layer once: new CSV files -> bronze -> silver -> gold -> features.
+Ingests new CSV files and refreshes every layer (bronze -> silver -> gold ->
+features); silver and daily stats are refreshed for the touched days only.
 The Spark session comes from the environment (spark-submit / spark-defaults);
 ``--master`` is only for local runs.
 """
@@ -20,6 +21,7 @@ def main(argv=None) -> int:
     run.add_argument("--strict", action="store_true", help="also drop zero-distance/energy trips")
     run.add_argument("--now", help="fixed processing time (ISO text) for reproducible runs")
     run.add_argument("--max-files-per-trigger", type=int)
+    run.add_argument("--full-refresh", action="store_true", help="rebuild silver from all of bronze")
     run.add_argument("--master", help="e.g. local[8]; default: the submitting environment")
     args = ap.parse_args(argv)
 
@@ -31,7 +33,8 @@ def main(argv=None) -> int:
         builder = builder.master(args.master)
     spark = builder.getOrCreate()
     cfg = PipelineConfig(source_path=args.source, root=args.root, now=args.now, strict=args.strict,
-                         max_files_per_trigger=args.max_files_per_trigger)
+                         max_files_per_trigger=args.max_files_per_trigger,
+                         full_refresh=args.full_refresh)
     print(json.dumps(run_pipeline(spark, cfg), default=str))
     return 0
 

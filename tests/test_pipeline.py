@@ -52,3 +52,15 @@ def test_pipeline_before_any_file(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/incoming")
     cfg = PipelineConfig(source_path=f"{tmp_dir}/incoming", root=f"{tmp_dir}/lake")
     assert run(spark, cfg) == {"bronze_rows_ingested": 0}
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    import json
+    from fleetframe.__main__ import main
+    write_csv(telemetry(spark, SF_TINY), f"{tmp_dir}/in/b1", partitions=1)
+    assert main(["run", "--source", f"{tmp_dir}/in", "--root", f"{tmp_dir}/lake",
+                 "--now", "2024-01-01 00:00:00"]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["bronze_rows_ingested"] == 1000 and report["silver_quality"]["mode"] == "full"
+    assert main(["run", "--source", f"{tmp_dir}/in", "--root", f"{tmp_dir}/lake", "--full-refresh"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["silver_quality"]["mode"] == "full"
