@@ -56,11 +56,8 @@ SAMPLE_COLUMNS = list(SAMPLE_TYPES)
 COMBUSTION_SIGNALS = ["fuel_rate_lph", "maf_gps", "engine_rpm"]
 BATTERY_SIGNALS = ["battery_soc_pct", "battery_current_a", "battery_voltage_v"]
 
-# Raw CSV schema: every column as text.  Typing happens in one place
-# (operators.cleaning) with try_cast, so "NaN", "nan", blanks and junk all
-# become NULL the same way in batch and in streaming reads.
-RAW_CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
-
+# --- Fixed values: key columns, the vehicle label, and the output column names
+# --- and order of every table (the tables' public interface).
 TRIP_KEYS = ["DayNum", "VehId", "Trip"]
 ROUTE_KEYS = ["origin_lat_rounded", "origin_lon_rounded", "dest_lat_rounded", "dest_lon_rounded"]
 

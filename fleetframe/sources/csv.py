@@ -163,12 +163,6 @@ def remove_dir(path: str) -> None:
         filesystem.delete_dir(local)
 
 
-def merged_schema_json(df: DataFrame) -> str:
-    """The schema of a header-aligned read, as JSON (kept next to the data so a
-    later stream can be restarted with the widened column set)."""
-    return df.schema.json()
-
-
 def schema_from_json(text: str) -> T.StructType:
     return T.StructType.fromJson(json.loads(text))
 
@@ -177,7 +171,3 @@ def write_csv(df: DataFrame, path: str, partitions: int | None = None) -> None:
     """Header CSV, text as is, NULL as empty field."""
     out = df.repartition(partitions) if partitions else df
     out.write.mode("overwrite").option("header", True).csv(path)
-
-
-def with_ingestion_time(df: DataFrame, now=None) -> DataFrame:
-    return df.withColumn("ingestion_timestamp", now if now is not None else F.current_timestamp())
