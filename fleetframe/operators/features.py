@@ -17,7 +17,7 @@ from fleetframe.functions.calendar import hour_cos, hour_sin, is_rush_hour, is_w
 from fleetframe.functions.numeric import guarded_ratio
 from fleetframe.operators.aggregates import with_route_key
 from fleetframe.operators.history import (
-    key_profile, plain_trailing_aggregates, trailing_aggregates,
+    key_profiles, plain_trailing_aggregates, trailing_aggregates,
 )
 from fleetframe.schema import FEATURE_COLUMNS, ROUTE_KEYS
 from fleetframe.session import materialize
@@ -150,12 +150,11 @@ def history_stage(trips: DataFrame, chunks: int | None = None, skew_safe: bool =
     """Route key, vehicle and route history, engineered columns (all trips).
 
     ``trips`` should be a scan of written data: key sizes are measured on it
-    (two small aggregates) before the windows are planned."""
+    (one job, two small aggregates) before the windows are planned."""
     keyed = with_route_key(trips)
-    v_profile = key_profile(keyed, ["VehId"]) if skew_safe else None
-    r_profile = key_profile(keyed, ROUTE_KEYS) if skew_safe else None
-    vehicles = vehicle_history(keyed, chunks, skew_safe, v_profile)
-    return engineered(route_history(vehicles, chunks, skew_safe, r_profile))
+    profiles = key_profiles(keyed, {"vehicle": ["VehId"], "route": ROUTE_KEYS}) if skew_safe else {}
+    vehicles = vehicle_history(keyed, chunks, skew_safe, profiles.get("vehicle"))
+    return engineered(route_history(vehicles, chunks, skew_safe, profiles.get("route")))
 
 
 def with_fleet_comparison(hist: DataFrame) -> DataFrame:
