@@ -35,6 +35,7 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from fleetframe.operators.joins import broadcast_budget_bytes
 from fleetframe.session import materialize
 
 # When a key is split (see module doc).
@@ -44,6 +45,11 @@ SKEW_FACTOR_CONF = "fleetframe.history.skewFactor"
 DEFAULT_SKEW_FACTOR = 4.0
 MIN_SPLIT_ROWS_CONF = "fleetframe.history.minSplitRows"
 DEFAULT_MIN_SPLIT_ROWS = 100_000
+# Target rows per chunk of the split plan (more chunks for larger inputs).
+CHUNK_ROWS_CONF = "fleetframe.history.chunkRows"
+DEFAULT_CHUNK_ROWS = 1_000_000
+# Bytes per row of the halo plan (key columns, chunk ids, counts).
+_HALO_ROW_BYTES = 96
 
 _CHUNK, _ROW, _N, _LAST = "_tw_chunk", "_tw_row", "_tw_n", "_tw_last"
 _TARGET, _HALO = "_tw_target", "_tw_halo"
@@ -56,8 +62,14 @@ def plain_trailing_aggregates(df: DataFrame, partition_by, order_by, frame: int,
     return df.withColumns({name: agg.over(w) for name, agg in aggregates.items()})
 
 
-def _default_chunks(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+def _default_chunks(df: DataFrame, total_rows: int | None = None) -> int:
+    """At least the shuffle partitions; more when the input is large."""
+    conf = df.sparkSession.conf
+    base = int(conf.get("spark.sql.shuffle.partitions", "200"))
+    if not total_rows:
+        return base
+    per_chunk = int(conf.get(CHUNK_ROWS_CONF, str(DEFAULT_CHUNK_ROWS)))
+    return max(base, -(-total_rows // per_chunk))
 
 
 def _same_key(left: DataFrame, right: DataFrame, keys) -> Column:
@@ -136,6 +148,7 @@ def trailing_aggregates(df: DataFrame, partition_by, order_by, frame: int,
         profile = key_profile(df, partition_by)
     if not is_hot(df, profile):
         return plain_trailing_aggregates(df, partition_by, order_by, frame, aggregates)
+    chunks = chunks or _default_chunks(df, profile[1])
     return chunked_trailing_aggregates(df, partition_by, order_by, frame, aggregates, chunks)
 
 
@@ -160,10 +173,13 @@ def chunked_trailing_aggregates(df: DataFrame, partition_by, order_by, frame: in
         F.count(F.lit(1)).alias(_N), F.max(_ROW).alias(_LAST))
     plan = halo_plan(counts, partition_by, frame)  # <= chunks * frame rows
 
+    # the plan has at most chunks * frame rows: broadcast it while that bound
+    # fits the session's budget, else join it by shuffle
+    small = chunks * frame * _HALO_ROW_BYTES <= broadcast_budget_bytes(df.sparkSession)
     k, p = keyed.alias("k"), plan.alias("p")
     cond = (_same_key(k, p, partition_by) & (k[_CHUNK] == p["src"])
             & (k[_ROW] > p["last"] - p["take"]))
-    halo = (k.join(F.broadcast(p), cond, "inner")
+    halo = (k.join(F.broadcast(p) if small else p, cond, "inner")
             .select(*[k[c] for c in cols], p[_TARGET].alias(_TARGET), F.lit(True).alias(_HALO)))
     own = keyed.select(*cols, F.col(_CHUNK).alias(_TARGET), F.lit(False).alias(_HALO))
 

@@ -95,3 +95,22 @@ def test_hot_key_threshold_is_relative_to_partition_size(spark):
         assert hot_key_rows(spark, 10**12) == 5_000_000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_halo_join_without_broadcast_matches(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")   # bound exceeds budget
+    try:
+        df = data(spark)
+        chunked = chunked_trailing_aggregates(df, ["k"], ["o"], 7, aggs(), chunks=11)
+        assert rows_of(chunked) == rows_of(plain_trailing_aggregates(df, ["k"], ["o"], 7, aggs()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_chunk_count_grows_with_input(spark):
+    from fleetframe.operators.history import _default_chunks
+    df = data(spark)
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert _default_chunks(df, 10) == base
+    assert _default_chunks(df, 3_500_000_000) == 3500
