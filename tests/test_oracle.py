@@ -43,3 +43,16 @@ def test_split_key_plan_matches_oracle(spark, name):
     finally:
         spark.conf.unset("fleetframe.history.maxKeyRows")
     assert r["match"], r
+
+
+_DUCK_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+              "date": "DATE", "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
+def test_column_types_match_oracle(spark):
+    con = duck_connection(SF_TINY)
+    for name, fn in QUERIES.items():
+        rel = con.sql(SQL[name])
+        duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
+        for column, spark_type in fn(spark, SF_TINY).dtypes:
+            assert _DUCK_TYPE.get(spark_type, spark_type) == duck[column], (name, column)
