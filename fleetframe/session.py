@@ -38,8 +38,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    ctx = _context(spark)
+    master = ctx.master if ctx is not None else spark.conf.get("spark.master", "")
+    return master.startswith("local")
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -51,17 +61,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     because a machine-local folder would not survive the loss of an executor.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            root = current
+    ctx = _context(spark)
+    if not root and ctx is not None:
+        root = ctx.getCheckpointDir()
     if not root:
         if not _is_local(spark):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(e.g. an object-store or HDFS path) before running fleetframe jobs")
         root = tempfile.mkdtemp(prefix="fleetframe-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        if ctx is not None:
+            ctx.setCheckpointDir(root)
     return root.rstrip("/")
 
 
