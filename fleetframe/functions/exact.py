@@ -37,6 +37,16 @@ def unit_aggs(x, scale: int, *, squares: bool = False, wide: bool = False) -> di
     return out
 
 
+def unit_values(x, scale: int, *, squares: bool = False) -> dict[str, Column]:
+    """Per-row values whose sums give ``unit_aggs``: units, a 0/1 presence flag
+    and (optionally) squared units as decimal(38,0)."""
+    u = units(x, scale)
+    out = {"s": u, "n": F.when(u.isNotNull(), F.lit(1)).otherwise(F.lit(0))}
+    if squares:
+        out["q"] = u.cast("decimal(38,0)") * u.cast("decimal(38,0)")
+    return out
+
+
 def sum_of(s: Column, scale: int) -> Column:
     """The exact sum as the nearest double."""
     return s.cast("double") / float(10 ** scale)

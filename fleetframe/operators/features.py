@@ -12,13 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetframe.functions.buckets import distance_category, speed_category
-from fleetframe.functions.exact import mean_of, rounded_mean_of, stddev_of, unit_aggs, units
+from fleetframe.functions.exact import mean_of, rounded_mean_of, stddev_of, unit_values, units
 from fleetframe.functions.calendar import hour_cos, hour_sin, is_rush_hour, is_weekend
 from fleetframe.functions.numeric import guarded_ratio
 from fleetframe.operators.aggregates import with_route_key
-from fleetframe.operators.history import (
-    key_profiles, plain_trailing_aggregates, trailing_aggregates,
-)
+from fleetframe.operators.history import key_profiles, trailing_sums
 from fleetframe.schema import FEATURE_COLUMNS, ROUTE_KEYS
 from fleetframe.session import materialize
 
@@ -32,14 +30,19 @@ VEHICLE_ORDER = ["DayNum", "Trip"]
 ROUTE_ORDER = ["DayNum", "VehId", "Trip"]
 
 
-def _history(df, keys, order, frame, aggs, chunks, skew_safe, profile=None):
+def _history(df, keys, order, frame, values, wide, chunks, skew_safe, profile=None):
+    """Trailing sums per key; ``skew_safe=False`` skips measuring and splitting keys."""
     if skew_safe:
-        return trailing_aggregates(df, keys, order, frame, aggs, chunks=chunks, profile=profile)
-    return plain_trailing_aggregates(df, keys, order, frame, aggs)
+        return trailing_sums(df, keys, order, frame, values, wide, chunks=chunks, profile=profile)
+    return trailing_sums(df, keys, order, frame, values, wide, profile=(0, 0))
 
 
-def _frame_aggs(tag: str, column: str, scale: int, squares: bool = False) -> dict[str, Column]:
-    return {f"{tag}_{k}": v for k, v in unit_aggs(column, scale, squares=squares).items()}
+def _frame_values(tag: str, column: str, scale: int, squares: bool = False) -> dict[str, Column]:
+    return {f"{tag}_{k}": v for k, v in unit_values(column, scale, squares=squares).items()}
+
+
+def _present(column: str) -> Column:
+    return F.when(F.col(column).isNotNull(), F.lit(1)).otherwise(F.lit(0))
 
 
 def _parts(tag: str):
@@ -53,11 +56,12 @@ def _drop_parts(df: DataFrame, *tags: str) -> DataFrame:
 def vehicle_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool = True,
                     profile: tuple[int, int] | None = None) -> DataFrame:
     """Previous 30 trips of the same vehicle (by day, then trip number)."""
-    aggs = {**_frame_aggs("_ve", "efficiency_km_per_energy", 4),
-            **_frame_aggs("_vn", "total_energy_consumption", 2, squares=True),
-            **_frame_aggs("_vd", "distance_km", 2),
-            "vehicle_trip_count_last30": F.count("Trip")}
-    out = _history(trips, ["VehId"], VEHICLE_ORDER, VEHICLE_FRAME, aggs, chunks, skew_safe, profile)
+    values = {**_frame_values("_ve", "efficiency_km_per_energy", 4),
+              **_frame_values("_vn", "total_energy_consumption", 2, squares=True),
+              **_frame_values("_vd", "distance_km", 2),
+              "vehicle_trip_count_last30": _present("Trip")}
+    out = _history(trips, ["VehId"], VEHICLE_ORDER, VEHICLE_FRAME, values, {"_vn_q"},
+                   chunks, skew_safe, profile)
     (es, en, _), (ns, nn, nq), (ds, dn, _) = _parts("_ve"), _parts("_vn"), _parts("_vd")
     out = out.withColumns({
         "vehicle_avg_efficiency_last30": rounded_mean_of(es, en, 4, 4),
@@ -72,11 +76,12 @@ def route_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool =
                   profile: tuple[int, int] | None = None) -> DataFrame:
     """Previous 10 trips on the same rounded route (by day, vehicle, trip).
     Needs the route key columns (``with_route_key``)."""
-    aggs = {**_frame_aggs("_rn", "total_energy_consumption", 2),
-            **_frame_aggs("_rd", "duration_minutes", 2),
-            **_frame_aggs("_rs", "avg_speed_kmh", 2),
-            "route_trip_count": F.count("Trip")}
-    out = _history(trips, ROUTE_KEYS, ROUTE_ORDER, ROUTE_FRAME, aggs, chunks, skew_safe, profile)
+    values = {**_frame_values("_rn", "total_energy_consumption", 2),
+              **_frame_values("_rd", "duration_minutes", 2),
+              **_frame_values("_rs", "avg_speed_kmh", 2),
+              "route_trip_count": _present("Trip")}
+    out = _history(trips, ROUTE_KEYS, ROUTE_ORDER, ROUTE_FRAME, values, set(),
+                   chunks, skew_safe, profile)
     (ns, nn, _), (ds, dn, _), (ss, sn, _) = _parts("_rn"), _parts("_rd"), _parts("_rs")
     out = out.withColumns({
         "route_avg_energy_last10": rounded_mean_of(ns, nn, 2, 2),

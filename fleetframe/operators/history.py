@@ -152,11 +152,10 @@ def trailing_aggregates(df: DataFrame, partition_by, order_by, frame: int,
     return chunked_trailing_aggregates(df, partition_by, order_by, frame, aggregates, chunks)
 
 
-def chunked_trailing_aggregates(df: DataFrame, partition_by, order_by, frame: int,
-                                aggregates: dict[str, Column], chunks: int | None = None) -> DataFrame:
-    """The split-key plan (module doc, steps 1-4), whatever the key sizes."""
+def with_halo(df: DataFrame, partition_by, order_by, frame: int, chunks: int) -> DataFrame:
+    """Steps 1-3 of the split plan: every row tagged with its chunk (``_tw_target``)
+    plus copies of the rows each chunk needs from before it (``_tw_halo`` true)."""
     partition_by, order_by = list(partition_by), list(order_by)
-    chunks = chunks or _default_chunks(df)
     cols = df.columns
     # The range exchange samples its input before shuffling it; keep the input
     # for those two passes only (a lost block is recomputed from lineage).
@@ -182,9 +181,61 @@ def chunked_trailing_aggregates(df: DataFrame, partition_by, order_by, frame: in
     halo = (k.join(F.broadcast(p) if small else p, cond, "inner")
             .select(*[k[c] for c in cols], p[_TARGET].alias(_TARGET), F.lit(True).alias(_HALO)))
     own = keyed.select(*cols, F.col(_CHUNK).alias(_TARGET), F.lit(False).alias(_HALO))
+    return own.unionByName(halo)
 
+
+def chunked_trailing_aggregates(df: DataFrame, partition_by, order_by, frame: int,
+                                aggregates: dict[str, Column], chunks: int | None = None) -> DataFrame:
+    """The split-key plan (module doc, steps 1-4), whatever the key sizes."""
+    chunks = chunks or _default_chunks(df)
+    tagged = with_halo(df, partition_by, order_by, frame, chunks)
     w = Window.partitionBy(*partition_by, _TARGET).orderBy(*order_by).rowsBetween(-frame, -1)
-    return (own.unionByName(halo)
-            .withColumns({name: agg.over(w) for name, agg in aggregates.items()})
+    return (tagged.withColumns({name: agg.over(w) for name, agg in aggregates.items()})
             .filter(~F.col(_HALO))
             .drop(_TARGET, _HALO))
+
+
+# --- trailing sums in one pass ------------------------------------------------------
+#
+# A sliding ROWS frame is evaluated by re-aggregating the frame for every row
+# (work ~ rows x frame).  Sums and counts of integers can instead be read off a
+# running total: sum(rows i-N .. i-1) = total(i-1) - total(i-N-1), two lags of
+# one running sum (work ~ rows, exact because the values are integers).
+
+def _trailing_sums_over(df: DataFrame, partition_by, order_by, frame: int,
+                        values: dict[str, Column], wide: set[str]) -> DataFrame:
+    running = Window.partitionBy(*partition_by).orderBy(*order_by).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ordered = Window.partitionBy(*partition_by).orderBy(*order_by)
+    kind = {n: ("decimal(38,0)" if n in wide else "long") for n in values}
+    totals = {f"_run_{n}": F.sum(F.coalesce(v.cast(kind[n]), F.lit(0).cast(kind[n]))).over(running)
+              for n, v in values.items()}
+    with_totals = df.withColumns(totals)
+
+    def trailing(n: str) -> Column:
+        zero = F.lit(0).cast(kind[n])
+        total = F.col(f"_run_{n}")
+        before = F.coalesce(F.lag(total, 1).over(ordered), zero)
+        dropped = F.coalesce(F.lag(total, frame + 1).over(ordered), zero)
+        return (before - dropped).cast("long")
+
+    return with_totals.withColumns({n: trailing(n) for n in values}).drop(*totals)
+
+
+def trailing_sums(df: DataFrame, partition_by, order_by, frame: int, values: dict[str, Column],
+                  wide=(), chunks: int | None = None,
+                  profile: tuple[int, int] | None = None) -> DataFrame:
+    """Add, per row, the sums of integer ``values`` over the previous ``frame``
+    rows of its key (0 for none).  A count is the sum of a 0/1 value.  ``wide``
+    names values whose running totals may exceed a long (sums of squares): those
+    totals are kept in decimal(38,0); every result fits a long.  Hot keys are
+    split as in ``trailing_aggregates``."""
+    partition_by, order_by, wide = list(partition_by), list(order_by), set(wide)
+    if profile is None:
+        profile = key_profile(df, partition_by)
+    if not is_hot(df, profile):
+        return _trailing_sums_over(df, partition_by, order_by, frame, values, wide)
+    chunks = chunks or _default_chunks(df, profile[1])
+    tagged = with_halo(df, partition_by, order_by, frame, chunks)
+    out = _trailing_sums_over(tagged, partition_by + [_TARGET], order_by, frame, values, wide)
+    return out.filter(~F.col(_HALO)).drop(_TARGET, _HALO)

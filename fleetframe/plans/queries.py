@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetframe.functions.calendar import daynum_minute
-from fleetframe.functions.exact import rounded_mean_of, stddev_of, unit_aggs
+from fleetframe.functions.exact import rounded_mean_of, stddev_of, unit_values
 from fleetframe.operators.cleaning import clean_telemetry
 from fleetframe.operators.joins import sized_for_broadcast
 from fleetframe.operators.quality import STRICT_RULES, expect_or_drop, rule_metrics
@@ -262,10 +262,11 @@ def priority_order_history(spark, sf_dir):
     every key is hot, which is what the chunked operator is for."""
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
-    price = unit_aggs("o_totalprice", 2, squares=True)  # prices are in cents
-    out = history.trailing_aggregates(
+    price = unit_values("o_totalprice", 2, squares=True)  # prices are in cents
+    present = F.when(F.col("o_orderkey").isNotNull(), F.lit(1)).otherwise(F.lit(0))
+    out = history.trailing_sums(
         orders, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], 30,
-        {"prev_order_count": F.count("o_orderkey"), **{f"_p{k}": v for k, v in price.items()}})
+        {"prev_order_count": present, **{f"_p{k}": v for k, v in price.items()}}, wide={"_pq"})
     s, n, q = F.col("_ps"), F.col("_pn"), F.col("_pq")
     return out.select("o_orderkey", "o_orderpriority", "o_orderdate", "prev_order_count",
                       rounded_mean_of(s, n, 2, 2).alias("prev_avg_totalprice"),

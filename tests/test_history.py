@@ -2,7 +2,7 @@
 
 from conftest import rows_of
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from fleetframe.functions.exact import rounded_mean_of, unit_aggs
 from fleetframe.operators.history import (
@@ -114,3 +114,23 @@ def test_chunk_count_grows_with_input(spark):
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert _default_chunks(df, 10) == base
     assert _default_chunks(df, 3_500_000_000) == 3500
+
+
+@pytest.mark.parametrize("frame,force_split", [(1, False), (3, False), (30, False), (3, True), (30, True)])
+def test_trailing_sums_equal_sliding_frames(spark, frame, force_split):
+    from fleetframe.operators.history import trailing_sums
+    df = data(spark).withColumn("u", (F.col("x") * 100).cast("long"))
+    values = {"s": F.col("u"), "n": F.when(F.col("u").isNotNull(), 1).otherwise(0),
+              "q": F.col("u").cast("decimal(38,0)") * F.col("u").cast("decimal(38,0)")}
+    profile = (10**9, 10**9) if force_split else None
+    got = trailing_sums(df, ["k"], ["o"], frame, values, wide={"q"}, chunks=7, profile=profile)
+    w = Window.partitionBy("k").orderBy("o").rowsBetween(-frame, -1)
+    want = df.withColumns({
+        "s": F.coalesce(F.sum("u").over(w), F.lit(0)).cast("long"),
+        "n": F.count("u").over(w),
+        "q": F.coalesce(F.sum(F.col("u") * F.col("u")).over(w), F.lit(0)).cast("long")})
+    cols = ["k", "o", "s", "n", "q"]
+    assert rows_of(got.select(*cols)) == rows_of(want.select(*cols))
+    if force_split:
+        from fleetframe.plans.inspect import plan_text
+        assert "_tw_target" in plan_text(got)
