@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from fleetframe.functions.numeric import clean_numeric
-from fleetframe.schema import RAW_TO_CANONICAL, SAMPLE_COLUMNS, SAMPLE_TYPES
+from fleetframe.schema import RAW_TO_CANONICAL, SAMPLE_COLUMNS, SAMPLE_TYPES, TRIP_KEYS
 
 _FRACTIONAL = (T.DoubleType, T.FloatType, T.DecimalType)
 _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
@@ -34,10 +34,14 @@ def _typed(col: Column, source: T.DataType, target: T.DataType) -> Column:
 def clean_telemetry(raw: DataFrame, keep_extra: bool = False) -> DataFrame:
     """Typed canonical samples from raw telemetry (raw or canonical names).
 
-    Columns missing from ``raw`` come out as NULL (schema evolution: older
-    files may lack newer signals).  ``keep_extra`` passes other columns through.
+    Signal columns missing from ``raw`` come out as NULL (schema evolution:
+    older files may lack newer signals); the trip keys must be present.
+    ``keep_extra`` passes other columns through.
     """
     fields = {f.name: f.dataType for f in raw.schema.fields}
+    missing = [k for k in TRIP_KEYS if k not in fields]
+    if missing:
+        raise ValueError(f"telemetry without trip key column(s) {missing}; columns: {sorted(fields)}")
     out = []
     for raw_name, name in RAW_TO_CANONICAL.items():
         src = raw_name if raw_name in fields else (name if name in fields else None)

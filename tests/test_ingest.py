@@ -88,3 +88,10 @@ def test_distributed_header_discovery(spark, tmp_dir, monkeypatch):
     rows = clean_telemetry(read_telemetry_csv(spark, tmp_dir)).collect()
     assert sorted((r["VehId"], r["Trip"], r["DayNum"]) for r in rows) == [
         (i, i + 100, i + 0.5) for i in range(12)]
+
+
+def test_missing_trip_keys_fail_loudly(spark):
+    import pytest
+    df = spark.createDataFrame([("1", "2.5")], "VehId string, Energy_Consumption string")
+    with pytest.raises(ValueError, match="DayNum"):
+        clean_telemetry(df)
