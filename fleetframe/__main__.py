@@ -20,7 +20,7 @@ def main(argv=None) -> int:
     run.add_argument("--root", required=True, help="output root: <root>/<layer>/<table>")
     run.add_argument("--strict", action="store_true", help="also drop zero-distance/energy trips")
     run.add_argument("--now", help="fixed processing time (ISO text) for reproducible runs")
-    run.add_argument("--max-files-per-trigger", type=int)
+    run.add_argument("--max-files-per-trigger", type=int, default=1000)
     run.add_argument("--full-refresh", action="store_true", help="rebuild silver from all of bronze")
     run.add_argument("--master", help="e.g. local[8]; default: the submitting environment")
     args = ap.parse_args(argv)

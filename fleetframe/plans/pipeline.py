@@ -52,7 +52,8 @@ class PipelineConfig:
     now: str | None = None       # fixed processing time (ISO text) for reproducible runs
     strict: bool = False         # also drop zero-distance / zero-energy / keyless trips
     chunks: int | None = None    # range chunks of the history windows
-    max_files_per_trigger: int | None = None  # split a large backlog into several batches
+    # a large backlog is ingested as several committed batches, not one
+    max_files_per_trigger: int | None = 1000
     keep_intermediate: bool = False  # keep this run's intermediate files (debugging)
     full_refresh: bool = False   # rebuild silver from all of bronze
     results: dict = field(default_factory=dict)

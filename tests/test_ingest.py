@@ -95,3 +95,15 @@ def test_missing_trip_keys_fail_loudly(spark):
     df = spark.createDataFrame([("1", "2.5")], "VehId string, Energy_Consumption string")
     with pytest.raises(ValueError, match="DayNum"):
         clean_telemetry(df)
+
+
+def test_backlog_in_several_batches(spark, tmp_dir):
+    from fleetframe.streaming.ingest import ingest_csv_stream
+    raw = telemetry(spark, SF_TINY)
+    write_csv(raw, f"{tmp_dir}/src/d1", partitions=5)
+    q = ingest_csv_stream(spark, f"{tmp_dir}/src", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt",
+                          max_files_per_trigger=2)
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if (p["numInputRows"] if isinstance(p, dict) else p.numInputRows)]
+    assert len(batches) == 3
+    assert spark.read.parquet(f"{tmp_dir}/sink").count() == raw.count()
