@@ -39,7 +39,7 @@ from fleetframe.operators.trips import ev_trip_aggregates, trip_measures
 from fleetframe.operators.vehicles import vehicle_signals
 from fleetframe.plans.catalog import read_table, table_path, write_table
 from fleetframe.schema import BEV_LABEL
-from fleetframe.session import RUN_SCRATCH_CONF, materialize, scratch_path
+from fleetframe.session import materialize, run_folder, scratch_path
 from fleetframe.sources.csv import path_exists, read_text, remove_dir, write_text
 from fleetframe.streaming.ingest import run_ingest, typed_samples
 
@@ -227,9 +227,8 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> dict:
     Intermediate results of this run go to one folder under the checkpoint
     root, removed once every table is written (kept if the run fails)."""
     run_dir = scratch_path(spark, "pipeline-run")
-    spark.conf.set(RUN_SCRATCH_CONF, run_dir)
     state = load_state(cfg)
-    try:
+    with run_folder(run_dir):
         cfg.results["bronze_rows_ingested"] = ingest_bronze(spark, cfg, state)
         if not path_exists(table_path(cfg.root, "bronze_ev_telemetry")):
             return cfg.results  # nothing ingested yet
@@ -244,8 +243,6 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> dict:
             state["silver_through_run"] = latest
             state.pop("silver_days_refreshed", None)
             save_state(cfg, state)
-    finally:
-        spark.conf.unset(RUN_SCRATCH_CONF)
     if not cfg.keep_intermediate:
         remove_dir(run_dir)
     return cfg.results

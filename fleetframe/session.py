@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -75,14 +77,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-# Session conf naming the folder of the current pipeline run (set by plans.pipeline).
-RUN_SCRATCH_CONF = "fleetframe.scratch.run"
+# Folder of the pipeline run active in this thread/context (set by plans.pipeline);
+# other threads sharing the session keep writing to the common folder.
+_RUN_DIR: ContextVar[str | None] = ContextVar("fleetframe_run_dir", default=None)
+
+
+@contextmanager
+def run_folder(path: str):
+    """Put this context's intermediates under ``path`` while the block runs."""
+    token = _RUN_DIR.set(path)
+    try:
+        yield path
+    finally:
+        _RUN_DIR.reset(token)
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A new, unique folder under the checkpoint root (under the current
-    pipeline run's folder while one is active)."""
-    base = spark.conf.get(RUN_SCRATCH_CONF, None) or f"{checkpoint_root(spark)}/fleetframe"
+    pipeline run's folder while one is active in this context)."""
+    base = _RUN_DIR.get() or f"{checkpoint_root(spark)}/fleetframe"
     return f"{base}/{tag}-{uuid.uuid4().hex[:12]}"
 
 
