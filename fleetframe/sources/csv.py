@@ -142,12 +142,17 @@ def path_exists(path: str) -> bool:
 
 
 def write_text(path: str, text: str) -> None:
+    """Write a small text file whole: to a temporary name, then renamed over the
+    target, so a crash never leaves a half-written file (state, schema)."""
+    import uuid
     filesystem, local = _filesystem(path)
     parent = local.rsplit("/", 1)[0]
     if parent:
         filesystem.create_dir(parent, recursive=True)
-    with filesystem.open_output_stream(local) as f:
+    temporary = f"{local}.tmp-{uuid.uuid4().hex[:8]}"
+    with filesystem.open_output_stream(temporary) as f:
         f.write(text.encode("utf-8"))
+    filesystem.move(temporary, local)
 
 
 def read_text(path: str) -> str:
