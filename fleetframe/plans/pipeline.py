@@ -146,12 +146,15 @@ def _rule_counts(candidates: DataFrame, rules) -> dict:
     return out
 
 
-def _affected_days(spark: SparkSession, cfg: PipelineConfig, new_rows: DataFrame) -> list[int]:
-    """Day numbers (floor of DayNum) of new samples of EV vehicles (a few per run)."""
+def _affected_days(spark: SparkSession, cfg: PipelineConfig, new_rows: DataFrame) -> list[int] | None:
+    """Day numbers (floor of DayNum) of new samples of EV vehicles (a few per run);
+    None when some have no DayNum (their trip has no date partition to refresh)."""
     ev = read_table(spark, cfg.root, "ev_vehicles").select("VehId")
     days = (clean_telemetry(new_rows).join(ev, "VehId", "left_semi")
-            .select(F.floor("DayNum").alias("d")).where(F.col("d").isNotNull()).distinct())
-    return sorted(int(r["d"]) for r in days.collect())
+            .select(F.floor("DayNum").alias("d")).distinct().collect())
+    if any(r["d"] is None for r in days):
+        return None
+    return sorted(int(r["d"]) for r in days)
 
 
 def _dates(days: list[int]) -> list:
@@ -179,13 +182,15 @@ def build_silver(spark: SparkSession, cfg: PipelineConfig, state: dict) -> dict:
     if refresh_vehicles(spark, cfg, bronze, new_rows):
         incremental = False
     samples = clean_telemetry(bronze)
+    days = _affected_days(spark, cfg, new_rows) if incremental else None
+    if days is None:
+        incremental = False
     if not incremental:
         candidates = _trip_candidates(spark, cfg, samples)
         write_table(expect_or_drop(candidates, cfg.rules), cfg.root, "silver_ev_trips")
         report = {"mode": "full", **_rule_counts(candidates, cfg.rules)}
         days = None
     else:
-        days = _affected_days(spark, cfg, new_rows)
         report = {"mode": "incremental", "days": len(days), "rows_in": 0}
         if days:
             in_days = (F.floor("DayNum").isin(days)

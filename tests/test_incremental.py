@@ -68,3 +68,19 @@ def test_vehicle_class_change_rebuilds(spark, tmp_dir):
     write_csv(turned, f"{full.source_path}/d2", partitions=1)
     run(spark, full)
     assert _tables(spark, inc) == _tables(spark, full)
+
+
+def test_sample_without_daynum_rebuilds(spark, tmp_dir):
+    first, _ = _drops(spark)
+    ev_id = first.filter(F.col("VehId") % 5 == 2).agg(F.min("VehId")).first()[0]
+    undated = first.filter(F.col("VehId") == ev_id).limit(1).withColumn("DayNum", F.lit(None).cast("double"))
+    inc = _cfg(tmp_dir, "inc3")
+    write_csv(first, f"{inc.source_path}/d1", partitions=2)
+    run(spark, inc)
+    write_csv(undated, f"{inc.source_path}/d2", partitions=1)
+    assert run(spark, inc)["silver_quality"]["mode"] == "full"
+    full = _cfg(tmp_dir, "full3")
+    write_csv(first, f"{full.source_path}/d1", partitions=2)
+    write_csv(undated, f"{full.source_path}/d2", partitions=1)
+    run(spark, full)
+    assert _tables(spark, inc) == _tables(spark, full)
