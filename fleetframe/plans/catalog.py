@@ -100,9 +100,10 @@ def write_table(df: DataFrame, root: str, name: str, only_touched_partitions: bo
         out = out.repartitionByRange(*spec.cluster_by).sortWithinPartitions(*spec.cluster_by)
     writer = out.write.mode("overwrite")
     if spec.partition_by:
-        writer = writer.partitionBy(*spec.partition_by)
-        if only_touched_partitions:
-            writer = writer.option("partitionOverwriteMode", "dynamic")
+        # explicit either way: a session default of "dynamic" must not turn a
+        # full rewrite into a partial one (stale partitions would survive)
+        writer = (writer.partitionBy(*spec.partition_by)
+                  .option("partitionOverwriteMode", "dynamic" if only_touched_partitions else "static"))
     writer.parquet(path)
     write_text(f"{path}/_table.json", json.dumps(
         {"name": spec.name, "layer": spec.layer, "comment": spec.comment,

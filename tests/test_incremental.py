@@ -52,6 +52,15 @@ def test_incremental_equals_full(spark, tmp_dir):
 
 
 def test_vehicle_class_change_rebuilds(spark, tmp_dir):
+    # a session default of dynamic overwrite must not leave the removed vehicle's days behind
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        _vehicle_class_change_rebuilds(spark, tmp_dir)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def _vehicle_class_change_rebuilds(spark, tmp_dir):
     first, _ = _drops(spark)
     ev_id = first.filter(F.col("VehId") % 5 == 2).agg(F.min("VehId")).first()[0]
     turned = first.filter(F.col("VehId") == ev_id).limit(1).withColumn("Fuel Rate[L/hr]", F.lit("2.0"))
