@@ -15,18 +15,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetframe.functions.calendar import daynum_minute
 from fleetframe.functions.exact import rounded_mean_of, stddev_of, unit_values
+from fleetframe.operators import aggregates, features, history
 from fleetframe.operators.cleaning import clean_telemetry
 from fleetframe.operators.joins import sized_for_broadcast
 from fleetframe.operators.quality import STRICT_RULES, expect_or_drop, rule_metrics
 from fleetframe.operators.trips import build_trips, ev_trip_aggregates, trip_measures
 from fleetframe.operators.vehicles import ev_vehicles, vehicle_signals
-from fleetframe.operators import aggregates, features, history
 from fleetframe.schema import (
     BATTERY_COLUMNS, CATEGORY_COLUMNS, COMPLEXITY_COLUMNS, INTERACTION_COLUMNS, RATIO_COLUMNS,
-    ROUTE_HISTORY_COLUMNS, ROUTE_KEYS, SAMPLE_COLUMNS, SILVER_COLUMNS, TIME_COLUMNS, TRIP_KEYS,
-    VEHICLE_HISTORY_COLUMNS,
+    RAW_COLUMNS, ROUTE_HISTORY_COLUMNS, ROUTE_KEYS, SAMPLE_COLUMNS, SILVER_COLUMNS, TIME_COLUMNS,
+    TRIP_KEYS, VEHICLE_HISTORY_COLUMNS,
 )
-from fleetframe.schema import RAW_COLUMNS
 from fleetframe.session import materialize, scratch_path
 from fleetframe.sources.csv import read_telemetry_csv, write_csv
 from fleetframe.sources.testbed import read_table, telemetry
