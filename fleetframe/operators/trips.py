@@ -25,9 +25,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fleetframe.functions.calendar import (
-    daynum_date, daynum_hour, end_datetime_text, start_datetime_text,
-)
+from fleetframe.functions.calendar import clock_text, daynum_date, daynum_hour, daynum_minute
 from fleetframe.functions.geo import haversine_km
 from fleetframe.functions.numeric import safe_ratio
 from fleetframe.operators.joins import sized_for_broadcast
@@ -90,23 +88,27 @@ def trip_aggregates(samples: DataFrame) -> DataFrame:
 def trip_measures(agg: DataFrame, now: Column | None = None) -> DataFrame:
     """Derived trip columns in the silver order (no rows dropped).
 
-    One projection built from shared Column values (one analysis pass; repeated
-    sub-expressions are evaluated once by codegen)."""
+    Two projections: the clock parts (date, hour, minute, duration, end second)
+    first, each computed once; then the columns built from them."""
     c = F.col
-    duration_seconds = (c("end_timestamp_ms") - c("start_timestamp_ms")) / 1000
+    parts = agg.withColumns({
+        "_duration": (c("end_timestamp_ms") - c("start_timestamp_ms")) / 1000,
+        "_date": daynum_date("DayNum"),
+        "_hour": daynum_hour("DayNum"),
+        "_minute": daynum_minute("DayNum"),
+    }).withColumn("_end_second", c("_hour") * 3600 + c("_minute") * 60 + F.floor(c("_duration")))
     distance = haversine_km("origin_lat", "origin_lon", "destination_lat", "destination_lon")
-    trip_date = daynum_date("DayNum")
     derived = {
-        "trip_date": trip_date,
-        "trip_start_datetime": start_datetime_text("DayNum"),
-        "trip_end_datetime": end_datetime_text("DayNum", duration_seconds),
-        "trip_year": F.year(trip_date),
-        "trip_month": F.month(trip_date),
-        "trip_dayofweek": F.dayofweek(trip_date),
-        "trip_hour": daynum_hour("DayNum"),
+        "trip_date": c("_date"),
+        "trip_start_datetime": clock_text(c("_date"), c("_hour") * 3600 + c("_minute") * 60),
+        "trip_end_datetime": clock_text(c("_date"), c("_end_second")),
+        "trip_year": F.year("_date"),
+        "trip_month": F.month("_date"),
+        "trip_dayofweek": F.dayofweek("_date"),
+        "trip_hour": c("_hour"),
         "distance_km": distance,
-        "duration_seconds": duration_seconds,
-        "duration_minutes": F.round(duration_seconds / 60, 2),
+        "duration_seconds": c("_duration"),
+        "duration_minutes": F.round(c("_duration") / 60, 2),
         # rounded distance over unrounded energy; zero energy -> NULL
         "efficiency_km_per_energy": F.round(safe_ratio(distance, c("total_energy_consumption")), 4),
         "total_energy_consumption": F.round("total_energy_consumption", 2),
@@ -118,8 +120,8 @@ def trip_measures(agg: DataFrame, now: Column | None = None) -> DataFrame:
         "elevation_gain_m": F.round(c("max_elevation_m") - c("min_elevation_m"), 2),
         "processing_timestamp": now if now is not None else F.current_timestamp(),
     }
-    return agg.select(*[derived[name].alias(name) if name in derived else c(name)
-                        for name in SILVER_COLUMNS])
+    return parts.select(*[derived[name].alias(name) if name in derived else c(name)
+                          for name in SILVER_COLUMNS])
 
 
 def ev_trip_aggregates(samples: DataFrame, vehicles: DataFrame | None = None,
