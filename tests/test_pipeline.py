@@ -33,6 +33,17 @@ def test_pipeline_layers(spark, tmp_dir):
     expected_f = REGISTRY["feature_table"](spark, SF_TINY)
     fcols = [c for c in feats.columns if c != "feature_timestamp"]
     assert rows_of(feats.select(*fcols)) == rows_of(expected_f.select(*fcols))
+    from pyspark.sql import functions as F
+
+    def rounded(df):  # the queries round unrounded float columns to 4 decimals for the oracle
+        return df.select(*[F.round(c, 4).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+    for table, query_name in (("gold_vehicle_daily_stats", "vehicle_daily_stats"),
+                              ("gold_route_patterns", "route_patterns"),
+                              ("gold_temporal_patterns", "temporal_patterns")):
+        got = rounded(read_table(spark, cfg.root, table).drop("processing_timestamp"))
+        expected_g = rounded(REGISTRY[query_name](spark, SF_TINY)).select(*got.columns)
+        assert rows_of(got) == rows_of(expected_g), table
     for name in TABLES:
         assert read_table(spark, cfg.root, name).count() >= 0
     from fleetframe.plans.catalog import describe_table
