@@ -62,3 +62,42 @@ def test_trailing_sums_equal_brute_force(spark, data, frame, split):
         for i, (o, _) in enumerate(seq):
             prev = [v for _, v in seq[max(0, i - frame):i] if v is not None]
             assert got[(k, o)] == (sum(prev), len(prev), sum(v * v for v in prev)), (k, o)
+
+
+coords = st.tuples(st.floats(-90, 90), st.floats(-180, 180), st.floats(-90, 90), st.floats(-180, 180))
+
+
+@SETTINGS
+@given(st.lists(coords, min_size=1, max_size=200))
+def test_haversine_matches_python(spark, points):
+    import math
+    from fleetframe.functions.geo import haversine_km
+    df = spark.createDataFrame(points, "a double, b double, c double, d double")
+    got = [r[0] for r in df.select(haversine_km("a", "b", "c", "d", scale=6)).collect()]
+    for (la1, lo1, la2, lo2), km in zip(points, got):
+        p1, p2 = math.radians(la1), math.radians(la2)
+        a = (math.sin(math.radians(la2 - la1) / 2) ** 2
+             + math.cos(p1) * math.cos(p2) * math.sin(math.radians(lo2 - lo1) / 2) ** 2)
+        want = 2 * math.atan2(math.sqrt(min(a, 1.0)), math.sqrt(max(0.0, 1 - min(a, 1.0)))) * 6371.0
+        assert abs(km - want) <= 1e-5, (la1, lo1, la2, lo2)
+        assert 0 <= km <= 20015.09
+
+
+numeric_text = st.one_of(
+    st.floats(allow_nan=False, allow_infinity=False, width=32).map(repr),
+    st.sampled_from(["NaN", "nan", "NAN", "", "  ", "abc", "1,5", "--1", " 7 ", "\\t3.5"]))
+
+
+@SETTINGS
+@given(st.lists(numeric_text, min_size=1, max_size=200))
+def test_clean_numeric_matches_python(spark, texts):
+    from fleetframe.functions.numeric import clean_numeric
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [r[0] for r in df.select(clean_numeric("x")).collect()]
+    for text, value in zip(texts, got):
+        try:
+            want = float(text.strip())
+            want = None if want != want else want
+        except ValueError:
+            want = None
+        assert value == want, repr(text)
