@@ -56,6 +56,8 @@ def _exact_aggs(*measures: _Exact) -> list[Column]:
 
 
 def vehicle_daily_stats(trips: DataFrame, now: Column | None = None) -> DataFrame:
+    """Per vehicle and trip date: trip count, exact totals and means, extremes and
+    the sample deviation of trip distance."""
     dist = _Exact("distance_km", 2, squares=True)
     energy = _Exact("total_energy_consumption", 2)
     dur = _Exact("duration_minutes", 2)
@@ -86,6 +88,7 @@ def vehicle_daily_stats(trips: DataFrame, now: Column | None = None) -> DataFram
 
 
 def with_route_key(trips: DataFrame) -> DataFrame:
+    """Add the four rounded origin/destination coordinates (the route key)."""
     return trips.withColumns(route_key_columns())
 
 
@@ -120,6 +123,7 @@ def route_patterns(trips: DataFrame, min_trips: int = MIN_ROUTE_TRIPS,
 
 
 def temporal_patterns(trips: DataFrame, now: Column | None = None) -> DataFrame:
+    """Per day of week and hour of trip start: trip count, exact means, energy deviation."""
     dist = _Exact("distance_km", 2)
     energy = _Exact("total_energy_consumption", 2, squares=True)
     speed = _Exact("avg_speed_kmh", 2)

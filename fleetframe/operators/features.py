@@ -92,6 +92,7 @@ def route_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool =
 
 
 def interaction_columns() -> dict[str, Column]:
+    """Distance x elevation, speed squared and per distance, duration per distance, speed spread."""
     d, sp = F.col("distance_km"), F.col("avg_speed_kmh")
     return {
         "distance_elevation_interaction": F.round(d * F.col("elevation_gain_m"), 2),
@@ -103,6 +104,7 @@ def interaction_columns() -> dict[str, Column]:
 
 
 def ratio_columns() -> dict[str, Column]:
+    """Elevation gradient, speed from distance and duration, mean-to-max speed."""
     return {
         "elevation_gradient": guarded_ratio("elevation_gain_m", "distance_km", 4),
         "actual_speed_efficiency": guarded_ratio(F.col("distance_km") * 60, "duration_minutes", 2),
@@ -111,6 +113,7 @@ def ratio_columns() -> dict[str, Column]:
 
 
 def battery_columns() -> dict[str, Column]:
+    """State-of-charge range and use per minute, energy per km."""
     soc_range = F.col("max_battery_soc") - F.col("min_battery_soc")
     return {
         "battery_soc_range": F.round(soc_range, 2),
@@ -130,6 +133,7 @@ def complexity_columns() -> dict[str, Column]:
 
 
 def time_columns() -> dict[str, Column]:
+    """Rush hour and weekend flags, cyclic hour of day."""
     return {
         "is_rush_hour": is_rush_hour("trip_hour"),
         "is_weekend": is_weekend("trip_dayofweek"),
@@ -139,6 +143,7 @@ def time_columns() -> dict[str, Column]:
 
 
 def category_columns() -> dict[str, Column]:
+    """Distance and speed buckets (NULL falls into the top bucket)."""
     return {
         "distance_category": distance_category("distance_km"),
         "speed_category": speed_category("avg_speed_kmh"),
@@ -146,6 +151,7 @@ def category_columns() -> dict[str, Column]:
 
 
 def engineered(df: DataFrame) -> DataFrame:
+    """All per-trip engineered columns (two projections: complexity uses rounded inputs)."""
     first = {**interaction_columns(), **ratio_columns(), **battery_columns(),
              **time_columns(), **category_columns()}
     return df.withColumns(first).withColumns(complexity_columns())
@@ -172,6 +178,8 @@ def with_fleet_comparison(hist: DataFrame) -> DataFrame:
 
 
 def training_rows() -> Column:
+    """Rows with enough history to train on: 5+ prior vehicle trips, complete vehicle
+    history columns, 1+ prior trip on the route."""
     return ((F.col("vehicle_trip_count_last30") >= MIN_VEHICLE_TRIPS)
             & F.col("vehicle_avg_efficiency_last30").isNotNull()
             & F.col("vehicle_avg_energy_last30").isNotNull()

@@ -53,8 +53,10 @@ def telemetry_from_events(events: DataFrame) -> DataFrame:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the driver's test tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw telemetry derived from the ``events`` table of ``sf_dir``."""
     return telemetry_from_events(read_table(spark, sf_dir, "events"))
