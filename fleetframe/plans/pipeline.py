@@ -157,6 +157,14 @@ def _affected_days(spark: SparkSession, cfg: PipelineConfig, new_rows: DataFrame
     return sorted(int(r["d"]) for r in days)
 
 
+def samples_on_days(bronze: DataFrame, days: list[int]) -> DataFrame:
+    """Clean samples whose day number is in ``days``.  The range test runs on the
+    stored column, before cleaning, so it reaches the Parquet scan (row groups
+    outside the range are skipped); the exact day test follows."""
+    in_range = (F.col("DayNum") >= float(days[0])) & (F.col("DayNum") < float(days[-1] + 1))
+    return clean_telemetry(bronze.filter(in_range)).filter(F.floor("DayNum").isin(days))
+
+
 def _dates(days: list[int]) -> list:
     import datetime as dt
     epoch = dt.date.fromisoformat(DAYNUM_EPOCH)
@@ -193,9 +201,7 @@ def build_silver(spark: SparkSession, cfg: PipelineConfig, state: dict) -> dict:
     else:
         report = {"mode": "incremental", "days": len(days), "rows_in": 0}
         if days:
-            in_days = (F.floor("DayNum").isin(days)
-                       & (F.col("DayNum") >= float(days[0])) & (F.col("DayNum") < float(days[-1] + 1)))
-            candidates = _trip_candidates(spark, cfg, samples.filter(in_days))
+            candidates = _trip_candidates(spark, cfg, samples_on_days(bronze, days))
             kept = expect_or_drop(candidates, cfg.rules)
             write_table(kept, cfg.root, "silver_ev_trips", only_touched_partitions=True)
             _drop_emptied_partitions(spark, cfg, "silver_ev_trips", kept, _dates(days))
