@@ -79,3 +79,12 @@ def test_incremental_day_filter_reaches_bronze_scan(spark, tmp_dir):
     assert pushed and "GreaterThanOrEqual(DayNum,3.0)" in pushed[0] and "LessThan(DayNum,6.0)" in pushed[0]
     expected = clean_telemetry(bronze).filter(F.floor("DayNum").isin([3, 5]))
     assert q.count() == expected.count() > 0
+
+
+def test_daily_refresh_prunes_silver_partitions(spark, tmp_dir):
+    import datetime as dt
+    from fleetframe.plans.catalog import read_table, write_table
+    write_table(silver(spark, SF_TINY), tmp_dir, "silver_ev_trips")
+    q = read_table(spark, tmp_dir, "silver_ev_trips").filter(F.col("trip_date").isin([dt.date(2017, 11, 3)]))
+    text = plan_text(q, "formatted")
+    assert any("PartitionFilters" in l and "trip_date" in l for l in text.splitlines())
