@@ -1,5 +1,9 @@
 """Trailing-row aggregates ("the previous N rows of the same key"), skew-safe.
 
+Two entry points: ``trailing_sums`` for sums and counts of integers (what the
+history features use: one pass per row via running totals, see below) and
+``trailing_aggregates`` for any aggregate over a sliding frame.
+
 ``Window.partitionBy(key).orderBy(...).rowsBetween(-N, -1)`` sends every row
 of a key to one task.  When one vehicle, route or priority class holds a large
 share of all rows, that task does a large share of the whole job.
