@@ -88,3 +88,17 @@ def test_daily_refresh_prunes_silver_partitions(spark, tmp_dir):
     q = read_table(spark, tmp_dir, "silver_ev_trips").filter(F.col("trip_date").isin([dt.date(2017, 11, 3)]))
     text = plan_text(q, "formatted")
     assert any("PartitionFilters" in l and "trip_date" in l for l in text.splitlines())
+
+
+def test_operators_run_in_whole_stage_codegen(spark):
+    """After execution, every project, filter, aggregate and join of the final
+    plan is inside whole-stage codegen (marked ``*``): no interpreted expression."""
+    import re
+    for name in ("silver_trips", "vehicle_daily_stats", "route_patterns", "feature_table"):
+        df = REGISTRY[name](spark, SF_TINY)
+        df.collect()
+        final = plan_text(df, "formatted").split("== Initial Plan ==")[0]
+        for line in final.splitlines():
+            m = re.search(r"(\*\s)?(Project|Filter|HashAggregate|BroadcastHashJoin|SortMergeJoin) \(\d+\)", line)
+            if m:
+                assert m.group(1), (name, line.strip())
