@@ -75,7 +75,7 @@ def read_header(path: str) -> tuple[str, ...]:
     with filesystem.open_input_stream(local, compression=compression) as f:
         head = f.read(_HEADER_BYTES).decode("utf-8", errors="replace")
     first = head.splitlines()[0] if head else ""
-    first = first.lstrip("﻿")
+    first = first.lstrip("\ufeff")  # byte-order mark
     return tuple(next(csv.reader(io.StringIO(first)), []))
 
 

@@ -107,3 +107,12 @@ def test_backlog_in_several_batches(spark, tmp_dir):
     batches = [p for p in q.recentProgress if (p["numInputRows"] if isinstance(p, dict) else p.numInputRows)]
     assert len(batches) == 3
     assert spark.read.parquet(f"{tmp_dir}/sink").count() == raw.count()
+
+
+def test_header_with_byte_order_mark(spark, tmp_dir):
+    path = f"{tmp_dir}/bom.csv"
+    with open(path, "w", encoding="utf-8-sig") as f:
+        f.write("VehId,Trip,DayNum\n5,6,7.5\n")
+    assert read_header(path) == ("VehId", "Trip", "DayNum")
+    row = clean_telemetry(read_telemetry_csv(spark, tmp_dir)).first()
+    assert (row["VehId"], row["Trip"], row["DayNum"]) == (5, 6, 7.5)
