@@ -56,3 +56,15 @@ def test_column_types_match_oracle(spark):
         duck = dict(zip(rel.columns, [str(t) for t in rel.types]))
         for column, spark_type in fn(spark, SF_TINY).dtypes:
             assert _DUCK_TYPE.get(spark_type, spark_type) == duck[column], (name, column)
+
+
+@pytest.mark.parametrize("name", ["telemetry_view", "trip_datetimes", "trip_calendar", "silver_trips",
+                                  "priority_order_history"])
+def test_results_do_not_depend_on_session_time_zone(spark, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        r = compare(spark, name, QUERIES[name], SQL[name], SF_TINY, duck_connection(SF_TINY))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r["match"], r
