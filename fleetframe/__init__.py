@@ -9,7 +9,8 @@ Public API (all functions take and return DataFrames unless noted)::
     build_trips(samples)                 the silver trip table (quality rules applied)
     vehicle_daily_stats / route_patterns / temporal_patterns (trips)
     build_features(trips)                the point-in-time feature table
-    trailing_aggregates(df, keys, order, frame, aggregates)   skew-safe trailing windows
+    trailing_sums(df, keys, order, frame, values)             trailing sums/counts, one pass, skew-safe
+    trailing_aggregates(df, keys, order, frame, aggregates)   any aggregate over a trailing frame, skew-safe
     PipelineConfig, run_pipeline(spark, cfg)                  layered end-to-end run
 """
 
@@ -18,7 +19,7 @@ __version__ = "0.1.0"
 from fleetframe.operators.aggregates import route_patterns, temporal_patterns, vehicle_daily_stats
 from fleetframe.operators.cleaning import clean_telemetry
 from fleetframe.operators.features import build_features
-from fleetframe.operators.history import trailing_aggregates
+from fleetframe.operators.history import trailing_aggregates, trailing_sums
 from fleetframe.operators.quality import STRICT_RULES, SILVER_RULES, Rule, expect_or_drop, rule_metrics
 from fleetframe.operators.trips import build_trips
 from fleetframe.operators.vehicles import ev_vehicles, vehicle_signals
@@ -29,7 +30,7 @@ from fleetframe.streaming.ingest import run_ingest
 
 __all__ = [
     "route_patterns", "temporal_patterns", "vehicle_daily_stats", "clean_telemetry",
-    "build_features", "trailing_aggregates", "STRICT_RULES", "SILVER_RULES", "Rule",
+    "build_features", "trailing_aggregates", "trailing_sums", "STRICT_RULES", "SILVER_RULES", "Rule",
     "expect_or_drop", "rule_metrics", "build_trips", "ev_vehicles", "vehicle_signals",
     "PipelineConfig", "run_pipeline", "read_telemetry_csv", "run_ingest",
 ]
