@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from fleetframe.llm.lines import OP8_SQL, op8_line_dedup
 from fleetframe.llm.quality import op10_quality
+from fleetframe.llm.secrets import op7_secrets
 from fleetframe.llm.toxicity import op1_toxicity
 
 REGISTRY = {
     "op1_toxicity": op1_toxicity,
+    "op7_secrets": op7_secrets,
+    "op8_line_dedup": op8_line_dedup,
     "op10_quality": op10_quality,
 }
 
-SQL: dict[str, str] = {}
+#: DuckDB SQL where it can express the operator; the others are tested against brute force.
+SQL: dict[str, str] = {
+    "op8_line_dedup": OP8_SQL,
+}
