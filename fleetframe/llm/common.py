@@ -82,14 +82,14 @@ def append_columns(df: DataFrame, fn, schema: str) -> DataFrame:
     A column of the input that has the name of a result column is replaced by it.
     """
     spark = df.sparkSession
-    fields = spark.createDataFrame([], schema).schema
+    fields = spark.createDataFrame([], schema).schema.fields
     names = {f.name for f in fields}
-    kept = [c for c in df.columns[:-1] if c not in names]
-    text = df.columns[-1]
-    out = df.select(*[F.col(f"`{c}`") for c in kept]).schema
-    for f in fields:
-        out = out.add(f)
-    src = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
+    source = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # any input name, dots and repeats included
+    kept = [i for i, c in enumerate(df.columns[:-1]) if c not in names]
+    src = source.select(*[f"c{i}" for i in kept], f"c{len(df.columns) - 1}")
+    out = source.select(*[f"c{i}" for i in kept]).schema
+    for i, f in enumerate(fields):
+        out = out.add(f"r{i}", f.dataType, f.nullable)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,9 +97,9 @@ def append_columns(df: DataFrame, fn, schema: str) -> DataFrame:
                 continue
             arrays = fn(batch.column(batch.num_columns - 1))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *arrays], names=[*batch.schema.names[:-1], *[f.name for f in fields]])
+                [*batch.columns[:-1], *arrays], names=[*batch.schema.names[:-1], *[f"r{i}" for i in range(len(arrays))]])
 
-    return src.mapInArrow(run, out)
+    return src.mapInArrow(run, out).toDF(*[df.columns[i] for i in kept], *[f.name for f in fields])
 
 
 def first_labelled(docs: DataFrame, labels: DataFrame, label_col: str, fold, rows_per_class: int,

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from fleetframe.llm.decontaminate import op9_decontaminate
 from fleetframe.llm.lines import OP8_SQL, op8_line_dedup
 from fleetframe.llm.quality import op10_quality
 from fleetframe.llm.secrets import op7_secrets
+from fleetframe.llm.simhash import op3_simhash
 from fleetframe.llm.toxicity import op1_toxicity
 
 REGISTRY = {
     "op1_toxicity": op1_toxicity,
+    "op3_simhash": op3_simhash,
     "op7_secrets": op7_secrets,
     "op8_line_dedup": op8_line_dedup,
+    "op9_decontaminate": op9_decontaminate,
     "op10_quality": op10_quality,
 }
 
