@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from fleetframe.llm.decontaminate import op9_decontaminate
+from fleetframe.llm.licenses import op4_licenses
 from fleetframe.llm.lines import OP8_SQL, op8_line_dedup
+from fleetframe.llm.neighbours import OP6_SQL, op6_neighbours
 from fleetframe.llm.quality import op10_quality
 from fleetframe.llm.secrets import op7_secrets
 from fleetframe.llm.simhash import op3_simhash
@@ -12,6 +14,8 @@ from fleetframe.llm.toxicity import op1_toxicity
 REGISTRY = {
     "op1_toxicity": op1_toxicity,
     "op3_simhash": op3_simhash,
+    "op4_licenses": op4_licenses,
+    "op6_neighbours": op6_neighbours,
     "op7_secrets": op7_secrets,
     "op8_line_dedup": op8_line_dedup,
     "op9_decontaminate": op9_decontaminate,
@@ -20,5 +24,6 @@ REGISTRY = {
 
 #: DuckDB SQL where it can express the operator; the others are tested against brute force.
 SQL: dict[str, str] = {
+    "op6_neighbours": OP6_SQL,
     "op8_line_dedup": OP8_SQL,
 }
