@@ -6,7 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetframe.llm.common import materialize, read_table
+from fleetframe.llm.decontaminate import decontaminate
+from fleetframe.llm.lines import dedup_lines
+from fleetframe.llm.pieces import encode_pieces
 from fleetframe.llm.quality import fit_quality, score_quality
+from fleetframe.llm.simhash import drop_near_duplicates
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,8 +21,35 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.where(F.col("__keep") == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines that three or more of them share (the
+    largest doc_id keeps them); n_chars follows the text."""
+    out = dedup_lines(docs).drop("n_lines", "n_dropped").withColumn("n_chars", F.length("text").cast("long"))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash component: that of the smallest doc_id."""
+    return drop_near_duplicates(docs)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of ``benchmark``."""
+    return decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens and SentencePiece ids of every document."""
+    ids = encode_pieces(docs.select("doc_id", "text"))
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
 STAGES = [
     ("quality_classifier", keep_quality),
+    ("line_dedup", drop_repeated_lines),
+    ("simhash_near_dedup", one_of_each_group),
+    ("benchmark_decontamination", without_benchmark),
+    ("sentencepiece", tokenize),
 ]
 
 #: The trained classifier and the tokenizer have no SQL form; tests/llm compares with brute force.

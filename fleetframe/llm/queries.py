@@ -6,15 +6,19 @@ from fleetframe.llm.decontaminate import op9_decontaminate
 from fleetframe.llm.licenses import op4_licenses
 from fleetframe.llm.lines import OP8_SQL, op8_line_dedup
 from fleetframe.llm.neighbours import OP6_SQL, op6_neighbours
+from fleetframe.llm.pieces import op5_sentencepiece
 from fleetframe.llm.quality import op10_quality
 from fleetframe.llm.secrets import op7_secrets
 from fleetframe.llm.simhash import op3_simhash
+from fleetframe.llm.suffix import op2_suffix_dedup
 from fleetframe.llm.toxicity import op1_toxicity
 
 REGISTRY = {
     "op1_toxicity": op1_toxicity,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_simhash": op3_simhash,
     "op4_licenses": op4_licenses,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_neighbours": op6_neighbours,
     "op7_secrets": op7_secrets,
     "op8_line_dedup": op8_line_dedup,
