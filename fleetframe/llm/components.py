@@ -26,9 +26,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before = signature(now)
     while before[0]:
         both = now.select("a", "b").unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = ordered(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")))
-        below = large.groupBy("a").agg(F.min("b").alias("m"))
+        # aggregates are written before the joins: a join of two plain shuffles can split a node with many edges
+        least = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")),
+                            "components")
+        large = materialize(ordered(both.join(least, "a").where("b > a")
+                                    .select(F.col("b").alias("a"), F.col("m").alias("b"))), "components")
+        below = materialize(large.groupBy("a").agg(F.min("b").alias("m")), "components")
         small = large.join(below, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = materialize(ordered(small.unionAll(below.select("a", F.col("m").alias("b")))), "components")
         after = signature(now)

@@ -239,10 +239,14 @@ def context_states(rows: DataFrame) -> DataFrame:
     """Per document: the contexts that are repeated (state 1), that it must cut into
     cells (2), or both (3).  Documents without any have no row."""
     context = ["gram", "one", "two"]
-    each = rows.groupBy(*context).agg(F.sum("times").alias("n"), F.min(F.struct(*KEY)).alias("holder"))
-    anchors = each.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("all")).where("all > 1")
-    known = each.join(anchors.select("gram", "kinds"), "gram") \
-        .select(*context, (F.col("n") > 1).cast("int").alias("dup"), (F.col("kinds") > 1).alias("several"), "holder")
+    # what the joins below look up is written first: a join of two plain shuffles can split a hot anchor or context
+    anchors = materialize(rows.groupBy("gram").agg(
+        F.sum("times").alias("all"), (F.min("one") != F.max("one")).alias("several"))
+        .where("all > 1").select("gram", "several"), "anchors")
+    shared = rows.join(anchors, "gram")
+    known = materialize(shared.groupBy(*context).agg(
+        (F.sum("times") > 1).cast("int").alias("dup"), F.min(F.struct(*KEY)).alias("holder"))
+        .join(anchors, "gram").where("dup = 1 OR several"), "shared-contexts")
     state = F.col("dup") + F.when(F.col("several") & (F.col("holder") == F.struct(*[F.col(k) for k in KEY])), 2).otherwise(0)
     return rows.join(known, context).select(*KEY, "one", state.alias("state")).where("state > 0") \
         .groupBy(*KEY).agg(F.collect_list("one").alias("ones"), F.collect_list("state").alias("states"))
