@@ -161,8 +161,9 @@ def repeated_lines(keyed: DataFrame, id_col: str, text_col: str, bits: int, leas
     held = materialize(
         keyed.select(*KEY, F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("__text"))
         .mapInArrow(suspects, f"{KEY[0]} long, {KEY[1]} long, __id long, __digest binary"), "line-suspects")
-    confirmed = (held.groupBy("__digest").agg(F.count(F.lit(1)).alias("__docs"), F.max("__id").alias("__last"))
-                 .where(F.col("__docs") >= least_docs).select("__digest", "__last"))
+    # written first: a join of two plain shuffles can split a very common line
+    confirmed = materialize(held.groupBy("__digest").agg(F.count(F.lit(1)).alias("__docs"), F.max("__id").alias("__last"))
+                            .where(F.col("__docs") >= least_docs).select("__digest", "__last"), "confirmed-lines")
     return held.join(confirmed, "__digest").where(~F.col("__id").eqNullSafe(F.col("__last"))).select(*KEY, "__digest")
 
 
