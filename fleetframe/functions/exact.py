@@ -5,7 +5,7 @@ such values lands exactly on a rounding edge surprisingly often (the mean of
 0.16 and 0.17 is 0.165), and which way it then rounds depends on summation
 order, i.e. on how rows were partitioned.  Here each value becomes an exact
 integer count of units (``round(x * 10^scale)``), sums of units are exact
-``long`` arithmetic in any order, and the final rounding is integer HALF_UP.
+integer arithmetic in any order, and the final rounding is integer HALF_UP.
 The results are identical for every partitioning of the input.
 
 Builders come in two halves so they work for ``groupBy().agg()`` and for
@@ -21,8 +21,11 @@ from fleetframe.functions.numeric import _c
 
 
 def units(x, scale: int) -> Column:
-    """Exact integer units of a value that is already rounded to ``scale`` decimals."""
-    return F.round(_c(x) * (10 ** scale)).cast("long")
+    """Exact integer units of a value that is already rounded to ``scale`` decimals.
+
+    A value beyond the range of a long (an efficiency over a near-zero energy sum)
+    has no units: it is left out of means and deviations, its row stays."""
+    return F.round(_c(x) * (10 ** scale)).try_cast("long")
 
 
 def unit_aggs(x, scale: int, *, squares: bool = False, wide: bool = False) -> dict[str, Column]:
@@ -30,7 +33,7 @@ def unit_aggs(x, scale: int, *, squares: bool = False, wide: bool = False) -> di
     sum of squares.  ``wide`` keeps the sum of squares in decimal(38,0), for
     groups that may be large; a trailing frame of a few rows can use ``long``."""
     u = units(x, scale)
-    out = {"s": F.sum(u), "n": F.count(u)}
+    out = {"s": F.sum(u.cast("decimal(38,0)")), "n": F.count(u)}
     if squares:
         sq = u.cast("decimal(38,0)") * u.cast("decimal(38,0)") if wide else u * u
         out["q"] = F.sum(sq)
@@ -60,9 +63,10 @@ def mean_of(s: Column, n: Column, scale: int) -> Column:
 
 def rounded_mean_of(s: Column, n: Column, scale: int, digits: int) -> Column:
     """The exact mean rounded HALF_UP (away from zero) to ``digits`` decimals."""
-    d = n * (10 ** scale)
-    scaled = F.abs(s) * (2 * 10 ** digits) + d
-    q = F.call_function("div", scaled, d * 2)
+    wide = "decimal(38,0)"  # a long would overflow from 1e15 units over 1e9 rows on
+    d = n.cast(wide) * F.lit(10 ** scale).cast("decimal(10,0)")
+    scaled = F.abs(s.cast(wide)) * F.lit(2 * 10 ** digits).cast("decimal(10,0)") + d
+    q = F.call_function("div", scaled, d * F.lit(2).cast("decimal(1,0)"))
     return F.when(n > 0, F.when(s < 0, -q).otherwise(q) / float(10 ** digits))
 
 

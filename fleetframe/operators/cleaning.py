@@ -2,7 +2,8 @@
 
 Renames the CSV header names once (schema.RAW_TO_CANONICAL), types every
 column, and turns NaN / blank / unparseable values into NULL.  Numbers that
-already arrive typed are only NaN-checked: no string round trip.
+already arrive typed are only NaN-checked: no string round trip.  Ids and
+times written as ``8.0`` or ``1E3`` are read as the integers they are.
 """
 
 from __future__ import annotations
@@ -16,12 +17,20 @@ _FRACTIONAL = (T.DoubleType, T.FloatType, T.DecimalType)
 _INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 
 
+def _whole(number: Column) -> Column:
+    """A number as long where it is integral (``8.0`` and ``1E3`` count), else NULL."""
+    return F.when(number == F.floor(number), number.try_cast("long"))
+
+
 def _typed(col: Column, source: T.DataType, target: T.DataType) -> Column:
     if isinstance(target, T.LongType):
         if isinstance(source, _INTEGRAL):
             return col.cast("long")
         if isinstance(source, T.StringType):
-            return F.trim(col).try_cast("long")
+            text = F.trim(col)
+            return F.coalesce(text.try_cast("long"), _whole(text.try_cast("decimal(38,15)")))
+        if isinstance(source, _FRACTIONAL):
+            return _whole(col)
         return col.try_cast("long")
     if isinstance(source, (T.DoubleType, T.FloatType)):
         d = col.cast("double")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 
 from fleetframe.session import materialize
 
-# Fixed value: default when the session disables auto broadcast (-1).
+# Fixed value: Spark's own default threshold.
 DEFAULT_BROADCAST_BYTES = 10 * 1024 * 1024
 
 
@@ -26,8 +26,7 @@ def broadcast_budget_bytes(spark) -> int:
         if raw.endswith(suffix):
             raw, mult = raw[: -len(suffix)], m
             break
-    value = int(float(raw) * mult)
-    return value if value > 0 else DEFAULT_BROADCAST_BYTES
+    return int(float(raw) * mult)  # -1: the session wants no broadcast, and nothing fits
 
 
 def sized_for_broadcast(small: DataFrame, row_bytes: int, tag: str,

@@ -35,23 +35,26 @@ from fleetframe.schema import SILVER_COLUMNS, TRIP_KEYS
 
 # Bytes per row of the broadcast vehicle list (one long key plus row overhead).
 _VEHICLE_ROW_BYTES = 32
-# Range of the position hash that orders fixes taken in the same millisecond.
-_TIE_RANGE = 1 << 32
+# Range of the position hash that orders fixes taken in the same millisecond, and of
+# the times that fit beside it in a long (to the year 2248 as epoch milliseconds).
+_TIE_RANGE = 1 << 20
+_TIME_RANGE = 1 << 43
 
 
 def fix_order() -> Column:
     """Order of GPS fixes within a trip: time, then a hash of the position.
 
-    A primitive (decimal) key keeps the trip aggregate a hash aggregate (a
+    A primitive 64-bit key keeps the trip aggregate a hash aggregate (a
     min/max over a struct would force a sort of every sample).  The four
     ``min_by``/``max_by`` aggregates compare the same key over the same rows,
     so latitude and longitude always come from one sample; samples at the same
     millisecond are ordered by the position hash, the same way on every run.
-    NULL time -> NULL key -> never picked.
+    NULL time -> NULL key -> never picked; a time outside +-2^43 ms is an error.
     """
-    ts = F.col("ts_ms").cast("decimal(38,0)")
+    ts = F.col("ts_ms").cast("long")
     tie = F.pmod(F.xxhash64("lat", "lon"), F.lit(_TIE_RANGE))
-    return ts * F.lit(_TIE_RANGE) + tie
+    beyond = F.raise_error(F.concat(F.lit("ts_ms out of range: "), ts.cast("string"))).cast("long")
+    return F.when((ts < _TIME_RANGE) & (ts > -_TIME_RANGE), ts * F.lit(_TIE_RANGE) + tie).when(ts.isNotNull(), beyond)
 
 
 def trip_aggregates(samples: DataFrame) -> DataFrame:

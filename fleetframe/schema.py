@@ -141,4 +141,6 @@ FEATURE_COLUMNS = (
 POST_TRIP_COLUMNS = [
     "duration_minutes", "battery_soc_range", "battery_usage_rate", "energy_per_km",
     "elevation_per_minute", "actual_speed_efficiency", "max_battery_soc", "min_battery_soc",
+    "avg_battery_soc", "avg_speed_kmh", "max_speed_kmh", "speed_squared", "speed_per_distance",
+    "duration_per_distance", "speed_variability", "speed_efficiency_ratio", "trip_complexity_score",
 ]

@@ -25,10 +25,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-_HEADER_BYTES = 64 * 1024
+# Bytes read at a time until the header line ends.
+_HEADER_STEP = 64 * 1024
 # Listings longer than this have their headers read by a Spark job.
 DISTRIBUTED_HEADER_FILES = 512
-_HEADER_SEP = "\x1f"
 
 
 def _filesystem(path: str):
@@ -52,7 +52,8 @@ def _qualify(original: str, found: str) -> str:
 
 
 def list_csv_files(path: str) -> list[str]:
-    """CSV files under ``path`` (a file or a folder), skipping hidden/metadata files."""
+    """Files under ``path`` (a file or a folder) by the rule of Spark's readers: all but
+    those whose name, or a folder on the way to them, starts with ``.`` or ``_``."""
     from pyarrow import fs as pafs
     filesystem, root = _filesystem(path)
     info = filesystem.get_file_info(root)
@@ -61,21 +62,22 @@ def list_csv_files(path: str) -> list[str]:
     entries = filesystem.get_file_info(pafs.FileSelector(root, recursive=True))
     files = []
     for e in entries:
-        name = e.base_name
-        if e.type != pafs.FileType.File or name.startswith((".", "_")):
-            continue
-        if name.lower().endswith((".csv", ".csv.gz")) or "." not in name:
+        below = e.path[len(root.rstrip("/")):] if e.path.startswith(root.rstrip("/")) else e.path
+        if e.type == pafs.FileType.File and not any(p.startswith((".", "_")) for p in below.split("/")):
             files.append(_qualify(path, e.path))
     return sorted(files)
 
 
 def read_header(path: str) -> tuple[str, ...]:
+    """Columns of the first line that is not blank, read to its end; () where there is none."""
     filesystem, local = _filesystem(path)
-    compression = "gzip" if path.endswith(".gz") else None
-    with filesystem.open_input_stream(local, compression=compression) as f:
-        head = f.read(_HEADER_BYTES).decode("utf-8", errors="replace")
-    first = head.splitlines()[0] if head else ""
-    first = first.lstrip("\ufeff")  # byte-order mark
+    head = b""
+    with filesystem.open_input_stream(local, compression="detect") as f:
+        while step := f.read(_HEADER_STEP):
+            head = (head + step).removeprefix(b"\xef\xbb\xbf").lstrip(b"\r\n \t")  # byte-order mark, blank lines
+            if b"\n" in head or b"\r" in head:
+                break
+    first = head.decode("utf-8", errors="replace").splitlines()[0] if head else ""
     return tuple(next(csv.reader(io.StringIO(first)), []))
 
 
@@ -87,7 +89,7 @@ def headers_by_file(files: list[str], threads: int = 16) -> dict[str, tuple[str,
 def _read_headers(batches):
     import pandas as pd
     for pdf in batches:
-        headers = [_HEADER_SEP.join(read_header(p)) for p in pdf["path"]]
+        headers = [json.dumps(read_header(p)) for p in pdf["path"]]
         yield pd.DataFrame({"path": pdf["path"], "header": headers})
 
 
@@ -102,8 +104,7 @@ def header_groups(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...]
         found = listing.mapInPandas(_read_headers, "path string, header string")
         # (path, header) per file: the driver already holds the listing and
         # needs every path to issue the reads
-        pairs = [(r["path"], tuple(r["header"].split(_HEADER_SEP)) if r["header"] else ())
-                 for r in found.collect()]
+        pairs = [(r["path"], tuple(json.loads(r["header"]))) for r in found.collect()]
     for f, header in pairs:
         if header:
             groups.setdefault(header, []).append(f)

@@ -82,6 +82,7 @@ def run_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_d
     checkpoint (``<checkpoint_dir>/_schema.json``)."""
     if schema is None:
         schema = stream_schema(source_dir, f"{checkpoint_dir.rstrip('/')}/_schema.json")
+    before = _sink_rows(spark, sink_dir)
     query = ingest_csv_stream(spark, source_dir, sink_dir, checkpoint_dir, schema, now,
                               max_files_per_trigger, transform)
     query.awaitTermination(timeout_s)
@@ -90,11 +91,15 @@ def run_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_d
         raise TimeoutError("ingestion did not finish in time")
     if query.exception() is not None:
         raise query.exception()
-    total = 0
-    for p in query.recentProgress:
-        rows = p.get("numInputRows", 0) if isinstance(p, dict) else getattr(p, "numInputRows", 0)
-        total += int(rows or 0)
-    return total
+    return _sink_rows(spark, sink_dir) - before
+
+
+def _sink_rows(spark: SparkSession, sink_dir: str) -> int:
+    """Committed rows of the sink, counted from file footers (one run writes at a
+    time); the query's own progress list keeps only its last entries."""
+    if not path_exists(sink_dir):
+        return 0
+    return spark.read.schema("ingestion_timestamp timestamp").parquet(sink_dir).count()
 
 
 def typed_samples(stream: DataFrame) -> DataFrame:
