@@ -24,7 +24,7 @@ from fleetframe.llm.common import append_columns, ranges, read_table, text_block
 #: Default model file (a parameter of every function here).
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Words whose encodings a task remembers (bounds its memory).
-WORDS_HELD = 800_000
+WORDS_HELD = 500_000
 
 _WORDS = re.compile(r"\n| *[^ \n]+| +")
 _NONE, _START = -1, -2
