@@ -11,12 +11,13 @@ partition value that holds a large share of the rows over several tasks.
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from fleetframe.schema import DAILY_COLUMNS, SILVER_COLUMNS
-from fleetframe.sources.csv import read_text, write_text
+from fleetframe.sources.files import read_text, replace_dir, write_text
 
 
 @dataclass(frozen=True)
@@ -28,12 +29,14 @@ class TableSpec:
     cluster_by: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     columns: tuple[str, ...] = ()  # column order on read (partition columns come last on disk)
+    evolving: bool = False  # files may differ in columns: read with a merged schema
 
 
 TABLES = {t.name: t for t in (
     TableSpec("bronze_ev_telemetry", "bronze",
               "Telemetry samples as ingested from CSV files: signals typed and renamed, "
-              "other source columns kept as text, plus ingestion time and run number."),
+              "other source columns kept as text, plus ingestion time and batch number.",
+              (), ("DayNum", "VehId"), ("ingest_batch",), evolving=True),
     TableSpec("vehicle_signals", "silver",
               "Per vehicle: whether any sample ever carried a combustion / battery signal.", ("VehId",)),
     TableSpec("ev_vehicles", "silver",
@@ -90,30 +93,36 @@ def table_path(root: str, name: str) -> str:
 
 
 def write_table(df: DataFrame, root: str, name: str, only_touched_partitions: bool = False) -> str:
-    """Write a table.  Default: replace it.  ``only_touched_partitions``: replace
-    just the partitions present in ``df`` (dynamic partition overwrite).
+    """Write a table.  Default: replace it, by a finished folder moved into its place.
+    ``only_touched_partitions``: replace just the partitions present in ``df``
+    (dynamic partition overwrite).
     Clustered tables are range-partitioned and sorted first (adaptive execution
     sizes the output partitions)."""
     spec, path = TABLES[name], table_path(root, name)
     out = with_comments(df)
     if spec.cluster_by:
         out = out.repartitionByRange(*spec.cluster_by).sortWithinPartitions(*spec.cluster_by)
+    target = path if only_touched_partitions else f"{root.rstrip('/')}/_staging/{name}-{uuid.uuid4().hex[:12]}"
     writer = out.write.mode("overwrite")
     if spec.partition_by:
-        # explicit either way: a session default of "dynamic" must not turn a
-        # full rewrite into a partial one (stale partitions would survive)
         writer = (writer.partitionBy(*spec.partition_by)
                   .option("partitionOverwriteMode", "dynamic" if only_touched_partitions else "static"))
-    writer.parquet(path)
+    writer.parquet(target)
+    write_descriptor(target, spec)
+    if target != path:
+        replace_dir(target, path)
+    return path
+
+
+def write_descriptor(path: str, spec: TableSpec) -> None:
     write_text(f"{path}/_table.json", json.dumps(
         {"name": spec.name, "layer": spec.layer, "comment": spec.comment,
          "keys": list(spec.keys), "cluster_by": list(spec.cluster_by),
          "partition_by": list(spec.partition_by)}, indent=1))
-    return path
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    df = spark.read.parquet(table_path(root, name))
+    df = spark.read.option("mergeSchema", TABLES[name].evolving).parquet(table_path(root, name))
     columns = TABLES[name].columns
     return df.select(*columns) if columns else df
 

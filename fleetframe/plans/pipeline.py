@@ -6,7 +6,7 @@ executor recomputes from the last written layer, not from the raw files.
 
 Refreshes are incremental where the data allows it:
 
-* each ingestion run tags its rows with a run number;
+* bronze is partitioned by the number of the ingestion batch;
 * vehicle signal flags are a ``max`` per vehicle, so old flags merged with
   the flags of the new rows equal the flags over all rows;
 * when the set of battery-electric vehicles is unchanged, only trips on the
@@ -19,6 +19,11 @@ Refreshes are incremental where the data allows it:
 * route and hour-of-week patterns and the features read all of silver (trip
   rows, a small share of the samples) and are rebuilt whenever silver changed;
   a run without new data leaves every table as it is.
+
+A run that fails is repeated from the state of the last completed one.  The last
+batch is read from bronze itself; a rebuild in full is put down in the state before
+the first table changes, so a repeated run cannot mistake the new vehicle list for
+the old one; a day refresh writes the same days again.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fleetframe.functions.calendar import DAYNUM_EPOCH
 from fleetframe.operators.aggregates import route_patterns, temporal_patterns, vehicle_daily_stats
@@ -37,13 +42,11 @@ from fleetframe.operators.quality import (
 )
 from fleetframe.operators.trips import ev_trip_aggregates, trip_measures
 from fleetframe.operators.vehicles import vehicle_signals
-from fleetframe.plans.catalog import read_table, table_path, write_table
-from fleetframe.schema import BEV_LABEL
+from fleetframe.plans.catalog import TABLES, read_table, table_path, write_descriptor, write_table
+from fleetframe.schema import BEV_LABEL, SAMPLE_COLUMNS, SAMPLE_TYPES
 from fleetframe.session import materialize, run_folder, scratch_path
-from fleetframe.sources.csv import path_exists, read_text, remove_dir, write_text
-from fleetframe.streaming.ingest import run_ingest, typed_samples
-
-RUN_COLUMN = "ingest_run"
+from fleetframe.sources.files import child_names, path_exists, read_text, remove_dir, write_text
+from fleetframe.streaming.ingest import BATCH_COLUMN, run_ingest, typed_samples
 
 
 @dataclass
@@ -83,24 +86,32 @@ def save_state(cfg: PipelineConfig, state: dict) -> None:
     write_text(cfg.state_path, json.dumps(state, indent=1))
 
 
-def ingest_bronze(spark: SparkSession, cfg: PipelineConfig, state: dict) -> int:
-    run_no = int(state.get("ingest_runs", 0)) + 1
-
-    def tag(stream: DataFrame) -> DataFrame:
-        return typed_samples(stream).withColumn(RUN_COLUMN, F.lit(run_no))
-
-    try:
-        rows = run_ingest(spark, cfg.source_path, table_path(cfg.root, "bronze_ev_telemetry"),
-                          f"{cfg.checkpoint}/bronze_ev_telemetry", now=cfg.clock(),
-                          transform=tag, max_files_per_trigger=cfg.max_files_per_trigger)
-    except FileNotFoundError:
-        return 0  # no file has arrived yet (nothing to take a schema from)
+def ingest_bronze(spark: SparkSession, cfg: PipelineConfig) -> int:
+    if not path_exists(cfg.source_path):
+        raise FileNotFoundError(f"source folder {cfg.source_path} does not exist")
+    bronze = table_path(cfg.root, "bronze_ev_telemetry")
+    rows = run_ingest(spark, cfg.source_path, bronze, f"{cfg.checkpoint}/bronze_ev_telemetry", now=cfg.clock(),
+                      transform=typed_samples, max_files_per_trigger=cfg.max_files_per_trigger)
     if rows:
-        state["ingest_runs"] = run_no
-        save_state(cfg, state)
+        write_descriptor(bronze, TABLES["bronze_ev_telemetry"])
     return rows
 
 
+def latest_batch(cfg: PipelineConfig) -> int | None:
+    """Number of the last batch in bronze, from its folder names."""
+    numbers = [int(n.split("=", 1)[1]) for n in child_names(table_path(cfg.root, "bronze_ev_telemetry"))
+               if n.startswith(f"{BATCH_COLUMN}=")]
+    return max(numbers, default=None)
+
+
+def bronze_samples(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """The canonical columns of bronze and the batch number; the schema is known, so no
+    file is opened to find it."""
+    schema = T.StructType([T.StructField(c, SAMPLE_TYPES[c]) for c in SAMPLE_COLUMNS])
+    return spark.read.schema(schema.add(BATCH_COLUMN, T.LongType())).parquet(
+        table_path(cfg.root, "bronze_ev_telemetry"))
+
+
 def _ev_from_flags(flags: DataFrame) -> DataFrame:
     return (flags.filter((F.col("has_battery") == 1) & (F.col("has_combustion") == 0))
             .select("VehId", F.lit(BEV_LABEL).alias("vehicle_type")))
@@ -111,9 +122,10 @@ def _same_vehicles(a: DataFrame, b: DataFrame) -> bool:
     return ka.exceptAll(kb).isEmpty() and kb.exceptAll(ka).isEmpty()
 
 
-def refresh_vehicles(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame,
+def refresh_vehicles(spark: SparkSession, cfg: PipelineConfig, state: dict, bronze: DataFrame,
                      new_rows: DataFrame | None) -> bool:
-    """Write vehicle flags and the EV list; True if the EV set changed."""
+    """Write vehicle flags and the EV list; True if the EV set changed (put down in
+    the state before either table is replaced)."""
     if new_rows is None:
         flags = vehicle_signals(clean_telemetry(bronze))
         old_ev = None
@@ -125,6 +137,9 @@ def refresh_vehicles(spark: SparkSession, cfg: PipelineConfig, bronze: DataFrame
         old_ev = read_table(spark, cfg.root, "ev_vehicles")
     flags = materialize(flags, "vehicle-flags")  # read before the tables are replaced
     changed = old_ev is None or not _same_vehicles(old_ev, _ev_from_flags(flags))
+    if changed:
+        state["rebuild"] = True
+        save_state(cfg, state)
     write_table(flags, cfg.root, "vehicle_signals")
     write_table(_ev_from_flags(flags), cfg.root, "ev_vehicles")
     return changed
@@ -182,12 +197,14 @@ def _drop_emptied_partitions(spark: SparkSession, cfg: PipelineConfig, name: str
 
 
 def build_silver(spark: SparkSession, cfg: PipelineConfig, state: dict) -> dict:
-    bronze = read_table(spark, cfg.root, "bronze_ev_telemetry")
-    through = state.get("silver_through_run")
-    incremental = (through is not None and not cfg.full_refresh
-                   and path_exists(table_path(cfg.root, "silver_ev_trips")))
-    new_rows = bronze.filter(F.col(RUN_COLUMN) > F.lit(int(through))) if incremental else None
-    if refresh_vehicles(spark, cfg, bronze, new_rows):
+    bronze = bronze_samples(spark, cfg)
+    through = state.get("silver_through_batch")
+    kept = ("vehicle_signals", "ev_vehicles", "silver_ev_trips", "gold_vehicle_daily_stats")
+    incremental = (through is not None and not cfg.full_refresh and not state.get("rebuild")
+                   and state.get("strict") == cfg.strict
+                   and all(path_exists(table_path(cfg.root, name)) for name in kept))
+    new_rows = bronze.filter(F.col(BATCH_COLUMN) > F.lit(int(through))) if incremental else None
+    if refresh_vehicles(spark, cfg, state, bronze, new_rows):
         incremental = False
     samples = clean_telemetry(bronze)
     days = _affected_days(spark, cfg, new_rows) if incremental else None
@@ -240,19 +257,21 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> dict:
     run_dir = scratch_path(spark, "pipeline-run")
     state = load_state(cfg)
     with run_folder(run_dir):
-        cfg.results["bronze_rows_ingested"] = ingest_bronze(spark, cfg, state)
-        if not path_exists(table_path(cfg.root, "bronze_ev_telemetry")):
+        cfg.results["bronze_rows_ingested"] = ingest_bronze(spark, cfg)
+        latest = latest_batch(cfg)
+        if latest is None:
             return cfg.results  # nothing ingested yet
-        latest = int(state.get("ingest_runs", 0))
-        if state.get("silver_through_run") == latest and not cfg.full_refresh:
+        if (state.get("silver_through_batch") == latest and state.get("strict") == cfg.strict
+                and not state.get("rebuild") and not cfg.full_refresh):
             # the last run finished every layer (the marker is saved last): all current
             cfg.results["silver_quality"] = {"mode": "unchanged"}
         else:
             cfg.results["silver_quality"] = build_silver(spark, cfg, state)
             build_gold(spark, cfg, state)
             build_ml_features(spark, cfg)
-            state["silver_through_run"] = latest
+            state.update(silver_through_batch=latest, strict=cfg.strict)
             state.pop("silver_days_refreshed", None)
+            state.pop("rebuild", None)
             save_state(cfg, state)
     if not cfg.keep_intermediate:
         remove_dir(run_dir)

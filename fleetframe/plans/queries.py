@@ -21,6 +21,7 @@ from fleetframe.operators.joins import sized_for_broadcast
 from fleetframe.operators.quality import STRICT_RULES, expect_or_drop, rule_metrics
 from fleetframe.operators.trips import build_trips, ev_trip_aggregates, trip_measures
 from fleetframe.operators.vehicles import ev_vehicles, vehicle_signals
+from fleetframe.plans.catalog import describe_table, read_table as read_table_of, write_table
 from fleetframe.schema import (
     BATTERY_COLUMNS, CATEGORY_COLUMNS, COMPLEXITY_COLUMNS, INTERACTION_COLUMNS, RATIO_COLUMNS,
     RAW_COLUMNS, ROUTE_HISTORY_COLUMNS, ROUTE_KEYS, SAMPLE_COLUMNS, SILVER_COLUMNS, TIME_COLUMNS,
@@ -55,6 +56,11 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_trips(samples(spark, sf_dir))
 
 
+def written_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver, written first: the history operator measures its keys before it runs."""
+    return materialize(silver(spark, sf_dir), "silver")
+
+
 # --- raw and cleaned samples -------------------------------------------------
 
 @query
@@ -181,18 +187,18 @@ def temporal_patterns(spark, sf_dir):
 
 @query
 def vehicle_history_30(spark, sf_dir):
-    return features.vehicle_history(silver(spark, sf_dir)).select(*TRIP_KEYS, *VEHICLE_HISTORY_COLUMNS)
+    return features.vehicle_history(written_silver(spark, sf_dir)).select(*TRIP_KEYS, *VEHICLE_HISTORY_COLUMNS)
 
 
 @query
 def route_history_10(spark, sf_dir):
-    keyed = aggregates.with_route_key(silver(spark, sf_dir))
+    keyed = aggregates.with_route_key(written_silver(spark, sf_dir))
     return features.route_history(keyed).select(*TRIP_KEYS, *ROUTE_KEYS, *ROUTE_HISTORY_COLUMNS)
 
 
 @query
 def fleet_comparison(spark, sf_dir):
-    hist = materialize(features.vehicle_history(silver(spark, sf_dir)), "vehicle-history")
+    hist = materialize(features.vehicle_history(written_silver(spark, sf_dir)), "vehicle-history")
     return features.with_fleet_comparison(hist).select(
         *TRIP_KEYS, "vehicle_avg_efficiency_last30", "vehicle_efficiency_vs_fleet")
 
@@ -309,12 +315,72 @@ def csv_stream_ingest(spark, sf_dir):
     return clean_telemetry(spark.read.parquet(sink))
 
 
+@query
+def csv_float_ids(spark, sf_dir):
+    """Telemetry CSV whose ids and times are written as ``8.0`` or ``1.0E7``: equals ``clean_signals``."""
+    whole = [F.col(f"`{c}`").cast("double").alias(c) if c in ("VehId", "Trip", "Timestamp(ms)") else F.col(f"`{c}`")
+             for c in RAW_COLUMNS]
+    root = scratch_path(spark, "csv-float-ids")
+    write_csv(telemetry(spark, sf_dir).select(*whole), root)
+    return clean_telemetry(read_telemetry_csv(spark, root))
+
+
+@query
+def csv_wide_header(spark, sf_dir):
+    """Telemetry CSV behind a header line of over 64 KiB: equals ``clean_signals``."""
+    extra = [F.lit(None).cast("string").alias(f"a source column that carries no signal of this library, number {i:05d}")
+             for i in range(1000)]
+    root = scratch_path(spark, "csv-wide")
+    write_csv(telemetry(spark, sf_dir).select(*extra, *[F.col(f"`{c}`") for c in RAW_COLUMNS]), root)
+    return clean_telemetry(read_telemetry_csv(spark, root))
+
+
+@query
+def csv_stream_evolution(spark, sf_dir):
+    """One backlog of old files and of files with reversed columns and an added one,
+    ingested by one stream run; the added column is NULL for the old files."""
+    root = scratch_path(spark, "csv-evolution")
+    source, sink = f"{root}/source", f"{root}/sink"
+    old, new = _halves(telemetry(spark, sf_dir), "Trip")
+    write_csv(old, f"{source}/old")
+    write_csv(new.select(*[F.col(f"`{c}`") for c in reversed(RAW_COLUMNS)],
+                         F.col("Trip").cast("long").cast("string").alias("new_col")), f"{source}/new")
+    run_ingest(spark, source, sink, f"{root}/checkpoint", transform=typed_samples)
+    return clean_telemetry(spark.read.option("mergeSchema", True).parquet(sink), keep_extra=True) \
+        .drop("ingestion_timestamp", "ingest_batch")
+
+
+@query
+def ingestion_time(spark, sf_dir):
+    """Rows by ingestion time of a stream run under a fixed clock."""
+    root = scratch_path(spark, "csv-clock")
+    write_csv(telemetry(spark, sf_dir), f"{root}/source")
+    run_ingest(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint", transform=typed_samples,
+               now=F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    return (spark.read.parquet(f"{root}/sink")
+            .groupBy(F.date_format("ingestion_timestamp", "yyyy-MM-dd HH:mm:ss").alias("ingested_at"))
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@query
+def silver_table_round_trip(spark, sf_dir):
+    """Silver written as a clustered, partitioned table and read back with its
+    descriptor's keys, under a fixed processing time: equals ``silver_trips``."""
+    root = scratch_path(spark, "tables")
+    now = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    write_table(build_trips(samples(spark, sf_dir), now=now), root, "silver_ev_trips")
+    keys = describe_table(root, "silver_ev_trips")["keys"]
+    out = read_table_of(spark, root, "silver_ev_trips")
+    return out.withColumn("processed_at", F.date_format("processing_timestamp", "yyyy-MM-dd HH:mm:ss")) \
+        .drop("processing_timestamp").withColumn("table_keys", F.lit(",".join(keys)))
+
+
 # --- row checks on output tables (counts and a keyed preview) ---------------------
 
 @query
 def table_row_counts(spark, sf_dir):
     """Row count of every output table, computed from one written silver table."""
-    trips = materialize(silver(spark, sf_dir), "silver")
+    trips = written_silver(spark, sf_dir)
     tables = {
         "silver_ev_trips": trips,
         "gold_vehicle_daily_stats": aggregates.vehicle_daily_stats(trips),

@@ -4,10 +4,7 @@ Spark binds CSV columns by position once a schema is given, so a file whose
 header lists the same columns in another order (or adds one) would be read
 into the wrong columns without any error.  ``read_telemetry_csv`` therefore:
 
-1. lists the files and reads only the header line of each (a few bytes per
-   file, through ``pyarrow.fs`` so local, HDFS and object-store paths work
-   alike): on driver threads for a short listing, as a Spark job over the
-   file list (executors read the headers) for a long one;
+1. lists the files and reads only the header line of each (``sources.files``);
 2. groups files by their exact header;
 3. reads each group with a text schema built from that header (one
    distributed read per distinct header, not per file);
@@ -20,94 +17,35 @@ from __future__ import annotations
 
 import csv
 import io
-import json
+import re
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
-# Bytes read at a time until the header line ends.
-_HEADER_STEP = 64 * 1024
-# Listings longer than this have their headers read by a Spark job.
-DISTRIBUTED_HEADER_FILES = 512
+from fleetframe.sources.files import first_line, list_files
 
-
-def _filesystem(path: str):
-    """(pyarrow filesystem, path on it) for local, ``file:`` and remote URIs."""
-    from pyarrow import fs as pafs
-    if path.startswith("file:"):
-        local = path[len("file:"):]
-        while local.startswith("//"):
-            local = local[1:]
-        return pafs.LocalFileSystem(), local
-    if "://" in path:
-        return pafs.FileSystem.from_uri(path)
-    return pafs.LocalFileSystem(), path
-
-
-def _qualify(original: str, found: str) -> str:
-    if "://" in original and not original.startswith("file:"):
-        scheme = original.split("://", 1)[0]
-        return f"{scheme}://{found}"
-    return found
+#: Header lines are read by this many driver threads.
+HEADER_THREADS = 32
 
 
 def list_csv_files(path: str) -> list[str]:
-    """Files under ``path`` (a file or a folder) by the rule of Spark's readers: all but
-    those whose name, or a folder on the way to them, starts with ``.`` or ``_``."""
-    from pyarrow import fs as pafs
-    filesystem, root = _filesystem(path)
-    info = filesystem.get_file_info(root)
-    if info.type == pafs.FileType.File:
-        return [path]
-    entries = filesystem.get_file_info(pafs.FileSelector(root, recursive=True))
-    files = []
-    for e in entries:
-        below = e.path[len(root.rstrip("/")):] if e.path.startswith(root.rstrip("/")) else e.path
-        if e.type == pafs.FileType.File and not any(p.startswith((".", "_")) for p in below.split("/")):
-            files.append(_qualify(path, e.path))
-    return sorted(files)
+    """Files under ``path`` (a file or a folder) by the rule of Spark's readers."""
+    return list_files(path)
 
 
 def read_header(path: str) -> tuple[str, ...]:
-    """Columns of the first line that is not blank, read to its end; () where there is none."""
-    filesystem, local = _filesystem(path)
-    head = b""
-    with filesystem.open_input_stream(local, compression="detect") as f:
-        while step := f.read(_HEADER_STEP):
-            head = (head + step).removeprefix(b"\xef\xbb\xbf").lstrip(b"\r\n \t")  # byte-order mark, blank lines
-            if b"\n" in head or b"\r" in head:
-                break
-    first = head.decode("utf-8", errors="replace").splitlines()[0] if head else ""
-    return tuple(next(csv.reader(io.StringIO(first)), []))
-
-
-def headers_by_file(files: list[str], threads: int = 16) -> dict[str, tuple[str, ...]]:
-    with ThreadPoolExecutor(max_workers=max(1, min(threads, len(files)))) as pool:
-        return dict(zip(files, pool.map(read_header, files)))
-
+    """Columns of the first line that is not blank; () where there is none."""
+    return tuple(next(csv.reader(io.StringIO(first_line(path))), []))
 
-def _read_headers(batches):
-    import pandas as pd
-    for pdf in batches:
-        headers = [json.dumps(read_header(p)) for p in pdf["path"]]
-        yield pd.DataFrame({"path": pdf["path"], "header": headers})
 
-
-def header_groups(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+def header_groups(files: list[str]) -> dict[tuple[str, ...], list[str]]:
     """Files grouped by exact header (files without a header line are skipped)."""
     groups: dict[tuple[str, ...], list[str]] = {}
-    if len(files) <= DISTRIBUTED_HEADER_FILES:
-        pairs = headers_by_file(files).items()
-    else:
-        slices = max(1, min(len(files) // 64, spark.sparkContext.defaultParallelism * 4))
-        listing = spark.createDataFrame([(f,) for f in files], "path string").repartition(slices)
-        found = listing.mapInPandas(_read_headers, "path string, header string")
-        # (path, header) per file: the driver already holds the listing and
-        # needs every path to issue the reads
-        pairs = [(r["path"], tuple(json.loads(r["header"]))) for r in found.collect()]
-    for f, header in pairs:
-        if header:
-            groups.setdefault(header, []).append(f)
+    with ThreadPoolExecutor(max_workers=max(1, min(HEADER_THREADS, len(files)))) as pool:
+        for path, header in zip(files, pool.map(read_header, files)):
+            if header:
+                groups.setdefault(header, []).append(path)
     return {h: sorted(fs) for h, fs in groups.items()}
 
 
@@ -115,64 +53,35 @@ def text_schema(header: tuple[str, ...]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType(), True) for name in header])
 
 
+def _literal(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def read_csv_group(spark: SparkSession, files: list[str], header: tuple[str, ...]) -> DataFrame:
     return (spark.read.schema(text_schema(header))
             .option("header", True)
             .option("enforceSchema", True)  # schema *is* this group's header
             .option("mode", "PERMISSIVE")
-            .csv(files))
+            .csv([_literal(f) for f in files]))
+
+
+def read_csv_files(spark: SparkSession, files: list[str]) -> DataFrame | None:
+    """The given files as text columns, aligned by header name; None where no file has a header."""
+    frames = [read_csv_group(spark, fs, h) for h, fs in sorted(header_groups(files).items())]
+    if not frames:
+        return None
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_telemetry_csv(spark: SparkSession, path: str) -> DataFrame:
     """All CSV files under ``path`` as text columns, aligned by header name."""
-    files = list_csv_files(path)
-    if not files:
-        raise FileNotFoundError(f"no CSV files under {path}")
-    groups = header_groups(spark, files)
-    frames = [read_csv_group(spark, fs, h) for h, fs in sorted(groups.items())]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
+    out = read_csv_files(spark, list_csv_files(path))
+    if out is None:
+        raise FileNotFoundError(f"no CSV files with a header under {path}")
     return out
 
 
-def path_exists(path: str) -> bool:
-    from pyarrow import fs as pafs
-    filesystem, local = _filesystem(path)
-    return filesystem.get_file_info(local).type != pafs.FileType.NotFound
-
-
-def write_text(path: str, text: str) -> None:
-    """Write a small text file whole: to a temporary name, then renamed over the
-    target, so a crash never leaves a half-written file (state, schema)."""
-    import uuid
-    filesystem, local = _filesystem(path)
-    parent = local.rsplit("/", 1)[0]
-    if parent:
-        filesystem.create_dir(parent, recursive=True)
-    temporary = f"{local}.tmp-{uuid.uuid4().hex[:8]}"
-    with filesystem.open_output_stream(temporary) as f:
-        f.write(text.encode("utf-8"))
-    filesystem.move(temporary, local)
-
-
-def read_text(path: str) -> str:
-    filesystem, local = _filesystem(path)
-    with filesystem.open_input_stream(local) as f:
-        return f.read().decode("utf-8")
-
-
-def remove_dir(path: str) -> None:
-    """Delete a folder this library created (no error if it is already gone)."""
-    filesystem, local = _filesystem(path)
-    if path_exists(path):
-        filesystem.delete_dir(local)
-
-
-def schema_from_json(text: str) -> T.StructType:
-    return T.StructType.fromJson(json.loads(text))
-
-
 def write_csv(df: DataFrame, path: str, partitions: int | None = None) -> None:
     """Header CSV, text as is, NULL as empty field."""
     out = df.repartition(partitions) if partitions else df

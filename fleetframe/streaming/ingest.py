@@ -5,104 +5,92 @@ files that arrived since the last run (tracked in the checkpoint), appends
 their rows with an ingestion time to a Parquet table, and stops.  Re-running
 without new files adds nothing.
 
-Column binding: the stream schema is the header of the first file (or one
-given explicitly), kept in a schema file on the first run so later runs bind
-the same columns, and ``enforceSchema`` is off, so a file whose header differs
-fails the run loudly instead of landing values in the wrong columns.  Such a
-source is re-read with ``sources.csv.read_telemetry_csv`` (aligns by name),
-or the schema file is replaced with the widened schema and the stream re-run.
+The stream carries file names, not lines (the content column of the source is
+pruned).  Each micro-batch reads its files grouped by header and aligned by
+column name, like the batch reader, so a file may reorder, add or lack columns.
+A batch is written to a folder of its own, ``ingest_batch=<id>``; a batch that is
+repeated after a crash replaces that folder, so rows are stored exactly once.
+Added columns are found by reading the table with ``mergeSchema``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fleetframe.sources.csv import (
-    list_csv_files, path_exists, read_header, read_text, schema_from_json, text_schema, write_text,
-)
-
-
-def stream_schema(source_dir: str, schema_location: str | None = None) -> T.StructType:
-    """The schema kept at ``schema_location``, else the first file's header
-    (saved there for the next run)."""
-    if schema_location and path_exists(schema_location):
-        return schema_from_json(read_text(schema_location))
-    files = list_csv_files(source_dir)
-    if not files:
-        raise FileNotFoundError(f"no CSV files under {source_dir} to take a header from")
-    schema = text_schema(read_header(files[0]))
-    if schema_location:
-        write_text(schema_location, schema.json())
-    return schema
-
-
-def csv_stream(spark: SparkSession, source_dir: str, schema: T.StructType | None = None,
-               max_files_per_trigger: int | None = None) -> DataFrame:
-    if schema is None:
-        schema = stream_schema(source_dir)
-    reader = (spark.readStream.schema(schema)
-              .option("header", True)
-              .option("enforceSchema", False)
-              .option("recursiveFileLookup", True)  # new drops may arrive in sub-folders
-              .option("mode", "PERMISSIVE"))
+from fleetframe.sources.csv import read_csv_files
+
+#: Partition column of the sink: the number of the micro-batch, growing over all runs.
+BATCH_COLUMN = "ingest_batch"
+#: Samples of a batch are sorted on these, where present, so row groups cover few days.
+SORT_COLUMNS = ("DayNum", "VehId")
+
+_FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
+def csv_file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Stream of the paths of files arriving under ``source_dir``, sub-folders included."""
+    reader = spark.readStream.format("binaryFile").schema(_FILES).option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(source_dir)
+    return reader.load(source_dir).select("path")
 
 
-def ingest_csv_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-                      schema: T.StructType | None = None, now=None,
+def ingest_csv_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str, now=None,
                       max_files_per_trigger: int | None = None,
-                      transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+                      transform: Callable[[DataFrame], DataFrame] | None = None,
+                      written: list[str] | None = None) -> StreamingQuery:
     """Start one ``availableNow`` run: new files -> appended Parquet rows.
 
-    ``transform`` is applied to the stream before writing (the pipeline types
-    and renames the signals here, so bronze is stored compactly, once)."""
-    stream = csv_stream(spark, source_dir, schema, max_files_per_trigger)
-    if transform is not None:
-        stream = transform(stream)
-    stamped = stream.withColumn("ingestion_timestamp", now if now is not None else F.current_timestamp())
-    return (stamped.writeStream.format("parquet")
+    ``transform`` is applied to each batch before writing (the pipeline types
+    and renames the signals here, so bronze is stored compactly, once).
+    Folders of finished batches are added to ``written``."""
+    def append(batch: DataFrame, batch_id: int) -> None:
+        # file names of one batch, at most max_files_per_trigger
+        rows = read_csv_files(batch.sparkSession, sorted(r["path"] for r in batch.collect()))
+        if rows is None:
+            return
+        if transform is not None:
+            rows = transform(rows)
+        rows = rows.withColumn("ingestion_timestamp", now if now is not None else F.current_timestamp())
+        order = [c for c in SORT_COLUMNS if c in rows.columns]
+        if order:
+            rows = rows.sortWithinPartitions(*order)
+        folder = f"{sink_dir.rstrip('/')}/{BATCH_COLUMN}={batch_id}"
+        rows.write.mode("overwrite").parquet(folder)
+        if written is not None:
+            written.append(folder)
+
+    return (csv_file_stream(spark, source_dir, max_files_per_trigger)
+            .writeStream.foreachBatch(append)
             .option("checkpointLocation", checkpoint_dir)
-            .outputMode("append")
             .trigger(availableNow=True)
-            .start(sink_dir))
+            .start())
 
 
 def run_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-               schema: T.StructType | None = None, now=None, timeout_s: float | None = None,
+               now=None, timeout_s: float | None = None,
                transform: Callable[[DataFrame], DataFrame] | None = None,
                max_files_per_trigger: int | None = None) -> int:
-    """Run one triggered ingestion to completion; returns rows appended.
-
-    Without an explicit ``schema`` the stream schema is kept next to the
-    checkpoint (``<checkpoint_dir>/_schema.json``)."""
-    if schema is None:
-        schema = stream_schema(source_dir, f"{checkpoint_dir.rstrip('/')}/_schema.json")
-    before = _sink_rows(spark, sink_dir)
-    query = ingest_csv_stream(spark, source_dir, sink_dir, checkpoint_dir, schema, now,
-                              max_files_per_trigger, transform)
+    """Run one triggered ingestion to completion; returns the rows appended, counted
+    in the batches it wrote (the query's progress list keeps only its last entries)."""
+    written: list[str] = []
+    query = ingest_csv_stream(spark, source_dir, sink_dir, checkpoint_dir, now,
+                              max_files_per_trigger, transform, written)
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
         raise TimeoutError("ingestion did not finish in time")
     if query.exception() is not None:
         raise query.exception()
-    return _sink_rows(spark, sink_dir) - before
-
-
-def _sink_rows(spark: SparkSession, sink_dir: str) -> int:
-    """Committed rows of the sink, counted from file footers (one run writes at a
-    time); the query's own progress list keeps only its last entries."""
-    if not path_exists(sink_dir):
+    if not written:
         return 0
-    return spark.read.schema("ingestion_timestamp timestamp").parquet(sink_dir).count()
+    return spark.read.schema("ingestion_timestamp timestamp").parquet(*written).count()
 
 
-def typed_samples(stream: DataFrame) -> DataFrame:
+def typed_samples(rows: DataFrame) -> DataFrame:
     """Canonical, typed signals plus any extra source columns (as text)."""
     from fleetframe.operators.cleaning import clean_telemetry
-    return clean_telemetry(stream, keep_extra=True)
+    return clean_telemetry(rows, keep_extra=True)

@@ -304,6 +304,14 @@ def queries() -> dict[str, str]:
     q["clean_signals"] = with_([CTE_TELEMETRY, CTE_SAMPLES], "SELECT * FROM samples")
     q["csv_batch_ingest"] = q["clean_signals"]
     q["csv_stream_ingest"] = q["clean_signals"]
+    q["csv_float_ids"] = q["clean_signals"]
+    q["csv_wide_header"] = q["clean_signals"]
+    q["csv_stream_evolution"] = with_([CTE_TELEMETRY, CTE_SAMPLES], """SELECT *,
+        CASE WHEN "Trip" % 2 <> 0 THEN CAST("Trip" AS VARCHAR) END AS new_col FROM samples""")
+    q["ingestion_time"] = with_([CTE_TELEMETRY], """SELECT '2024-01-01 00:00:00' AS ingested_at,
+        count(*) AS n_rows FROM telemetry""")
+    q["silver_table_round_trip"] = _base(f"""SELECT {SILVER_COLS}, '2024-01-01 00:00:00' AS processed_at,
+        'DayNum,VehId,Trip' AS table_keys FROM silver""")
     q["vehicle_classes"] = with_([CTE_TELEMETRY, CTE_SAMPLES, CTE_VEHICLES], "SELECT * FROM vehicle_signals")
     q["ev_vehicles"] = with_([CTE_TELEMETRY, CTE_SAMPLES, CTE_VEHICLES],
                              'SELECT * FROM ev_vehicles ORDER BY "VehId"')

@@ -1,5 +1,6 @@
 """Incremental refreshes produce the same tables as one full build."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_TINY, rows_of
@@ -93,3 +94,53 @@ def test_sample_without_daynum_rebuilds(spark, tmp_dir):
     write_csv(undated, f"{full.source_path}/d2", partitions=1)
     run(spark, full)
     assert _tables(spark, inc) == _tables(spark, full)
+
+
+@pytest.fixture(scope="module")
+def turned_vehicle(spark, tmp_path_factory):
+    """A first drop, a second one that turns an EV into a hybrid and adds samples, and
+    the tables of one full build over both."""
+    first, second = _drops(spark)
+    ev_id = first.filter(F.col("VehId") % 5 == 2).agg(F.min("VehId")).first()[0]
+    turned = first.filter(F.col("VehId") == ev_id).limit(1).withColumn("Fuel Rate[L/hr]", F.lit("2.0"))
+    drop = second.unionByName(turned)
+    full = _cfg(str(tmp_path_factory.mktemp("full")), "full")
+    write_csv(first, f"{full.source_path}/d1", partitions=2)
+    write_csv(drop, f"{full.source_path}/d2", partitions=2)
+    run(spark, full)
+    return first, drop, _tables(spark, full)
+
+
+@pytest.mark.parametrize("step", ["build_silver", "refresh_vehicles", "build_gold", "build_ml_features"])
+def test_run_repeated_after_a_crash(spark, tmp_dir, turned_vehicle, step, monkeypatch):
+    from fleetframe.plans import pipeline
+    first, drop, expected = turned_vehicle
+    cfg = _cfg(tmp_dir, "crash")
+    write_csv(first, f"{cfg.source_path}/d1", partitions=2)
+    run(spark, cfg)
+    write_csv(drop, f"{cfg.source_path}/d2", partitions=2)
+    real = getattr(pipeline, step)
+
+    def dies(*args):
+        if step == "refresh_vehicles":
+            real(*args)                     # after its tables are replaced
+        raise RuntimeError("executor and driver lost")
+
+    monkeypatch.setattr(pipeline, step, dies)
+    with pytest.raises(RuntimeError):
+        run(spark, cfg)
+    monkeypatch.setattr(pipeline, step, real)
+    assert run(spark, cfg)["silver_quality"]["mode"] == "full"
+    assert _tables(spark, cfg) == expected
+    assert run(spark, cfg)["silver_quality"]["mode"] == "unchanged"
+
+
+def test_strict_switch_rebuilds_and_missing_source_fails(spark, tmp_dir):
+    first, _ = _drops(spark)
+    cfg = _cfg(tmp_dir, "strict")
+    with pytest.raises(FileNotFoundError):
+        run(spark, cfg)
+    write_csv(first, f"{cfg.source_path}/d1", partitions=2)
+    run(spark, cfg)
+    cfg.strict = True
+    assert run(spark, cfg)["silver_quality"]["mode"] == "full"

@@ -52,17 +52,32 @@ def test_stream_equals_batch_and_rerun_is_idempotent(spark, tmp_dir):
     assert "ingestion_timestamp" in spark.read.parquet(sink).columns
 
 
-def test_stream_keeps_its_schema_and_rejects_a_different_header(spark, tmp_dir):
-    import pytest
+def test_stream_aligns_different_headers(spark, tmp_dir):
     src, sink, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
     _write(f"{src}/a.csv", "VehId,Trip,DayNum,Energy_Consumption\n1,1,1.5,2.5\n")
+    _write(f"{src}/b.csv", "Trip,VehId,DayNum,New Col\n9,3,3.5,x\n")       # mixed backlog
+    assert run_ingest(spark, src, sink, ckpt) == 2
+    _write(f"{src}/0_old.csv", "VehId,Trip,DayNum,Energy_Consumption\n2,1,2.5,3.5\n")
+    _write(f"{src}/empty.csv", "")
+    assert run_ingest(spark, src, sink, ckpt) == 1                          # the old header again
+    rows = spark.read.option("mergeSchema", True).parquet(sink).collect()
+    assert sorted((r["VehId"], r["Trip"], r["Energy_Consumption"], r["New Col"]) for r in rows if r["VehId"] != "3") \
+        == [("1", "1", "2.5", None), ("2", "1", "3.5", None)]
+    assert [(r["Trip"], r["New Col"]) for r in rows if r["VehId"] == "3"] == [("9", "x")]
+
+
+def test_repeated_batch_is_stored_once(spark, tmp_dir):
+    import glob
+    src, sink, ckpt = f"{tmp_dir}/src", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt"
+    _write(f"{src}/a.csv", "VehId,Trip\n1,1\n")
+    assert run_ingest(spark, src, sink, ckpt) == 1
+    _write(f"{src}/b.csv", "VehId,Trip\n2,1\n")
     assert run_ingest(spark, src, sink, ckpt) == 1
-    assert os.path.exists(f"{ckpt}/_schema.json")
-    _write(f"{src}/0_new.csv", "VehId,Trip,DayNum,Energy_Consumption\n2,1,2.5,3.5\n")
-    assert run_ingest(spark, src, sink, ckpt) == 1         # same header: appended
-    _write(f"{src}/1_swapped.csv", "Trip,VehId,DayNum,Energy_Consumption\n9,3,3.5,1.0\n")
-    with pytest.raises(Exception):
-        run_ingest(spark, src, sink, ckpt)                 # different header: loud failure
+    last = sorted(glob.glob(f"{ckpt}/commits/[0-9]*"), key=lambda p: int(p.rsplit("/", 1)[1]))[-1]
+    os.remove(last)                                    # as if the run had died before its commit
+    for crc in glob.glob(f"{ckpt}/commits/.{os.path.basename(last)}.crc"):
+        os.remove(crc)
+    assert run_ingest(spark, src, sink, ckpt) == 1     # the batch again, in the same folder
     assert sorted(r["VehId"] for r in spark.read.parquet(sink).collect()) == ["1", "2"]
 
 
@@ -75,16 +90,11 @@ def test_observation_counts_failed_rules(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/out").count() == 1
 
 
-def test_distributed_header_discovery(spark, tmp_dir, monkeypatch):
-    from fleetframe.sources import csv as csvmod
+def test_header_discovery(spark, tmp_dir):
     for i in range(12):
         header = "VehId,Trip,DayNum" if i % 3 else "DayNum,VehId,Trip"
         row = f"{i},{i + 100},{i}.5" if i % 3 else f"{i}.5,{i},{i + 100}"
         _write(f"{tmp_dir}/f{i:02d}.csv", f"{header}\n{row}\n")
-    local = csvmod.header_groups(spark, list_csv_files(tmp_dir))
-    monkeypatch.setattr(csvmod, "DISTRIBUTED_HEADER_FILES", 2)
-    remote = csvmod.header_groups(spark, list_csv_files(tmp_dir))
-    assert local == remote and len(remote) == 2
     rows = clean_telemetry(read_telemetry_csv(spark, tmp_dir)).collect()
     assert sorted((r["VehId"], r["Trip"], r["DayNum"]) for r in rows) == [
         (i, i + 100, i + 0.5) for i in range(12)]
@@ -101,11 +111,10 @@ def test_backlog_in_several_batches(spark, tmp_dir):
     from fleetframe.streaming.ingest import ingest_csv_stream
     raw = telemetry(spark, SF_TINY)
     write_csv(raw, f"{tmp_dir}/src/d1", partitions=5)
-    q = ingest_csv_stream(spark, f"{tmp_dir}/src", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt",
-                          max_files_per_trigger=2)
-    q.awaitTermination()
-    batches = [p for p in q.recentProgress if (p["numInputRows"] if isinstance(p, dict) else p.numInputRows)]
-    assert len(batches) == 3
+    written = []
+    ingest_csv_stream(spark, f"{tmp_dir}/src", f"{tmp_dir}/sink", f"{tmp_dir}/ckpt",
+                      max_files_per_trigger=2, written=written).awaitTermination()
+    assert len(written) == 3
     assert spark.read.parquet(f"{tmp_dir}/sink").count() == raw.count()
 
 

@@ -19,7 +19,7 @@ def test_float_formatted_ids(spark):
     assert got == [(8, 1000, 1), (None, None, 7)]
 
 
-def test_wide_header(tmp_path):
+def test_wide_header(spark, tmp_path):
     columns = [f"extra_signal_with_a_long_name_{i}" for i in range(5015)]
     path = tmp_path / "a.csv"
     path.write_text(",".join(columns) + "\n")
@@ -36,14 +36,11 @@ def test_listing_follows_spark(spark, tmp_path):
     assert sorted(r.VehId for r in read_telemetry_csv(spark, str(tmp_path)).collect()) == ["1", "2", "3"]
 
 
-def test_one_header_path(spark, tmp_path, monkeypatch):
-    from fleetframe.sources import csv as source
+def test_one_header_path(spark, tmp_path):
     (tmp_path / "a.csv").write_text('"x\x1fy",z\n')
     (tmp_path / "b.csv").write_text('""\n')
     files = list_csv_files(str(tmp_path))
-    short = header_groups(spark, files)
-    monkeypatch.setattr(source, "DISTRIBUTED_HEADER_FILES", 0)
-    assert header_groups(spark, files) == short == {("x\x1fy", "z"): [files[0]], ("",): [files[1]]}
+    assert header_groups(files) == {("x\x1fy", "z"): [files[0]], ("",): [files[1]]}
 
 
 def test_ingested_rows_with_short_progress_list(spark, tmp_path):
@@ -83,3 +80,29 @@ def test_time_beyond_the_key_is_an_error(spark):
     with pytest.raises(Exception, match="out of range"):
         df.select(fix_order()).collect()
     assert df.select(F.lit(None).cast("long").alias("ts_ms"), "lat", "lon").select(fix_order()).first()[0] is None
+
+
+def test_odd_file_names(spark, tmp_path):
+    (tmp_path / "a[1] {x}.csv").write_text("VehId,Trip\n1,1\n")
+    (tmp_path / "b 50%.csv").write_text("Trip,VehId\n1,2\n")
+    assert sorted(r.VehId for r in read_telemetry_csv(spark, str(tmp_path)).collect()) == ["1", "2"]
+    assert run_ingest(spark, str(tmp_path), str(tmp_path / "_out"), str(tmp_path / "_ckpt")) == 2
+
+
+def test_paths_keep_scheme_and_authority(spark):
+    from fleetframe.sources.files import qualified
+    assert qualified("/data/in").startswith("file:/")
+    context = spark.sparkContext
+    for path in ("hdfs://nn:8020/data/in", "s3a://bucket/key", "abfss://c@account.dfs.core.windows.net/p"):
+        assert context._jvm.org.apache.hadoop.fs.Path(path).toString() == path
+
+
+def test_small_files_are_replaced_whole(spark, tmp_path):
+    from fleetframe.sources.files import path_exists, read_text, replace_dir, write_text
+    path = str(tmp_path / "state" / "s.json")
+    for text in ("one", "two é"):
+        write_text(path, text)
+        assert read_text(path) == text
+    write_text(str(tmp_path / "new" / "x"), "x")
+    replace_dir(str(tmp_path / "new"), str(tmp_path / "state"))
+    assert path_exists(str(tmp_path / "state" / "x")) and not path_exists(path)
