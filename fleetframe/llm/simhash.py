@@ -225,9 +225,10 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         *KEY, F.col("__id").cast("long").alias("doc_id"), "fp"), "fingerprints")
     distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints-distinct")
     linked = connected_components(near_links(distinct.select("fp"), distance))
-    rooted = distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = materialize(distinct.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
+                         .select("fp", "least", F.coalesce("root", "fp").alias("root")), "fingerprint-roots")
+    # written before the join, so that a component of very many fingerprints can be split
+    least = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-ids")
     return rows.join(rooted.join(least, "root").select("fp", "component_id"), "fp") \
         .select(*KEY, "doc_id", "fp", "component_id")
 
