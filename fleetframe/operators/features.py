@@ -60,7 +60,7 @@ def vehicle_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool
               **_frame_values("_vn", "total_energy_consumption", 2, squares=True),
               **_frame_values("_vd", "distance_km", 2),
               "vehicle_trip_count_last30": _present("Trip")}
-    out = _history(trips, ["VehId"], VEHICLE_ORDER, VEHICLE_FRAME, values, {"_vn_q"},
+    out = _history(trips, ["VehId"], VEHICLE_ORDER, VEHICLE_FRAME, values, {"_ve_s", "_vn_q"},
                    chunks, skew_safe, profile)
     (es, en, _), (ns, nn, nq), (ds, dn, _) = _parts("_ve"), _parts("_vn"), _parts("_vd")
     out = out.withColumns({

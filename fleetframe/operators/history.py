@@ -221,7 +221,7 @@ def _trailing_sums_over(df: DataFrame, partition_by, order_by, frame: int,
         total = F.col(f"_run_{n}")
         before = F.coalesce(F.lag(total, 1).over(ordered), zero)
         dropped = F.coalesce(F.lag(total, frame + 1).over(ordered), zero)
-        return (before - dropped).cast("long")
+        return before - dropped
 
     return with_totals.withColumns({n: trailing(n) for n in values}).drop(*totals)
 
@@ -231,9 +231,9 @@ def trailing_sums(df: DataFrame, partition_by, order_by, frame: int, values: dic
                   profile: tuple[int, int] | None = None) -> DataFrame:
     """Add, per row, the sums of integer ``values`` over the previous ``frame``
     rows of its key (0 for none).  A count is the sum of a 0/1 value.  ``wide``
-    names values whose running totals may exceed a long (sums of squares): those
-    totals are kept in decimal(38,0); every result fits a long.  Hot keys are
-    split as in ``trailing_aggregates``."""
+    names values whose running totals may exceed a long (sums of squares, units of
+    an efficiency over a near-zero sum): those totals and their results are
+    decimal(38,0), all others long.  Hot keys are split as in ``trailing_aggregates``."""
     partition_by, order_by, wide = list(partition_by), list(order_by), set(wide)
     if profile is None:
         profile = key_profile(df, partition_by)

@@ -9,12 +9,14 @@ their documented columns.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fleetframe.functions.buckets import distance_category
 from fleetframe.functions.calendar import daynum_minute
-from fleetframe.functions.exact import rounded_mean_of, stddev_of, unit_values
+from fleetframe.functions.exact import rounded_mean_of, stddev_of, sum_of, unit_values, units
 from fleetframe.operators import aggregates, features, history
 from fleetframe.operators.cleaning import clean_telemetry
 from fleetframe.operators.joins import sized_for_broadcast
@@ -237,6 +239,14 @@ def category_features(spark, sf_dir):
     return _engineered(spark, sf_dir, ["distance_km", "avg_speed_kmh", *CATEGORY_COLUMNS])
 
 
+@query
+def vehicle_distance_class(spark, sf_dir):
+    """Distance of all trips of a vehicle and its distance bucket (sums reach every bucket)."""
+    total = sum_of(F.sum(units("distance_km", 2).cast("decimal(38,0)")), 2)
+    return (silver(spark, sf_dir).groupBy("VehId").agg(total.alias("total_distance_km"))
+            .select("VehId", "total_distance_km", distance_category("total_distance_km").alias("distance_category")))
+
+
 def feature_rows(spark, sf_dir):
     return features.build_features(silver(spark, sf_dir))
 
@@ -260,8 +270,7 @@ def key_check(spark, sf_dir):
 
 # --- the same history operator on another table --------------------------------------
 
-@query
-def priority_order_history(spark, sf_dir):
+def _order_history(spark, sf_dir, profile=None):
     """Previous 30 orders of the same priority (by date, then key): count, mean
     and sample deviation of their total price.  Five priorities over all orders:
     every key is hot, which is what the chunked operator is for."""
@@ -271,13 +280,24 @@ def priority_order_history(spark, sf_dir):
     present = F.when(F.col("o_orderkey").isNotNull(), F.lit(1)).otherwise(F.lit(0))
     out = history.trailing_sums(
         orders, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], 30,
-        {"prev_order_count": present, **{f"_p{k}": v for k, v in price.items()}}, wide={"_pq"})
+        {"prev_order_count": present, **{f"_p{k}": v for k, v in price.items()}}, wide={"_pq"}, profile=profile)
     s, n, q = F.col("_ps"), F.col("_pn"), F.col("_pq")
     return out.select("o_orderkey", "o_orderpriority", "o_orderdate", "prev_order_count",
                       rounded_mean_of(s, n, 2, 2).alias("prev_avg_totalprice"),
                       F.round(stddev_of(s, q, n, 2), 2).alias("prev_stddev_totalprice"))
 
 
+@query
+def priority_order_history(spark, sf_dir):
+    return _order_history(spark, sf_dir)
+
+
+@query
+def priority_order_history_split(spark, sf_dir):
+    """The same by the split-key plan, whatever the size of the keys."""
+    return _order_history(spark, sf_dir, profile=(sys.maxsize, read_table(spark, sf_dir, "orders").count()))
+
+
 # --- CSV sources: batch (header-aware) and incremental stream -------------------------
 
 def _halves(df: DataFrame, column: str):

@@ -5,9 +5,12 @@ import bz2
 import pytest
 from pyspark.sql import functions as F
 
-from fleetframe.functions.exact import rounded_mean_of, unit_aggs
+from conftest import SF_SMALL
+from fleetframe.functions.exact import rounded_mean_of, unit_aggs, unit_values
 from fleetframe.operators.cleaning import clean_telemetry
+from fleetframe.operators.history import trailing_sums
 from fleetframe.operators.trips import fix_order
+from fleetframe.plans.queries import REGISTRY
 from fleetframe.sources.csv import header_groups, list_csv_files, read_header, read_telemetry_csv
 from fleetframe.streaming.ingest import run_ingest
 
@@ -75,6 +78,36 @@ def test_exact_means_do_not_overflow(spark, ansi):
         spark.conf.set("spark.sql.ansi.enabled", before)
 
 
+def test_history_sums_do_not_overflow(spark):
+    df = spark.createDataFrame([(1, i, 4.0e14) for i in range(6)], "k long, o long, x double")
+    for profile in ((0, 6), (1 << 60, 6)):  # plain and split plan; units of 4e18 each
+        out = trailing_sums(df, ["k"], ["o"], 4, unit_values("x", 4), wide={"s"}, chunks=2, profile=profile)
+        means = out.select("o", rounded_mean_of(F.col("s"), F.col("n"), 4, 4)).orderBy("o").collect()
+        assert [r[1] for r in means] == [None] + [4.0e14] * 5
+
+
+@pytest.mark.parametrize("name, keys", [("vehicle_daily_stats", ["VehId", "trip_date"]),
+                                        ("temporal_patterns", ["trip_dayofweek", "trip_hour"])])
+def test_means_and_deviations_against_plain_floats(spark, name, keys):
+    """Plain floating means of the silver rows, without integer units."""
+    trips = REGISTRY["silver_trips"](spark, SF_SMALL).toPandas()
+    got = REGISTRY[name](spark, SF_SMALL).toPandas().set_index(keys).sort_index()
+    groups = trips.groupby(keys)
+    columns = {"vehicle_daily_stats": {
+        "avg_efficiency": ("efficiency_km_per_energy", "mean"), "avg_speed_kmh": ("avg_speed_kmh", "mean"),
+        "avg_battery_soc": ("avg_battery_soc", "mean"), "stddev_distance_km": ("distance_km", "std"),
+        "total_distance_km": ("distance_km", "sum"), "avg_elevation_gain_m": ("elevation_gain_m", "mean"),
+    }, "temporal_patterns": {
+        "avg_distance_km": ("distance_km", "mean"), "avg_energy_consumption": ("total_energy_consumption", "mean"),
+        "avg_speed_kmh": ("avg_speed_kmh", "mean"), "stddev_energy": ("total_energy_consumption", "std"),
+    }}[name]
+    assert len(got) == groups.ngroups > 0
+    for column, (source, kind) in columns.items():
+        plain = groups[source].agg(kind).sort_index()
+        assert (plain.isna() == got[column].isna()).all(), column
+        assert ((plain - got[column]).abs().dropna() <= 0.0051).all(), column
+
+
 def test_time_beyond_the_key_is_an_error(spark):
     df = spark.createDataFrame([(1 << 43, 1.0, 2.0)], "ts_ms long, lat double, lon double")
     with pytest.raises(Exception, match="out of range"):
