@@ -241,10 +241,12 @@ def category_features(spark, sf_dir):
 
 @query
 def vehicle_distance_class(spark, sf_dir):
-    """Distance of all trips of a vehicle and its distance bucket (sums reach every bucket)."""
+    """Distance by vehicle and weekday, by vehicle (no weekday) and in all, with its
+    distance bucket: the sums reach the buckets over 5 km."""
     total = sum_of(F.sum(units("distance_km", 2).cast("decimal(38,0)")), 2)
-    return (silver(spark, sf_dir).groupBy("VehId").agg(total.alias("total_distance_km"))
-            .select("VehId", "total_distance_km", distance_category("total_distance_km").alias("distance_category")))
+    keys = ["VehId", "trip_dayofweek"]
+    return (silver(spark, sf_dir).rollup(*keys).agg(total.alias("total_distance_km"))
+            .select(*keys, "total_distance_km", distance_category("total_distance_km").alias("distance_category")))
 
 
 def feature_rows(spark, sf_dir):

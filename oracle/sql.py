@@ -411,10 +411,11 @@ def queries() -> dict[str, str]:
         is_weekend, hour_sin, hour_cos FROM feat_all""")
     q["category_features"] = feat(f"""SELECT {KEYS}, distance_km, avg_speed_kmh,
         distance_category, speed_category FROM feat_all""")
-    q["vehicle_distance_class"] = _base(f"""SELECT "VehId", total_distance_km,
+    q["vehicle_distance_class"] = _base(f"""SELECT "VehId", trip_dayofweek, total_distance_km,
         CAST(CASE WHEN total_distance_km <= 5 THEN 0 WHEN total_distance_km <= 15 THEN 1
                   WHEN total_distance_km <= 30 THEN 2 ELSE 3 END AS DOUBLE) AS distance_category
-      FROM (SELECT "VehId", {x_sum('distance_km', 2)} AS total_distance_km FROM silver GROUP BY "VehId")""")
+      FROM (SELECT "VehId", trip_dayofweek, {x_sum('distance_km', 2)} AS total_distance_km
+            FROM silver GROUP BY ROLLUP ("VehId", trip_dayofweek))""")
     q["feature_table"] = feat(f"SELECT {FEATURE_SELECT} FROM feat_all WHERE {FEATURE_FILTER}")
     q["key_check"] = feat(f"""SELECT
         CAST(coalesce(sum(n), 0) AS BIGINT) AS rows,
