@@ -234,6 +234,42 @@ def test_licenses(spark, docs, odd, empty):
     assert licenses.scan_licenses(odd).count() == 0 and licenses.scan_licenses(empty).count() == 0
 
 
+def _wrapped(text, width, mark=""):
+    import textwrap
+    fill = lambda p: textwrap.fill(" ".join(p.split()), width, initial_indent=mark, subsequent_indent=mark)
+    return "\n".join((p if "Copyright (" in p else fill(p)) + f"\n{mark}" for p in text.split("\n\n"))
+
+
+def test_licenses_inside_documents(spark):
+    folder = os.path.join(os.path.dirname(licenses.__file__), "license_texts")
+    read = lambda name: open(os.path.join(folder, name + ".txt"), encoding="utf-8").read()
+    known = dict(licenses.KNOWN_TEXTS)
+    ids = ["Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0",
+           "MPL-2.0", "Unlicense", "Zlib"]
+    texts = [(i, "document", 1, read(i)) for i in ids] + [(i, "document", 1, _wrapped(read(i), 61, "  ")) for i in ids]
+    prose = "One line.\n\nTwo lines of the\nversion\n3 of it. "
+    texts += [(i, "passage", 5, prose + _wrapped(read(i), 70) + "int main() {}\n") for i in ids]
+    texts += [("MIT", "passage", 3, "#!/bin/sh\n# Copyright (c) 2020 Someone\n" + _wrapped(known["MIT"], 72, "# ") + "\nexit 1"),
+              ("Apache-2.0", "passage", 2, "/*\n" + _wrapped(known["Apache-2.0"], 66, " * ") + "/\nint x;"),
+              ("MPL-2.0", "passage", 1, known["MPL-2.0"] + " And more."),
+              ("ISC", "paragraph", 2, "Some words.\n\n" + _wrapped(known["ISC"].replace("\n\n", " "), 70) + "\nMore.")]
+    old_address = read("GPL-2.0").replace("51 Franklin Street, Fifth Floor", "59 Temple Place, Suite 330", 1)
+    df = spark.createDataFrame([(n, t[-1]) for n, t in enumerate(texts)] + [
+        (1000, "The MIT License is named here, in prose."), (1001, known["MIT"].replace("persons", "people")),
+        (1002, old_address), (1003, read("BSD-3-Clause") + "\n\n" + read("Zlib"))], "doc_id long, text string")
+    for table in (None, spark.createDataFrame(licenses.known_licenses(), "license_id string, text string")):
+        got = {}
+        for r in licenses.scan_licenses(df, table).collect():
+            got.setdefault(r.doc_id, set()).add((r.license_id, r.unit, r.unit_no))
+        for n, (license_id, unit, no, _) in enumerate(texts):
+            assert {x for x in got.get(n, ()) if x[1] in (unit, "passage")} == {(license_id, unit, no)}, (n, license_id, unit)
+        assert 1000 not in got and 1001 not in got
+        assert {x[:2] for x in got[1002]} == {("GPL-2.0", "passage")}
+        assert {x[:2] for x in got[1003]} == {("BSD-3-Clause", "passage"), ("Zlib", "passage")}
+    for *_, text in texts:
+        assert len(licenses.word_lines(text)) == licenses.canonical(text).count(" ") + 1
+
+
 # --- 5: pieces ---------------------------------------------------------------------
 
 def test_pieces_equal_the_model():
