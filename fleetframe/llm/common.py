@@ -102,6 +102,13 @@ def append_columns(df: DataFrame, fn, schema: str) -> DataFrame:
     return src.mapInArrow(run, out).toDF(*[df.columns[i] for i in kept], *[f.name for f in fields])
 
 
+def labelled_ids(labels: DataFrame, label_col: str, fold) -> DataFrame:
+    """Rows (doc_id, label) of the labelled ids where ``fold`` holds, each id once."""
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+            .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & fold)
+            .groupBy("doc_id").agg(F.max("label").alias("label")))
+
+
 def first_labelled(docs: DataFrame, labels: DataFrame, label_col: str, fold, rows_per_class: int,
                    max_chars: int, columns: list[str]) -> DataFrame:
     """A bounded, deterministic training sample: for each class the
@@ -110,9 +117,7 @@ def first_labelled(docs: DataFrame, labels: DataFrame, label_col: str, fold, row
     ``fold`` is a condition on ``doc_id``; texts over ``max_chars`` are left out
     of the sample (they are scored like all others).
     """
-    ids = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-           .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & fold)
-           .groupBy("doc_id").agg(F.max("label").alias("label")))
+    ids = labelled_ids(labels, label_col, fold)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c) for c in columns]) \
         .where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
     order = F.xxhash64(F.lit(label_col), F.col("doc_id"))

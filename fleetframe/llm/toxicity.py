@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetframe.llm.common import append_columns, crc32_fold, first_labelled, ranges, read_table, text_blocks
+from fleetframe.llm.common import append_columns, crc32_fold, first_labelled, labelled_ids, ranges, read_table, text_blocks
 
 BITS, DIM, SIZES = 17, 8, (3, 4, 5)
 WINDOW, STRIDE = 8, 4
@@ -119,12 +119,14 @@ def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = 8, rate: float = 300.0, seed: int = 7) -> ToxicityModel:
+def train(texts: list[str], labels: np.ndarray, epochs: int = 8, rate: float = 300.0, seed: int = 7,
+          class_counts: tuple[int, int] | None = None) -> ToxicityModel:
     """Joint gradient descent on n-gram vectors and softmax, documents in mini-batches.
 
     The gradient of a text goes to its bags in proportion to a softmax over
     their logits, sharper in later epochs.  One text in five is kept from the
-    descent and calibrates the logit.  Without both classes the model scores
+    descent and calibrates the logit, at the class mix of ``class_counts`` (labels 0 and
+    1 that the texts were sampled from; by default the texts' own).  Without both classes the model scores
     the share of label 1 for every text.
     """
     rng = np.random.default_rng(seed)
@@ -176,7 +178,10 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, rate: float = 3
     model = ToxicityModel(vectors, softmax, 1.0, 0.0)
     table = model.scorer()[0]
     held = text_logits(table, subword_bags([texts[i] for i in kept]))
-    model.scale, model.shift = calibrate(held, labels[kept])
+    own = np.array([(labels == 0).sum(), (labels == 1).sum()], float)
+    weight = (own if class_counts is None else np.maximum(np.array(class_counts, float), own)) / own
+    weight *= own.sum() / (weight * own).sum()
+    model.scale, model.shift = calibrate(held, labels[kept], weight[labels[kept].astype(int)])
     return model
 
 
@@ -197,27 +202,29 @@ def evidence(prepared) -> np.ndarray:
     return np.sign(z) * np.maximum(np.abs(z) - 3.0, 0.0)
 
 
-def calibrate(logit: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
-    """Logistic fit ``sigmoid(scale * logit + shift)`` by Newton steps with a small ridge."""
+def calibrate(logit: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0, steps: int = 50) -> tuple[float, float]:
+    """Logistic fit ``sigmoid(scale * logit + shift)`` of weighted rows by Newton steps with a small ridge."""
     x = np.stack([logit, np.ones_like(logit)], 1)
     spread = max(float(np.std(logit)), 1e-6)
     x[:, 0] /= spread
     w = np.zeros(2)
     for _ in range(steps):
         p = _sigmoid(x @ w)
-        grad = x.T @ (p - y) + 0.05 * np.array([w[0], 0])
-        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag([0.05, 1e-6])
+        grad = x.T @ (weight * (p - y)) + 0.05 * np.array([w[0], 0])
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag([0.05, 1e-6])
         w -= np.linalg.solve(hess, grad)
     return float(max(w[0] / spread, 1e-6)), float(w[1])
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fold=None,
                  rows_per_class: int = ROWS_PER_CLASS, max_chars: int = MAX_CHARS) -> ToxicityModel:
-    """Train on a bounded sample (``first_labelled``) of the rows where ``fold`` holds."""
+    """Train on a bounded sample (``first_labelled``) of the rows where ``fold`` holds;
+    the score is calibrated at the class mix of all of them, so the bound does not move it."""
     fold = F.lit(True) if fold is None else fold
     rows = first_labelled(docs, labels, label_col, fold, rows_per_class, max_chars, ["text"]) \
         .select("doc_id", "text", "label").toPandas().sort_values("doc_id")
-    return train(rows["text"].tolist(), rows["label"].to_numpy())
+    counts = dict(map(tuple, labelled_ids(labels, label_col, fold).groupBy("label").count().collect()))
+    return train(rows["text"].tolist(), rows["label"].to_numpy(), class_counts=(counts.get(0, 0), counts.get(1, 0)))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:

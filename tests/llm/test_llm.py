@@ -72,6 +72,26 @@ def test_toxicity_unseen_misspelling():
     assert a > b and scale > 0
 
 
+def test_toxicity_bound_keeps_the_mix(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    logit = np.concatenate([rng.normal(-1, 1, 4000), rng.normal(1, 1, 400)])
+    y = np.repeat([0.0, 1.0], [4000, 400])
+    part = np.r_[0:400, 4000:4400]
+    scale, shift = toxicity.calibrate(logit, y)
+    assert toxicity.calibrate(logit[part], y[part], np.where(y[part] > 0, 1.0, 10.0)) == pytest.approx((scale, shift), abs=0.3)
+    words = "stone river cloud green paper light table sound".split()
+    rows = [(i, " ".join(rng.choice(words, 12)) + (" wretched" if rng.random() < (0.8 if i % 8 == 0 else 0.15) else ""),
+             int(i % 8 == 0)) for i in range(1600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    held = []
+    monkeypatch.setattr(toxicity, "calibrate", lambda logit, y, *weight, fit=toxicity.calibrate: held.append(
+        np.broadcast_to(weight[0] if weight else 1.0, y.shape)[y == 1].sum() / np.broadcast_to(
+            weight[0] if weight else 1.0, y.shape).sum()) or fit(logit, y, *weight))
+    for bound in (5000, 200):  # all rows; as many of either class
+        toxicity.fit_toxicity(df.drop("toxic"), df.drop("text"), rows_per_class=bound)
+    assert held == pytest.approx([0.125, 0.125], abs=0.05)
+
+
 def test_quality_held_out(spark):
     accuracy, auc = _held_out(spark, quality.op10_quality, "quality", 3, 1)
     assert accuracy > 0.97 and auc > 0.97
