@@ -248,8 +248,10 @@ def context_states(rows: DataFrame) -> DataFrame:
         (F.sum("times") > 1).cast("int").alias("dup"), F.min(F.struct(*KEY)).alias("holder"))
         .join(anchors, "gram").where("dup = 1 OR several"), "shared-contexts")
     state = F.col("dup") + F.when(F.col("several") & (F.col("holder") == F.struct(*[F.col(k) for k in KEY])), 2).otherwise(0)
+    # a set: any number of repeated rows (one key, the same contexts) collapses already before the shuffle
     return rows.join(known, context).select(*KEY, "one", state.alias("state")).where("state > 0") \
-        .groupBy(*KEY).agg(F.collect_list("one").alias("ones"), F.collect_list("state").alias("states"))
+        .groupBy(*KEY).agg(F.collect_set(F.struct("one", "state")).alias("found")) \
+        .select(*KEY, F.col("found.one").alias("ones"), F.col("found.state").alias("states"))
 
 
 # --- cells ---------------------------------------------------------------------
@@ -425,7 +427,7 @@ def repeated_ranges(docs: DataFrame, id_col: str, text_col: str, core_rows: int
     texts = keyed.select(*KEY, "__text")
     rows = materialize(context_rows(texts), "contexts")
     # rows with the same key have the same text and the same contexts: one of them cuts
-    cells = texts.join(context_states(rows), KEY).select(*KEY, "__text", "ones", "states").mapInArrow(_cells, _CELLS)
+    cells = texts.dropDuplicates(KEY).join(context_states(rows), KEY).select(*KEY, "__text", "ones", "states").mapInArrow(_cells, _CELLS)
     found = materialize(cells.repartition("core1", "core2").sortWithinPartitions("core1", "core2")
                         .mapInArrow(_sort_cells(core_rows), _FOUND), "repeats")
     dealt = found.where("kind = 1")

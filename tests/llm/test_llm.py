@@ -162,6 +162,21 @@ def test_repeats_across_chunks(spark, monkeypatch):
     assert all(found[i] == list(range(len(t) - suffix.LENGTH + 1)) for i, t in enumerate(texts))
 
 
+def test_repeats_of_one_row(spark, monkeypatch):
+    rng = random.Random(8)
+    same, other = ("".join(rng.choices("abcdef ", k=3000)) for _ in range(2))
+    texts = [same] * 60 + [other[:900] + same[500:1500], other]
+    ids = [7] * 30 + [None] * 30 + [8, 9]
+    df = spark.createDataFrame(list(zip(ids, texts, range(len(texts)))), "doc_id long, text string, no int")
+    states = []
+    monkeypatch.setattr(suffix, "context_states", lambda rows, fn=suffix.context_states: states.append(fn(rows)) or states[-1])
+    found = suffix.repeated_ranges(df, "doc_id", "text")
+    assert all(len(r.ones) == len(set(r.ones)) == len(r.states) for r in states[0].collect())
+    assert found.count() == found.distinct().count()
+    got = suffix.drop_repeats(df).select("no", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
+    assert by_id(got) == dict(enumerate(suffix.brute_force(texts)))
+
+
 def test_repeats_odd(odd, empty):
     out = suffix.drop_repeats(odd)
     assert out.count() == odd.count() and suffix.drop_repeats(empty).count() == 0
