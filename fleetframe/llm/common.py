@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetframe.session import materialize, scratch_path  # noqa: F401  (used by the operators)
 from fleetframe.sources.testbed import read_table  # noqa: F401
@@ -75,6 +75,14 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - counts), counts)
 
 
+def other_columns(df: DataFrame, names: list[str]) -> dict[str, Column]:
+    """The columns of ``df``, by name, that no result column of ``names`` replaces
+    (names are compared in the session's way: by default without regard to case)."""
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    taken = {n if exact else n.lower() for n in names}
+    return {c: df[f"`{c.replace('`', '``')}`"] for c in df.columns if (c if exact else c.lower()) not in taken}
+
+
 def append_columns(df: DataFrame, fn, schema: str) -> DataFrame:
     """Run ``fn(column) -> list of arrays`` on the last column of every Arrow batch
     (a copy of the text, removed again) and append the arrays as ``schema`` columns.

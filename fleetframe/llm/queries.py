@@ -6,6 +6,7 @@ from fleetframe.llm.decontaminate import op9_decontaminate
 from fleetframe.llm.licenses import op4_licenses
 from fleetframe.llm.lines import OP8_SQL, op8_line_dedup
 from fleetframe.llm.neighbours import OP6_SQL, op6_neighbours
+from fleetframe.llm.passages import OP11_SQL, op11_passages
 from fleetframe.llm.pieces import op5_sentencepiece
 from fleetframe.llm.quality import op10_quality
 from fleetframe.llm.secrets import op7_secrets
@@ -24,10 +25,12 @@ REGISTRY = {
     "op8_line_dedup": op8_line_dedup,
     "op9_decontaminate": op9_decontaminate,
     "op10_quality": op10_quality,
+    "op11_passages": op11_passages,
 }
 
 #: DuckDB SQL where it can express the operator; the others are tested against brute force.
 SQL: dict[str, str] = {
     "op6_neighbours": OP6_SQL,
     "op8_line_dedup": OP8_SQL,
+    "op11_passages": OP11_SQL,
 }
