@@ -15,10 +15,15 @@ window frames alike: ``unit_aggs`` gives the aggregate expressions, the
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 from fleetframe.functions.numeric import _c
 
+#: Type of every sum of units.
+WIDE = "decimal(38,0)"
+
 
 def units(x, scale: int) -> Column:
     """Exact integer units of a value that is already rounded to ``scale`` decimals.
@@ -28,25 +33,41 @@ def units(x, scale: int) -> Column:
     return F.round(_c(x) * (10 ** scale)).try_cast("long")
 
 
-def unit_aggs(x, scale: int, *, squares: bool = False, wide: bool = False) -> dict[str, Column]:
-    """Aggregate expressions (not yet ``.over``-ed): unit sum, count, optional
-    sum of squares.  ``wide`` keeps the sum of squares in decimal(38,0), for
-    groups that may be large; a trailing frame of a few rows can use ``long``."""
+def _halves(u: Column) -> tuple[Column, Column]:
+    """A long as ``high * 2^32 + low`` with the low part from -2^31 on (two columns)."""
+    carry = F.shiftright(u, 31).bitwiseAND(F.lit(1))
+    return F.shiftright(u, 32) + carry, u.bitwiseAND(F.lit(0xFFFFFFFF)) - carry * F.lit(1 << 32)
+
+
+def _square_values(u: Column) -> dict[str, Column]:
+    """Per-row longs whose sums give the sum of squares of units: the high half, and the
+    products of both halves (each below 2^62, so that any long can be squared)."""
+    high, low = _halves(u)
+    return {"h": high, "hh": high * high, "hl": high * low, "ll": low * low}
+
+
+#: Names of the parts of a sum of squares.
+SQUARE_PARTS = ("h", "hh", "hl", "ll")
+
+
+def unit_aggs(x, scale: int, *, squares: bool = False) -> dict[str, Column]:
+    """Aggregate expressions: unit sum ``s``, count ``n`` and, with ``squares``, ``q``, a
+    struct of the parts of the sum of squares.  All sums are decimal(38,0): a group of
+    10^19 rows of any long cannot overflow them, and they merge by adding."""
     u = units(x, scale)
-    out = {"s": F.sum(u.cast("decimal(38,0)")), "n": F.count(u)}
+    out = {"s": F.sum(u.cast(WIDE)), "n": F.count(u)}
     if squares:
-        sq = u.cast("decimal(38,0)") * u.cast("decimal(38,0)") if wide else u * u
-        out["q"] = F.sum(sq)
+        out["q"] = F.struct(*[F.sum(v.cast(WIDE)).alias(k) for k, v in _square_values(u).items()])
     return out
 
 
 def unit_values(x, scale: int, *, squares: bool = False) -> dict[str, Column]:
     """Per-row values whose sums give ``unit_aggs``: units, a 0/1 presence flag
-    and (optionally) squared units as decimal(38,0)."""
+    and (optionally) the parts of the squares."""
     u = units(x, scale)
     out = {"s": u, "n": F.when(u.isNotNull(), F.lit(1)).otherwise(F.lit(0))}
     if squares:
-        out["q"] = u.cast("decimal(38,0)") * u.cast("decimal(38,0)")
+        out.update(_square_values(u))
     return out
 
 
@@ -63,17 +84,42 @@ def mean_of(s: Column, n: Column, scale: int) -> Column:
 
 def rounded_mean_of(s: Column, n: Column, scale: int, digits: int) -> Column:
     """The exact mean rounded HALF_UP (away from zero) to ``digits`` decimals."""
-    wide = "decimal(38,0)"  # a long would overflow from 1e15 units over 1e9 rows on
-    d = n.cast(wide) * F.lit(10 ** scale).cast("decimal(10,0)")
-    scaled = F.abs(s.cast(wide)) * F.lit(2 * 10 ** digits).cast("decimal(10,0)") + d
+    d = n.cast(WIDE) * F.lit(10 ** scale).cast("decimal(10,0)")
+    scaled = F.abs(s.cast(WIDE)) * F.lit(2 * 10 ** digits).cast("decimal(10,0)") + d
     q = F.call_function("div", scaled, d * F.lit(2).cast("decimal(1,0)"))
     return F.when(n > 0, F.when(s < 0, -q).otherwise(q) / float(10 ** digits))
 
 
 def stddev_of(s: Column, q: Column, n: Column, scale: int) -> Column:
-    """Sample standard deviation from exact unit sums (NULL below two values)."""
-    n_dec = n.cast("decimal(38,0)")
-    s_dec = s.cast("decimal(38,0)")
-    num = n_dec * q.cast("decimal(38,0)") - s_dec * s_dec
-    var_units = num.cast("double") / (n.cast("double") * (n - 1).cast("double"))
-    return F.when(n > 1, F.sqrt(var_units) / float(10 ** scale))
+    """Sample standard deviation from the sums of ``unit_aggs`` (NULL below two values);
+    ``q`` is a struct of the square parts.
+
+    The squares are taken around the nearest whole mean, half by half, before they are
+    put together, so nothing overflows: the halves' sums stay below rows x 2^64.  Where
+    the result fits 38 digits it is exact up to its last division, else (a spread that
+    no measure but a broken one has) it is added up in doubles, whose terms then have
+    nothing left to cancel.
+    """
+    n, s, h, hh, hl, ll = (c.cast(WIDE) for c in (n, s, *(q.getField(k) for k in SQUARE_PARTS)))
+    number = lambda v: F.lit(Decimal(v))
+    half = F.call_function("div", F.abs(s) * number(2) + n, n * number(2))  # |s| / n, rounded
+    mean = F.when(s < 0, -half).otherwise(half)
+    rest = s - mean.cast(WIDE) * n  # at most n / 2 to either side
+    low = s - h * number(1 << 32)
+    mean_h, mean_l = (v.cast(WIDE) for v in _halves(mean.cast("long")))
+    around_hh = hh - number(2) * mean_h * h + n * mean_h * mean_h
+    around_hl = hl - mean_h * low - mean_l * h + n * mean_h * mean_l
+    around_ll = ll - number(2) * mean_l * low + n * mean_l * mean_l
+    rows = n.cast("double")
+    rough = (around_hh.cast("double") * float(1 << 64) + around_hl.cast("double") * float(1 << 33)
+             + around_ll.cast("double"))
+    exact = around_hh * number(1 << 64) + around_hl * number(1 << 33) + around_ll
+    variance = F.when(rough * rows < 9e37, (exact * n - rest * rest).cast("double") / (rows * (rows - 1))) \
+        .otherwise((rough - rest.cast("double") * rest.cast("double") / rows) / (rows - 1))
+    return F.when(n > 1, F.sqrt(variance) / float(10 ** scale))
+
+
+def out_of_range(x, scale: int) -> Column:
+    """Whether a value is there but has no units: what means leave out, for counting."""
+    x = _c(x)
+    return x.isNotNull() & units(x, scale).isNull()

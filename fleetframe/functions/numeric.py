@@ -20,6 +20,11 @@ def clean_numeric(x) -> Column:
     return F.when(~F.isnan(as_double), as_double)
 
 
+def missing_text(text: Column) -> Column:
+    """Whether trimmed text stands for no value: NULL, blank or NaN in any case and sign."""
+    return text.isNull() | (text == "") | F.coalesce(F.isnan(text.try_cast("double")), F.lit(False))
+
+
 def guarded_ratio(num, den, scale: int) -> Column:
     """round(num / den, scale) when den > 0, else 0 (also 0 for a NULL den).
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetframe.functions.buckets import distance_category, speed_category
-from fleetframe.functions.exact import mean_of, rounded_mean_of, stddev_of, unit_values, units
+from fleetframe.functions.exact import SQUARE_PARTS, WIDE, mean_of, rounded_mean_of, stddev_of, unit_values, units
 from fleetframe.functions.calendar import hour_cos, hour_sin, is_rush_hour, is_weekend
 from fleetframe.functions.numeric import guarded_ratio
 from fleetframe.operators.aggregates import with_route_key
@@ -30,8 +30,10 @@ VEHICLE_ORDER = ["DayNum", "Trip"]
 ROUTE_ORDER = ["DayNum", "VehId", "Trip"]
 
 
-def _history(df, keys, order, frame, values, wide, chunks, skew_safe, profile=None):
-    """Trailing sums per key; ``skew_safe=False`` skips measuring and splitting keys."""
+def _history(df, keys, order, frame, values, chunks, skew_safe, profile=None):
+    """Trailing sums per key, those of units in decimals (a running total spans all trips
+    of a key); ``skew_safe=False`` skips measuring and splitting keys."""
+    wide = {name for name in values if name.startswith("_") and not name.endswith("_n")}
     if skew_safe:
         return trailing_sums(df, keys, order, frame, values, wide, chunks=chunks, profile=profile)
     return trailing_sums(df, keys, order, frame, values, wide, profile=(0, 0))
@@ -46,7 +48,7 @@ def _present(column: str) -> Column:
 
 
 def _parts(tag: str):
-    return F.col(f"{tag}_s"), F.col(f"{tag}_n"), F.col(f"{tag}_q")
+    return F.col(f"{tag}_s"), F.col(f"{tag}_n")
 
 
 def _drop_parts(df: DataFrame, *tags: str) -> DataFrame:
@@ -60,13 +62,13 @@ def vehicle_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool
               **_frame_values("_vn", "total_energy_consumption", 2, squares=True),
               **_frame_values("_vd", "distance_km", 2),
               "vehicle_trip_count_last30": _present("Trip")}
-    out = _history(trips, ["VehId"], VEHICLE_ORDER, VEHICLE_FRAME, values, {"_ve_s", "_vn_q"},
-                   chunks, skew_safe, profile)
-    (es, en, _), (ns, nn, nq), (ds, dn, _) = _parts("_ve"), _parts("_vn"), _parts("_vd")
+    out = _history(trips, ["VehId"], VEHICLE_ORDER, VEHICLE_FRAME, values, chunks, skew_safe, profile)
+    (es, en), (ns, nn), (ds, dn) = _parts("_ve"), _parts("_vn"), _parts("_vd")
+    squares = F.struct(*[F.col(f"_vn_{k}").alias(k) for k in SQUARE_PARTS])
     out = out.withColumns({
         "vehicle_avg_efficiency_last30": rounded_mean_of(es, en, 4, 4),
         "vehicle_avg_energy_last30": rounded_mean_of(ns, nn, 2, 2),
-        "vehicle_stddev_energy_last30": F.round(stddev_of(ns, nq, nn, 2), 2),
+        "vehicle_stddev_energy_last30": F.round(stddev_of(ns, squares, nn, 2), 2),
         "vehicle_avg_distance_last30": rounded_mean_of(ds, dn, 2, 2),
     })
     return _drop_parts(out, "_ve", "_vn", "_vd")
@@ -80,9 +82,8 @@ def route_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool =
               **_frame_values("_rd", "duration_minutes", 2),
               **_frame_values("_rs", "avg_speed_kmh", 2),
               "route_trip_count": _present("Trip")}
-    out = _history(trips, ROUTE_KEYS, ROUTE_ORDER, ROUTE_FRAME, values, set(),
-                   chunks, skew_safe, profile)
-    (ns, nn, _), (ds, dn, _), (ss, sn, _) = _parts("_rn"), _parts("_rd"), _parts("_rs")
+    out = _history(trips, ROUTE_KEYS, ROUTE_ORDER, ROUTE_FRAME, values, chunks, skew_safe, profile)
+    (ns, nn), (ds, dn), (ss, sn) = _parts("_rn"), _parts("_rd"), _parts("_rs")
     out = out.withColumns({
         "route_avg_energy_last10": rounded_mean_of(ns, nn, 2, 2),
         "route_avg_duration_last10": rounded_mean_of(ds, dn, 2, 2),
@@ -172,7 +173,7 @@ def with_fleet_comparison(hist: DataFrame) -> DataFrame:
     """``vehicle_efficiency_vs_fleet``: own 30-trip efficiency minus the fleet mean
     of that column over all trips (before the training-row filter)."""
     u = units("vehicle_avg_efficiency_last30", 4)
-    fleet = hist.agg(mean_of(F.sum(u), F.count(u), 4)).scalar()
+    fleet = hist.agg(mean_of(F.sum(u.cast(WIDE)), F.count(u), 4)).scalar()
     return hist.withColumn("vehicle_efficiency_vs_fleet",
                            F.round(F.col("vehicle_avg_efficiency_last30") - fleet, 4))
 
@@ -195,7 +196,12 @@ def build_features(trips: DataFrame, now: Column | None = None, chunks: int | No
     it is written once first, so that measuring and windowing read files."""
     if not trips_written:
         trips = materialize(trips, "feature-trips")
-    hist = materialize(history_stage(trips, chunks, skew_safe), "history")
+    return features_from_history(materialize(history_stage(trips, chunks, skew_safe), "history"), now)
+
+
+def features_from_history(hist: DataFrame, now: Column | None = None) -> DataFrame:
+    """The feature table from a written ``history_stage`` of all trips (no window, no
+    shuffle: the fleet mean is one aggregate, the rest one pass)."""
     out = with_fleet_comparison(hist).withColumns({
         "target_energy_consumption": F.col("total_energy_consumption"),
         "feature_timestamp": now if now is not None else F.current_timestamp(),

@@ -83,9 +83,35 @@ def rule_metrics(df: DataFrame, rules) -> DataFrame:
                     (F.col("rows_checked") - F.col("m.rows_passed")).alias("rows_failed")))
 
 
-def require(df: DataFrame, rules) -> None:
-    """Raise if any row violates ``rules`` (declared constraints)."""
-    bad = rule_metrics(df, rules).filter(F.col("rows_failed") > 0).collect()
-    if bad:
-        detail = ", ".join(f"{r['rule']}: {r['rows_failed']} rows" for r in bad)
-        raise ValueError(f"constraint violated: {detail}")
+def key_violations(df: DataFrame, keys) -> DataFrame:
+    """Keys that more than one row holds (NULL parts compare equal): ``*keys, n_rows``."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+
+
+class ConstraintError(ValueError):
+    """Rows that a table must not hold; ``failures`` counts them by constraint."""
+
+    def __init__(self, failures: dict[str, int]):
+        self.failures = failures
+        super().__init__("constraint violated: " + ", ".join(f"{k}: {n} rows" for k, n in failures.items()))
+
+
+def audit(df: DataFrame, rules=(), unique=()) -> dict[str, int]:
+    """Rows that break each of ``rules``, and rows beyond the first of each ``unique`` key;
+    constraints without violations are left out.  One pass for the rules, one shuffle of
+    the key columns for the key."""
+    failures = {}
+    if rules:
+        failures = {r["rule"]: r["rows_failed"] for r in rule_metrics(df, rules).collect() if r["rows_failed"]}
+    if unique:
+        again = key_violations(df, unique).agg(F.sum(F.col("n_rows") - 1)).first()[0]
+        if again:
+            failures[f"unique({', '.join(unique)})"] = again
+    return failures
+
+
+def require(df: DataFrame, rules=(), unique=()) -> None:
+    """Raise ``ConstraintError`` if any row violates ``rules`` or repeats a ``unique`` key."""
+    failures = audit(df, rules, unique)
+    if failures:
+        raise ConstraintError(failures)

@@ -141,7 +141,11 @@ def ev_trip_aggregates(samples: DataFrame, vehicles: DataFrame | None = None,
         return trip_aggregates(kept)
     # keys are unique per VehId, so the inner join is the semi-join; an inner
     # join also stays above the aggregate (a semi-join would be pushed below it).
-    return trip_aggregates(samples).join(keys, "VehId", "inner")
+    # Spark makes a Bloom filter at run time from a join side that has a comparison (this one
+    # holds for every id) and puts it on the samples' scan: few samples of other vehicles
+    # reach the trip shuffle, whatever the length of the list.
+    listed = keys.filter(F.col("VehId") >= F.lit(-(1 << 63)))
+    return trip_aggregates(samples).join(listed, "VehId", "inner")
 
 
 def build_trips(samples: DataFrame, vehicles: DataFrame | None = None, rules=SILVER_RULES,

@@ -16,9 +16,13 @@ Refreshes are incremental where the data allows it:
   follow the same days;
 * when the set changes (a vehicle shows a combustion signal, or a new
   battery-only vehicle appears), silver is rebuilt in full;
-* route and hour-of-week patterns and the features read all of silver (trip
-  rows, a small share of the samples) and are rebuilt whenever silver changed;
-  a run without new data leaves every table as it is.
+* sums and vehicle bitmaps per day are kept for routes and hours of the week
+  (``route_day_parts``, ``temporal_day_parts``); the touched days' are replaced, and
+  the patterns put together from them, so no trip of another day is read;
+* trip history is kept per trip (``trip_history``) and computed again where the
+  touched days can have changed it (``operators.refresh``); the features, whose
+  every row holds the fleet mean, are written from it in one pass;
+* a run without new data leaves every table as it is.
 
 A run that fails is repeated from the state of the last completed one.  The last
 batch is read from bronze itself; a rebuild in full is put down in the state before
@@ -34,18 +38,22 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fleetframe.functions.calendar import DAYNUM_EPOCH
-from fleetframe.operators.aggregates import route_patterns, temporal_patterns, vehicle_daily_stats
-from fleetframe.operators.cleaning import clean_telemetry
-from fleetframe.operators.features import build_features
+from fleetframe.operators.aggregates import (
+    route_day_parts, route_patterns_from_parts, temporal_day_parts, temporal_patterns_from_parts, vehicle_daily_stats,
+)
+from fleetframe.operators.cleaning import RESCUED, clean_telemetry, rescued_counts
+from fleetframe.operators.features import features_from_history, history_stage
 from fleetframe.operators.quality import (
-    FEATURE_KEY_RULES, SILVER_RULES, STRICT_RULES, expect_or_drop, require, rule_metrics,
+    SILVER_RULES, STRICT_RULES, expect_or_drop, rule_metrics,
 )
+from fleetframe.operators.refresh import refreshed_history
 from fleetframe.operators.trips import ev_trip_aggregates, trip_measures
 from fleetframe.operators.vehicles import vehicle_signals
-from fleetframe.plans.catalog import TABLES, read_table, table_path, write_descriptor, write_table
-from fleetframe.schema import BEV_LABEL, SAMPLE_COLUMNS, SAMPLE_TYPES
+from fleetframe.plans.catalog import TABLES, read_table, restore_tables, schema_log_path, table_path, write_descriptor, write_table
+from fleetframe.plans.compact import batch_numbers, compact_bronze, resume_compaction
+from fleetframe.schema import BEV_LABEL, SAMPLE_COLUMNS, SAMPLE_TYPES, TRIP_KEYS
 from fleetframe.session import materialize, run_folder, scratch_path
-from fleetframe.sources.files import child_names, path_exists, read_text, remove_dir, write_text
+from fleetframe.sources.files import path_exists, read_text, remove_dir, write_text
 from fleetframe.streaming.ingest import BATCH_COLUMN, run_ingest, typed_samples
 
 
@@ -58,6 +66,7 @@ class PipelineConfig:
     chunks: int | None = None    # range chunks of the history windows
     # a large backlog is ingested as several committed batches, not one
     max_files_per_trigger: int | None = 1000
+    compact_batches: int = 32    # once bronze has more batch folders, the older ones are rewritten as one
     keep_intermediate: bool = False  # keep this run's intermediate files (debugging)
     full_refresh: bool = False   # rebuild silver from all of bronze
     results: dict = field(default_factory=dict)
@@ -91,17 +100,25 @@ def ingest_bronze(spark: SparkSession, cfg: PipelineConfig) -> int:
         raise FileNotFoundError(f"source folder {cfg.source_path} does not exist")
     bronze = table_path(cfg.root, "bronze_ev_telemetry")
     rows = run_ingest(spark, cfg.source_path, bronze, f"{cfg.checkpoint}/bronze_ev_telemetry", now=cfg.clock(),
-                      transform=typed_samples, max_files_per_trigger=cfg.max_files_per_trigger)
+                      transform=typed_samples, max_files_per_trigger=cfg.max_files_per_trigger,
+                      schema_dir=schema_log_path(cfg.root, "bronze_ev_telemetry"))
     if rows:
         write_descriptor(bronze, TABLES["bronze_ev_telemetry"])
     return rows
 
 
+def ingest_report(spark: SparkSession, cfg: PipelineConfig, before: int | None) -> dict:
+    """What the batches after number ``before`` held beside clean samples: values per source
+    column whose text failed its type, and (``_no_key``) samples without a trip key."""
+    schema = T.StructType([T.StructField(c, SAMPLE_TYPES[c]) for c in TRIP_KEYS])
+    new = spark.read.schema(schema.add(RESCUED, T.StringType()).add(BATCH_COLUMN, T.LongType())).parquet(
+        table_path(cfg.root, "bronze_ev_telemetry")).where(F.col(BATCH_COLUMN) > F.lit(-1 if before is None else before))
+    return {r["column_name"]: r["n_values"] for r in rescued_counts(new).collect()}  # a row for each source column
+
+
 def latest_batch(cfg: PipelineConfig) -> int | None:
     """Number of the last batch in bronze, from its folder names."""
-    numbers = [int(n.split("=", 1)[1]) for n in child_names(table_path(cfg.root, "bronze_ev_telemetry"))
-               if n.startswith(f"{BATCH_COLUMN}=")]
-    return max(numbers, default=None)
+    return max(batch_numbers(cfg.root), default=None)
 
 
 def bronze_samples(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
@@ -199,7 +216,8 @@ def _drop_emptied_partitions(spark: SparkSession, cfg: PipelineConfig, name: str
 def build_silver(spark: SparkSession, cfg: PipelineConfig, state: dict) -> dict:
     bronze = bronze_samples(spark, cfg)
     through = state.get("silver_through_batch")
-    kept = ("vehicle_signals", "ev_vehicles", "silver_ev_trips", "gold_vehicle_daily_stats")
+    kept = ("vehicle_signals", "ev_vehicles", "silver_ev_trips", "gold_vehicle_daily_stats", "route_day_parts",
+            "temporal_day_parts", "trip_history")
     incremental = (through is not None and not cfg.full_refresh and not state.get("rebuild")
                    and state.get("strict") == cfg.strict
                    and all(path_exists(table_path(cfg.root, name)) for name in kept))
@@ -227,26 +245,54 @@ def build_silver(spark: SparkSession, cfg: PipelineConfig, state: dict) -> dict:
     return report
 
 
+def _refresh_days(spark: SparkSession, cfg: PipelineConfig, name: str, rows: DataFrame, dates: list) -> None:
+    """Replace the partitions of ``dates`` in a table by ``rows`` (those without rows go)."""
+    rows = materialize(rows, f"{name}-refresh")
+    write_table(rows, cfg.root, name, only_touched_partitions=True)
+    _drop_emptied_partitions(spark, cfg, name, rows, dates)
+
+
 def build_gold(spark: SparkSession, cfg: PipelineConfig, state: dict) -> None:
+    """Daily stats and the stored sums per day: all days, or those silver has replaced.
+    Route and hour-of-week patterns are put together from the sums."""
     silver = read_table(spark, cfg.root, "silver_ev_trips")
     days = state.get("silver_days_refreshed")
+    per_day = {"gold_vehicle_daily_stats": lambda trips: vehicle_daily_stats(trips, cfg.clock()),
+               "route_day_parts": route_day_parts, "temporal_day_parts": temporal_day_parts}
+    dates = None if days is None else _dates(days)
+    touched = silver if days is None else silver.filter(F.col("trip_date").isin(dates))
+    for name, build in per_day.items():
+        if days is None:
+            write_table(build(touched), cfg.root, name)
+        elif days:
+            _refresh_days(spark, cfg, name, build(touched), dates)
+    if days is None or days:
+        write_table(route_patterns_from_parts(read_table(spark, cfg.root, "route_day_parts"), now=cfg.clock()),
+                    cfg.root, "gold_route_patterns")
+        write_table(temporal_patterns_from_parts(read_table(spark, cfg.root, "temporal_day_parts"), cfg.clock()),
+                    cfg.root, "gold_temporal_patterns")
+
+
+def build_ml_features(spark: SparkSession, cfg: PipelineConfig, state: dict) -> None:
+    """Trip history: all trips, or those that the replaced days can have touched; then the
+    feature table (every row holds the fleet mean) from the written history."""
+    silver = read_table(spark, cfg.root, "silver_ev_trips")
+    days = state.get("silver_days_refreshed")
+    if state.get("history_pending"):
+        days = None  # a refresh died among its partitions
+    if days:
+        state["history_pending"] = True
+        save_state(cfg, state)
     if days is None:
-        write_table(vehicle_daily_stats(silver, cfg.clock()), cfg.root, "gold_vehicle_daily_stats")
+        write_table(history_stage(silver, cfg.chunks), cfg.root, "trip_history")
     elif days:
-        dates = _dates(days)
-        daily = vehicle_daily_stats(silver.filter(F.col("trip_date").isin(dates)), cfg.clock())
-        daily = materialize(daily, "daily-refresh")
-        write_table(daily, cfg.root, "gold_vehicle_daily_stats", only_touched_partitions=True)
-        _drop_emptied_partitions(spark, cfg, "gold_vehicle_daily_stats", daily, dates)
-    write_table(route_patterns(silver, now=cfg.clock()), cfg.root, "gold_route_patterns")
-    write_table(temporal_patterns(silver, cfg.clock()), cfg.root, "gold_temporal_patterns")
-
-
-def build_ml_features(spark: SparkSession, cfg: PipelineConfig) -> None:
-    silver = read_table(spark, cfg.root, "silver_ev_trips")
-    features = build_features(silver, cfg.clock(), chunks=cfg.chunks, trips_written=True)
-    write_table(features, cfg.root, "ml_features_energy_prediction")
-    require(read_table(spark, cfg.root, "ml_features_energy_prediction"), FEATURE_KEY_RULES)
+        rows, touched = refreshed_history(
+            silver, read_table(spark, cfg.root, "trip_history"), read_table(spark, cfg.root, "gold_vehicle_daily_stats"),
+            read_table(spark, cfg.root, "route_day_parts"), _dates(days), cfg.chunks)
+        _refresh_days(spark, cfg, "trip_history", rows, touched)
+    if days is None or days:
+        write_table(features_from_history(read_table(spark, cfg.root, "trip_history"), cfg.clock()),
+                    cfg.root, "ml_features_energy_prediction")  # published only if its constraints hold
 
 
 def run(spark: SparkSession, cfg: PipelineConfig) -> dict:
@@ -257,8 +303,13 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> dict:
     run_dir = scratch_path(spark, "pipeline-run")
     state = load_state(cfg)
     with run_folder(run_dir):
+        restore_tables(cfg.root)
+        resume_compaction(cfg.root)
+        before = latest_batch(cfg)
         cfg.results["bronze_rows_ingested"] = ingest_bronze(spark, cfg)
         latest = latest_batch(cfg)
+        if cfg.results["bronze_rows_ingested"]:
+            cfg.results["rescued"] = ingest_report(spark, cfg, before)
         if latest is None:
             return cfg.results  # nothing ingested yet
         if (state.get("silver_through_batch") == latest and state.get("strict") == cfg.strict
@@ -268,11 +319,14 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> dict:
         else:
             cfg.results["silver_quality"] = build_silver(spark, cfg, state)
             build_gold(spark, cfg, state)
-            build_ml_features(spark, cfg)
+            build_ml_features(spark, cfg, state)
             state.update(silver_through_batch=latest, strict=cfg.strict)
             state.pop("silver_days_refreshed", None)
             state.pop("rebuild", None)
+            state.pop("history_pending", None)
             save_state(cfg, state)
+        if len(batch_numbers(cfg.root)) > cfg.compact_batches:
+            cfg.results["bronze_batches_compacted"] = compact_bronze(spark, cfg.root)
     if not cfg.keep_intermediate:
         remove_dir(run_dir)
     return cfg.results

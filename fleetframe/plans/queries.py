@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetframe.functions.buckets import distance_category
 from fleetframe.functions.calendar import daynum_minute
-from fleetframe.functions.exact import rounded_mean_of, stddev_of, sum_of, unit_values, units
+from fleetframe.functions.exact import SQUARE_PARTS, rounded_mean_of, stddev_of, sum_of, unit_values, units
 from fleetframe.operators import aggregates, features, history
-from fleetframe.operators.cleaning import clean_telemetry
+from fleetframe.operators.cleaning import RESCUED, clean_telemetry, rescued_counts
 from fleetframe.operators.joins import sized_for_broadcast
 from fleetframe.operators.quality import STRICT_RULES, expect_or_drop, rule_metrics
 from fleetframe.operators.trips import build_trips, ev_trip_aggregates, trip_measures
 from fleetframe.operators.vehicles import ev_vehicles, vehicle_signals
-from fleetframe.plans.catalog import describe_table, read_table as read_table_of, write_table
+from fleetframe.plans.catalog import describe_table, read_table as read_table_of, schema_log_path, table_path, write_table
 from fleetframe.schema import (
     BATTERY_COLUMNS, CATEGORY_COLUMNS, COMPLEXITY_COLUMNS, INTERACTION_COLUMNS, RATIO_COLUMNS,
     RAW_COLUMNS, ROUTE_HISTORY_COLUMNS, ROUTE_KEYS, SAMPLE_COLUMNS, SILVER_COLUMNS, TIME_COLUMNS,
@@ -31,6 +31,7 @@ from fleetframe.schema import (
 )
 from fleetframe.session import materialize, scratch_path
 from fleetframe.sources.csv import read_telemetry_csv, write_csv
+from fleetframe.sources.schema_log import SchemaLog
 from fleetframe.sources.testbed import read_table, telemetry
 from fleetframe.streaming.ingest import run_ingest, typed_samples
 
@@ -282,8 +283,9 @@ def _order_history(spark, sf_dir, profile=None):
     present = F.when(F.col("o_orderkey").isNotNull(), F.lit(1)).otherwise(F.lit(0))
     out = history.trailing_sums(
         orders, ["o_orderpriority"], ["o_orderdate", "o_orderkey"], 30,
-        {"prev_order_count": present, **{f"_p{k}": v for k, v in price.items()}}, wide={"_pq"}, profile=profile)
-    s, n, q = F.col("_ps"), F.col("_pn"), F.col("_pq")
+        {"prev_order_count": present, **{f"_p{k}": v for k, v in price.items()}},
+        wide={f"_p{k}" for k in ("s", *SQUARE_PARTS)}, profile=profile)
+    s, n, q = F.col("_ps"), F.col("_pn"), F.struct(*[F.col(f"_p{k}").alias(k) for k in SQUARE_PARTS])
     return out.select("o_orderkey", "o_orderpriority", "o_orderdate", "prev_order_count",
                       rounded_mean_of(s, n, 2, 2).alias("prev_avg_totalprice"),
                       F.round(stddev_of(s, q, n, 2), 2).alias("prev_stddev_totalprice"))
@@ -372,6 +374,52 @@ def csv_stream_evolution(spark, sf_dir):
         .drop("ingestion_timestamp", "ingest_batch")
 
 
+@query
+def csv_schema_log(spark, sf_dir):
+    """Two drops ingested by two stream runs that share a schema log: the second one adds a
+    column and holds fractions where the first had whole numbers.  Read back by the log,
+    with the number of its versions."""
+    root = scratch_path(spark, "csv-schema-log")
+    old, new = _halves(telemetry(spark, sf_dir), "Trip")
+    trip = F.col("Trip").cast("long")
+    run = lambda: run_ingest(spark, f"{root}/source", table_path(root, "bronze_ev_telemetry"), f"{root}/checkpoint",
+                             transform=typed_samples, schema_dir=schema_log_path(root, "bronze_ev_telemetry"))
+    write_csv(old.withColumn("aux", trip), f"{root}/source/old")
+    run()
+    write_csv(new.select(F.concat(F.lit("v"), trip).alias("added"), "*", (trip + F.lit(0.5)).alias("aux")), f"{root}/source/new")
+    run()
+    versions = SchemaLog(schema_log_path(root, "bronze_ev_telemetry")).versions()
+    return read_table_of(spark, root, "bronze_ev_telemetry") \
+        .drop("ingestion_timestamp", "ingest_batch", RESCUED).withColumn("schema_versions", F.lit(len(versions)))
+
+
+def _with_broken_text(raw: DataFrame) -> DataFrame:
+    """Telemetry in which some values of three columns are no numbers (and NaN stays NaN)."""
+    ms, trip = F.col("Timestamp(ms)").cast("long"), F.col("Trip").cast("long")
+    broken = {"VehId": (ms % 97 == 0, F.concat(F.col("VehId").cast("long"), F.lit(".5"))),
+              "Energy_Consumption": (ms % 89 == 0, F.lit("n/a")),
+              "Latitude[deg]": (trip % 50 == 7, F.lit("42,22"))}
+    return raw.select(*[F.when(broken[c][0], broken[c][1]).otherwise(F.col(f"`{c}`").cast("string")).alias(c)
+                        if c in broken else F.col(f"`{c}`") for c in RAW_COLUMNS])
+
+
+@query
+def csv_rescued_values(spark, sf_dir):
+    """Values that failed their type in a stream of broken files, by source column, and samples without a key."""
+    root = scratch_path(spark, "csv-rescue")
+    write_csv(_with_broken_text(telemetry(spark, sf_dir)), f"{root}/source")
+    run_ingest(spark, f"{root}/source", f"{root}/sink", f"{root}/checkpoint", transform=typed_samples)
+    return rescued_counts(spark.read.parquet(f"{root}/sink"))
+
+
+@query
+def csv_rescued_samples(spark, sf_dir):
+    """The samples of the same files, with the text that failed its type."""
+    root = scratch_path(spark, "csv-rescue")
+    write_csv(_with_broken_text(telemetry(spark, sf_dir)), root)
+    return clean_telemetry(read_telemetry_csv(spark, root), rescue=True)
+
+
 @query
 def ingestion_time(spark, sf_dir):
     """Rows by ingestion time of a stream run under a fixed clock."""

@@ -22,6 +22,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # a vehicle list beyond the broadcast budget still filters samples, by a Bloom filter made of it
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark import SparkContext
 
 
@@ -96,9 +97,26 @@ def read_text(path: str) -> str:
 def write_text(path: str, text: str) -> None:
     """Write a small text file whole: to a temporary name, then renamed over the
     target, so a crash never leaves a half-written file."""
+    _put_text(path, text, overwrite=True)
+
+
+def create_text(path: str, text: str) -> bool:
+    """Write a small text file whole unless the name is taken; whether it was written."""
+    if path_exists(path):
+        return False
+    try:
+        _put_text(path, text, overwrite=False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExistsException" not in str(e.java_exception):
+            raise
+        return False
+    return True
+
+
+def _put_text(path: str, text: str, overwrite: bool) -> None:
     jvm, filesystem, target = _resolve(path)
     context = _context()
-    temporary = jvm.org.apache.hadoop.fs.Path(f"{path}.tmp-{uuid.uuid4().hex[:8]}")
+    temporary = jvm.org.apache.hadoop.fs.Path(f"{target.getParent()}/.{target.getName()}.tmp-{uuid.uuid4().hex[:8]}")
     if target.getParent() is not None:
         filesystem.mkdirs(target.getParent())
     out = filesystem.create(temporary)
@@ -107,11 +125,16 @@ def write_text(path: str, text: str) -> None:
     finally:
         out.close()
     rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    options = context._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-        filesystem.getUri(), context._jsc.hadoopConfiguration()).rename(
-        filesystem.makeQualified(temporary), filesystem.makeQualified(target), options)
+    options = context._gateway.new_array(rename, int(overwrite))
+    if overwrite:
+        options[0] = rename.OVERWRITE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            filesystem.getUri(), context._jsc.hadoopConfiguration()).rename(
+            filesystem.makeQualified(temporary), filesystem.makeQualified(target), options)
+    except Py4JJavaError:
+        filesystem.delete(temporary, False)
+        raise
 
 
 def remove_dir(path: str) -> None:
@@ -120,12 +143,43 @@ def remove_dir(path: str) -> None:
     filesystem.delete(found, True)
 
 
-def replace_dir(new: str, path: str) -> None:
-    """Put the finished folder ``new`` in the place of ``path``.  A crash in between
-    leaves ``path`` whole, or missing, never mixed."""
+def move_dir(new: str, path: str) -> None:
+    """Rename a folder to a name that is free."""
     _, filesystem, target = _resolve(path)
     _, _, source = _resolve(new)
     filesystem.mkdirs(target.getParent())
-    filesystem.delete(target, True)
     if not filesystem.rename(source, target):
         raise OSError(f"cannot move {new} to {path}")
+
+
+def _retired(path: str) -> str:
+    """Where the folder that ``replace_dir`` takes away stands until the new one is in place."""
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    return f"{parent}/.{name}.old"
+
+
+def replace_dir(new: str, path: str) -> None:
+    """Put the finished folder ``new`` in the place of ``path``: the old folder is renamed
+    away, the new one renamed in, then the old one deleted.  A crash in between leaves the
+    old folder under its other name, from where ``restore_dir`` brings it back."""
+    _, filesystem, target = _resolve(path)
+    jvm, _, source = _resolve(new)
+    old = jvm.org.apache.hadoop.fs.Path(_retired(path))
+    filesystem.mkdirs(target.getParent())
+    restore_dir(path)
+    filesystem.delete(old, True)
+    if filesystem.exists(target) and not filesystem.rename(target, old):
+        raise OSError(f"cannot move {path} away")
+    if not filesystem.rename(source, target):
+        restore_dir(path)
+        raise OSError(f"cannot move {new} to {path}")
+    filesystem.delete(old, True)
+
+
+def restore_dir(path: str) -> bool:
+    """Bring back a folder whose replacement was broken off; whether there was one."""
+    jvm, filesystem, target = _resolve(path)
+    old = jvm.org.apache.hadoop.fs.Path(_retired(path))
+    if filesystem.exists(target) or not filesystem.exists(old):
+        return False
+    return filesystem.rename(old, target)

@@ -10,7 +10,11 @@ pruned).  Each micro-batch reads its files grouped by header and aligned by
 column name, like the batch reader, so a file may reorder, add or lack columns.
 A batch is written to a folder of its own, ``ingest_batch=<id>``; a batch that is
 repeated after a crash replaces that folder, so rows are stored exactly once.
-Added columns are found by reading the table with ``mergeSchema``.
+
+With ``schema_dir`` the columns and types of every batch are merged into a schema log
+(``sources.schema_log``) before the batch counts as done: a later run, or a reader,
+knows all columns and their widest types without opening old files.  Without it, added
+columns are found by reading the table with ``mergeSchema``.
 """
 
 from __future__ import annotations
@@ -20,7 +24,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fleetframe.operators.cleaning import MALFORMED, RESCUED, clean_telemetry
 from fleetframe.sources.csv import read_csv_files
+from fleetframe.sources.schema_log import TEXT, SchemaLog, found_types
 
 #: Partition column of the sink: the number of the micro-batch, growing over all runs.
 BATCH_COLUMN = "ingest_batch"
@@ -41,7 +47,7 @@ def csv_file_stream(spark: SparkSession, source_dir: str, max_files_per_trigger:
 def ingest_csv_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str, now=None,
                       max_files_per_trigger: int | None = None,
                       transform: Callable[[DataFrame], DataFrame] | None = None,
-                      written: list[str] | None = None) -> StreamingQuery:
+                      written: list[str] | None = None, schema_dir: str | None = None) -> StreamingQuery:
     """Start one ``availableNow`` run: new files -> appended Parquet rows.
 
     ``transform`` is applied to each batch before writing (the pipeline types
@@ -49,7 +55,8 @@ def ingest_csv_stream(spark: SparkSession, source_dir: str, sink_dir: str, check
     Folders of finished batches are added to ``written``."""
     def append(batch: DataFrame, batch_id: int) -> None:
         # file names of one batch, at most max_files_per_trigger
-        rows = read_csv_files(batch.sparkSession, sorted(r["path"] for r in batch.collect()))
+        rows = read_csv_files(batch.sparkSession, sorted(r["path"] for r in batch.collect()),
+                              MALFORMED if transform is typed_samples else None)
         if rows is None:
             return
         if transform is not None:
@@ -60,6 +67,11 @@ def ingest_csv_stream(spark: SparkSession, source_dir: str, sink_dir: str, check
             rows = rows.sortWithinPartitions(*order)
         folder = f"{sink_dir.rstrip('/')}/{BATCH_COLUMN}={batch_id}"
         rows.write.mode("overwrite").parquet(folder)
+        if schema_dir is not None:
+            log = SchemaLog(schema_dir)
+            last = log.latest()
+            stored = batch.sparkSession.read.schema(rows.schema).parquet(folder)  # text columns only are looked at
+            log.accept(found_types(stored, last.types() if last else {}, {RESCUED: TEXT}), f"batch {batch_id}")
         if written is not None:
             written.append(folder)
 
@@ -73,12 +85,12 @@ def ingest_csv_stream(spark: SparkSession, source_dir: str, sink_dir: str, check
 def run_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
                now=None, timeout_s: float | None = None,
                transform: Callable[[DataFrame], DataFrame] | None = None,
-               max_files_per_trigger: int | None = None) -> int:
+               max_files_per_trigger: int | None = None, schema_dir: str | None = None) -> int:
     """Run one triggered ingestion to completion; returns the rows appended, counted
     in the batches it wrote (the query's progress list keeps only its last entries)."""
     written: list[str] = []
     query = ingest_csv_stream(spark, source_dir, sink_dir, checkpoint_dir, now,
-                              max_files_per_trigger, transform, written)
+                              max_files_per_trigger, transform, written, schema_dir)
     query.awaitTermination(timeout_s)
     if query.isActive:
         query.stop()
@@ -91,6 +103,5 @@ def run_ingest(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_d
 
 
 def typed_samples(rows: DataFrame) -> DataFrame:
-    """Canonical, typed signals plus any extra source columns (as text)."""
-    from fleetframe.operators.cleaning import clean_telemetry
-    return clean_telemetry(rows, keep_extra=True)
+    """Canonical, typed signals, the text that failed its type, and any extra source columns (as text)."""
+    return clean_telemetry(rows, keep_extra=True, rescue=True)

@@ -308,6 +308,23 @@ def queries() -> dict[str, str]:
     q["csv_wide_header"] = q["clean_signals"]
     q["csv_stream_evolution"] = with_([CTE_TELEMETRY, CTE_SAMPLES], """SELECT *,
         CASE WHEN "Trip" % 2 <> 0 THEN CAST("Trip" AS VARCHAR) END AS new_col FROM samples""")
+    q["csv_schema_log"] = with_([CTE_TELEMETRY, CTE_SAMPLES], """SELECT *,
+        CAST("Trip" AS DOUBLE) + CASE WHEN "Trip" % 2 <> 0 THEN 0.5 ELSE 0 END AS aux,
+        CASE WHEN "Trip" % 2 <> 0 THEN 'v' || CAST("Trip" AS VARCHAR) END AS added, 2 AS schema_versions FROM samples""")
+    broken = {"VehId": '"Timestamp(ms)" % 97 = 0', "Energy_Consumption": '"Timestamp(ms)" % 89 = 0',
+              "Latitude[deg]": '"Trip" % 50 = 7', "_no_key": '"Timestamp(ms)" % 97 = 0'}
+    q["csv_rescued_values"] = with_([CTE_TELEMETRY], " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS n_values FROM telemetry WHERE {cond} HAVING count(*) > 0"
+        for c, cond in broken.items()))
+    broken = {c: cond.replace('"Timestamp(ms)"', "ts_ms") for c, cond in broken.items() if c != "_no_key"}
+    pair = lambda c, text: f"""CASE WHEN {broken[c]} THEN '"{c}":"' || {text} || '"' END"""
+    entries = ", ".join([pair("VehId", """CAST("VehId" AS VARCHAR) || '.5'"""), pair("Latitude[deg]", "'42,22'"),
+                         pair("Energy_Consumption", "'n/a'")])
+    unless = lambda c, column: f"CASE WHEN NOT ({broken[c]}) THEN {column} END"
+    q["csv_rescued_samples"] = with_([CTE_TELEMETRY, CTE_SAMPLES], f"""SELECT * REPLACE (
+        {unless("VehId", '"VehId"')} AS "VehId", {unless("Latitude[deg]", "lat")} AS lat, {unless("Energy_Consumption", "energy")} AS energy),
+        CASE WHEN {" OR ".join(broken.values())} THEN '{{' || concat_ws(',', {entries}) || '}}' END AS "_rescued_data"
+        FROM samples""")
     q["ingestion_time"] = with_([CTE_TELEMETRY], """SELECT '2024-01-01 00:00:00' AS ingested_at,
         count(*) AS n_rows FROM telemetry""")
     q["silver_table_round_trip"] = _base(f"""SELECT {SILVER_COLS}, '2024-01-01 00:00:00' AS processed_at,

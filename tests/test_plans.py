@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_TINY
+from conftest import SF_TINY, rows_of
 from fleetframe.operators.features import build_features
 from fleetframe.operators.trips import build_trips
 from fleetframe.plans.inspect import plan_text, rows_to_one_task
@@ -102,3 +102,24 @@ def test_operators_run_in_whole_stage_codegen(spark):
             m = re.search(r"(\*\s)?(Project|Filter|HashAggregate|BroadcastHashJoin|SortMergeJoin) \(\d+\)", line)
             if m:
                 assert m.group(1), (name, line.strip())
+
+
+def test_long_vehicle_list_filters_samples_at_run_time(spark):
+    """Beyond the broadcast budget, a Bloom filter of the list stands below the trip shuffle."""
+    from fleetframe.operators.trips import build_trips
+    from fleetframe.session import materialize
+    data = materialize(samples(spark, SF_TINY), "bloom-samples")
+    base = rows_of(build_trips(data).drop("processing_timestamp"))
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    try:
+        df = build_trips(data)
+        text = plan_text(df)
+        assert "SortMergeJoin" in text and "might_contain" in text
+        assert text.index("might_contain") > text.index("Exchange hashpartitioning(DayNum")
+        assert rows_of(df.drop("processing_timestamp")) == base
+    finally:
+        for k in confs:
+            spark.conf.unset(k)

@@ -1,16 +1,18 @@
 """Inputs that used to be lost or to stop a job: odd ids, wide headers, odd files, extreme values."""
 
 import bz2
+import statistics
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from conftest import SF_SMALL
-from fleetframe.functions.exact import rounded_mean_of, unit_aggs, unit_values
+from fleetframe.functions.exact import rounded_mean_of, stddev_of, unit_aggs, unit_values
 from fleetframe.operators.cleaning import clean_telemetry
 from fleetframe.operators.history import trailing_sums
 from fleetframe.operators.trips import fix_order
 from fleetframe.plans.queries import REGISTRY
+from fleetframe.session import materialize
 from fleetframe.sources.csv import header_groups, list_csv_files, read_header, read_telemetry_csv
 from fleetframe.streaming.ingest import run_ingest
 
@@ -139,3 +141,67 @@ def test_small_files_are_replaced_whole(spark, tmp_path):
     write_text(str(tmp_path / "new" / "x"), "x")
     replace_dir(str(tmp_path / "new"), str(tmp_path / "state"))
     assert path_exists(str(tmp_path / "state" / "x")) and not path_exists(path)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_deviations_of_any_size(spark, ansi):
+    """Against exact fractions: extreme values, a narrow spread around a half's edge, large equal values."""
+    from fractions import Fraction
+    groups = [[7.5e16 + k for k in (0, 16, 1024, 65536, 0, 0)], [9.2e16, -9.2e16, 1.0, 2.0], [42949672.95 + k / 100 for k in range(9)],
+              [-42949672.97 + k / 100 for k in range(6)], [9.0e16] * 5, [21474836.47, 21474836.48], [5.0, 5.0, None], [9.1e16, -9.1e16] * 40,
+              [None, None], [1.0], [9.0e16, 0.01]]
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(g, i, v) for g, vs in enumerate(groups) for i, v in enumerate(vs)], "g int, i int, x double")
+        aggs = unit_aggs("x", 2, squares=True)
+        got = {r.g: r.sd for r in df.repartition(7).groupBy("g").agg(*[v.alias(k) for k, v in aggs.items()]).select(
+            "g", stddev_of(F.col("s"), F.col("q"), F.col("n"), 2).alias("sd")).collect()}
+        for g, values in enumerate(groups):
+            units = [round(Fraction(v) * 100) if abs(v) < 1e9 else int(v * 100) for v in values if v is not None]
+            if len(units) < 2:
+                assert got[g] is None
+                continue
+            mean = Fraction(sum(units), len(units))
+            variance = sum((u - mean) ** 2 for u in units) / (len(units) - 1)
+            assert got[g] == pytest.approx(float(variance) ** 0.5 / 100, rel=1e-12), g
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_extreme_energies_reach_every_table(spark, ansi):
+    """Six trips of 7.5e16 energy (one bad sensor) among ordinary ones, on one route and vehicle."""
+    from fleetframe.operators import aggregates, features
+    trips = REGISTRY["silver_trips"](spark, SF_SMALL).withColumn("VehId", F.lit(2).cast("long")) \
+        .withColumns({c: F.lit(1.0) for c in ("origin_lat", "origin_lon", "destination_lat", "destination_lon")})
+    rank = F.row_number().over(Window.orderBy("DayNum", "Trip", "distance_km"))
+    trips = trips.withColumn("Trip", rank.cast("long")).withColumn(
+        "total_energy_consumption", F.when(F.col("Trip").between(10, 15), 7.5e16).otherwise(F.coalesce("total_energy_consumption", F.lit(1.25)))) \
+        .withColumn("efficiency_km_per_energy", F.when(F.col("Trip").between(40, 70), 9.0e14).otherwise(F.col("efficiency_km_per_energy"))) \
+        .withColumn("processing_timestamp", F.current_timestamp())
+    trips = materialize(trips, "extreme")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        energy = sorted(r[0] for r in trips.select("total_energy_consumption").collect())
+        route = aggregates.route_patterns(trips).collect()
+        assert len(route) == 1 and route[0]["stddev_energy"] == pytest.approx(statistics.stdev(energy), rel=1e-9)
+        hours = aggregates.temporal_patterns(trips).collect()
+        assert sum(r["trip_count"] for r in hours) == len(energy) and max(r["stddev_energy"] or 0 for r in hours) > 1e15
+        assert len(aggregates.vehicle_daily_stats(trips).collect()) > 0
+        table = {r["Trip"]: r for r in features.build_features(trips).collect()}
+        own = {r["Trip"]: r for r in trips.collect()}
+        assert set(table) == set(range(6, len(energy) + 1))
+        for t in (16, 30, 45, 46, 60, 100, len(energy)):
+            last = [own[k]["total_energy_consumption"] for k in range(max(1, t - 30), t)]
+            assert table[t]["vehicle_stddev_energy_last30"] == pytest.approx(statistics.stdev(last), rel=1e-9, abs=0.006)
+            assert table[t]["vehicle_avg_energy_last30"] == pytest.approx(statistics.fmean(last), rel=1e-9, abs=0.006)
+            efficiency = [v for k in range(max(1, t - 30), t) if (v := own[k]["efficiency_km_per_energy"]) is not None]
+            assert table[t]["vehicle_avg_efficiency_last30"] == pytest.approx(statistics.fmean(efficiency), rel=1e-9, abs=6e-5)
+        fleet = statistics.fmean(r["vehicle_avg_efficiency_last30"] for r in features.history_stage(trips).collect()
+                                 if r["vehicle_avg_efficiency_last30"] is not None)
+        some = table[20]
+        assert some["vehicle_efficiency_vs_fleet"] == pytest.approx(some["vehicle_avg_efficiency_last30"] - fleet, rel=1e-9)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
