@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fleetframe.session import materialize, scratch_path  # noqa: F401  (used by the operators)
 from fleetframe.sources.testbed import read_table  # noqa: F401
@@ -75,12 +75,45 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - counts), counts)
 
 
+def _same_names(spark: SparkSession):
+    """How the session compares column names: as a key function."""
+    exact = spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    return (lambda name: name) if exact else str.lower
+
+
 def other_columns(df: DataFrame, names: list[str]) -> dict[str, Column]:
     """The columns of ``df``, by name, that no result column of ``names`` replaces
     (names are compared in the session's way: by default without regard to case)."""
-    exact = df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
-    taken = {n if exact else n.lower() for n in names}
-    return {c: df[f"`{c.replace('`', '``')}`"] for c in df.columns if (c if exact else c.lower()) not in taken}
+    key = _same_names(df.sparkSession)
+    taken = {key(n) for n in names}
+    return {c: df[f"`{c.replace('`', '``')}`"] for c in df.columns if key(c) not in taken}
+
+
+class Plain:
+    """A table under the column names c0, c1 ... by position, which no working or result
+    column can clash with, whatever the names are."""
+
+    def __init__(self, df: DataFrame):
+        self.names = df.columns
+        self.df = df.toDF(*[f"c{i}" for i in range(len(self.names))])
+        self.key = _same_names(df.sparkSession)
+
+    def find(self, name: str) -> str | None:
+        """Plain name of a column (of an exact match if there is one)."""
+        at = [i for i, n in enumerate(self.names) if n == name] or \
+            [i for i, n in enumerate(self.names) if self.key(n) == self.key(name)]
+        return f"c{at[0]}" if at else None
+
+    def of(self, name: str) -> str:
+        found = self.find(name)
+        if found is None:
+            raise ValueError(f"no column {name} among {self.names}")
+        return found
+
+    def kept(self, results: list[str]) -> dict[str, str]:
+        """Plain name -> name of the columns that no result column replaces."""
+        taken = {self.key(n) for n in results}
+        return {f"c{i}": n for i, n in enumerate(self.names) if self.key(n) not in taken}
 
 
 def append_columns(df: DataFrame, fn, schema: str) -> DataFrame:
@@ -91,9 +124,10 @@ def append_columns(df: DataFrame, fn, schema: str) -> DataFrame:
     """
     spark = df.sparkSession
     fields = spark.createDataFrame([], schema).schema.fields
-    names = {f.name for f in fields}
+    key = _same_names(spark)
+    names = {key(f.name) for f in fields}
     source = df.toDF(*[f"c{i}" for i in range(len(df.columns))])  # any input name, dots and repeats included
-    kept = [i for i, c in enumerate(df.columns[:-1]) if c not in names]
+    kept = [i for i, c in enumerate(df.columns[:-1]) if key(c) not in names]
     src = source.select(*[f"c{i}" for i in kept], f"c{len(df.columns) - 1}")
     out = source.select(*[f"c{i}" for i in kept]).schema
     for i, f in enumerate(fields):
@@ -110,6 +144,16 @@ def append_columns(df: DataFrame, fn, schema: str) -> DataFrame:
     return src.mapInArrow(run, out).toDF(*[df.columns[i] for i in kept], *[f.name for f in fields])
 
 
+def append_to_table(docs: DataFrame, source, fn, schema: str) -> DataFrame:
+    """``append_columns`` for a whole table: ``source(plain)`` is the column that ``fn`` gets,
+    made of the table's ``Plain`` names; all columns but replaced ones are kept."""
+    plain = Plain(docs)
+    fields = docs.sparkSession.createDataFrame([], schema).columns
+    kept = plain.kept(fields)
+    out = append_columns(plain.df.select(*kept, source(plain).alias("source")), fn, schema)
+    return out.toDF(*kept.values(), *fields)
+
+
 def labelled_ids(labels: DataFrame, label_col: str, fold) -> DataFrame:
     """Rows (doc_id, label) of the labelled ids where ``fold`` holds, each id once."""
     return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
@@ -118,22 +162,33 @@ def labelled_ids(labels: DataFrame, label_col: str, fold) -> DataFrame:
 
 
 def first_labelled(docs: DataFrame, labels: DataFrame, label_col: str, fold, rows_per_class: int,
-                   max_chars: int, columns: list[str]) -> DataFrame:
-    """A bounded, deterministic training sample: for each class the
-    ``rows_per_class`` labelled ids of smallest id hash, with their texts.
-
-    ``fold`` is a condition on ``doc_id``; texts over ``max_chars`` are left out
-    of the sample (they are scored like all others).
+                   chars_per_class: int, columns: list[str]) -> DataFrame:
+    """A bounded, deterministic training sample: for each class the ``rows_per_class``
+    labelled ids of smallest id hash that have a document, with their whole texts (a null
+    text is an empty one).
+
+    ``fold`` is a condition on ``doc_id``.  Where the texts of a class hold more than
+    ``chars_per_class`` characters together, its longest ones are left out until they do
+    not (the shortest always stays, so a class with texts is never empty).  Of several
+    rows with one id the one of least text hash stands for it.
     """
     ids = labelled_ids(labels, label_col, fold)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c) for c in columns]) \
-        .where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
+    own = F.struct(F.xxhash64("text").alias("h"), *[F.col(c) for c in columns])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c) for c in columns]).fillna("", ["text"])
     order = F.xxhash64(F.lit(label_col), F.col("doc_id"))
+    there = ids.join(texts.select("doc_id"), "doc_id", "left_semi")
     picked = None
     for label in (0, 1):
-        some = ids.where(F.col("label") == label).orderBy(order, "doc_id").limit(rows_per_class)
+        some = there.where(F.col("label") == label).orderBy(order, "doc_id").limit(rows_per_class)
         picked = some if picked is None else picked.unionAll(some)
-    return texts.join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+    picked = materialize(picked, "picked-labels")  # 2 * rows_per_class ids at most
+    rows = materialize(texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min(own).alias("own"))
+                       .select("doc_id", "label", *[F.col(f"own.{c}").alias(c) for c in columns]), "training-texts")
+    by_length = Window.partitionBy("label").orderBy("n", "doc_id")
+    fits = rows.select("doc_id", "label", F.length("text").cast("long").alias("n")) \
+        .withColumns({"at": F.row_number().over(by_length), "sum": F.sum("n").over(by_length)}) \
+        .where((F.col("at") == 1) | (F.col("sum") <= chars_per_class)).select("doc_id")
+    return rows.join(F.broadcast(fits), "doc_id")
 
 
 def session_of(df: DataFrame) -> SparkSession:

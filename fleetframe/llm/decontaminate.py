@@ -15,7 +15,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetframe.llm.common import KEY, materialize, read_table, text_blocks, with_row_key
+from fleetframe.llm.common import KEY, Plain, materialize, read_table, text_blocks, with_row_key
 
 #: Errors allowed as a share of the item's length.
 ERROR_RATE = 0.1
@@ -204,8 +204,10 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   rate: float = ERROR_RATE) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage, with all their columns."""
-    hits = materialize(benchmark_hits(docs, benchmark, id_col, text_col, rate).select(*KEY).distinct(), "leaks")
-    return with_row_key(docs, id_col, text_col).join(hits, KEY, "left_anti").drop(*KEY)
+    plain = Plain(docs)
+    id_col, text_col = plain.of(id_col), plain.of(text_col)
+    hits = materialize(benchmark_hits(plain.df, benchmark, id_col, text_col, rate).select(*KEY).distinct(), "leaks")
+    return with_row_key(plain.df, id_col, text_col).join(hits, KEY, "left_anti").drop(*KEY).toDF(*plain.names)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetframe.llm.common import KEY, append_columns, materialize, read_table, with_row_key
+from fleetframe.llm.common import KEY, Plain, append_columns, materialize, read_table, with_row_key
 
 #: Fixed values of the key: white space stripped at both ends, least length in code points.
 STRIPPED = b" \t\n\x0b\x0c\r"
@@ -179,12 +179,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hold stay.  A null text stays null and counts as one empty line.  Input columns
     named n_lines or n_dropped are replaced.
     """
-    keyed = with_row_key(docs.drop("n_lines", "n_dropped"), id_col, text_col)
+    plain, names = Plain(docs), ["n_lines", "n_dropped"]
+    id_col, text_col = plain.of(id_col), plain.of(text_col)
+    stay = plain.kept(names)
+    keyed = with_row_key(plain.df, id_col, text_col)
     lost = repeated_lines(keyed, id_col, text_col, bits, least_docs)
     per_doc = lost.groupBy(*KEY).agg(F.collect_set("__digest").alias("__lost"))
-    joined = keyed.join(per_doc, KEY, "left")
-    packed = joined.withColumn("__pair", F.struct(F.col(text_col).alias("t"), F.col("__lost").alias("d"))) \
-        .drop(*KEY, "__lost")
+    packed = keyed.join(per_doc, KEY, "left").select(
+        *[c for c in stay if c != text_col], F.struct(F.col(text_col).alias("t"), F.col("__lost").alias("d")).alias("pair"))
 
     def rebuild(column: pa.Array) -> list[pa.Array]:
         raw = column.field(0).cast(pa.binary()).to_pylist()
@@ -201,9 +203,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return [pa.array(raw, pa.binary()).cast(pa.string()), pa.array(n_lines, pa.int64()),
                 pa.array(n_dropped, pa.int64())]
 
-    out = append_columns(packed, rebuild, f"`{text_col}` string, n_lines long, n_dropped long")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")],
-                      "n_lines", "n_dropped")
+    out = append_columns(packed, rebuild, f"{text_col} string, n_lines long, n_dropped long")
+    return out.select(*stay, *names).toDF(*stay.values(), *names)
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

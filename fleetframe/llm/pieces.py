@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetframe.llm.common import append_columns, ranges, read_table, text_blocks
+from fleetframe.llm.common import append_to_table, ranges, read_table, text_blocks
 
 #: Default model file (a parameter of every function here).
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -306,7 +306,7 @@ def encode_pieces(docs: DataFrame, text_col: str = "text", model: str = MODEL, i
         ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype(np.int32)
         return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts)))]
 
-    return append_columns(docs.withColumn("__encoded_text", F.col(text_col)), run, f"`{ids_col}` array<int>")
+    return append_to_table(docs, lambda t: F.col(t.of(text_col)), run, f"`{ids_col}` array<int>")
 
 
 def decode_pieces(tokens: DataFrame, ids_col: str = "ids", model: str = MODEL, text_col: str = "text") -> DataFrame:
@@ -317,7 +317,7 @@ def decode_pieces(tokens: DataFrame, ids_col: str = "ids", model: str = MODEL, t
         tok = tokenizer(shared.value)
         return [pa.array([tok.decode(x) if x else "" for x in column.to_pylist()], pa.string())]
 
-    return append_columns(tokens.withColumn("__decoded_ids", F.col(ids_col)), run, f"`{text_col}` string")
+    return append_to_table(tokens, lambda t: F.col(t.of(ids_col)), run, f"`{text_col}` string")
 
 
 def round_trips(docs: DataFrame, text_col: str = "text", model: str = MODEL) -> DataFrame:
@@ -339,8 +339,8 @@ def round_trips(docs: DataFrame, text_col: str = "text", model: str = MODEL) ->
                 same.append(tok.decode(own) == text)
         return [pa.array(sizes, pa.int64()), pa.array(digests, pa.string()), pa.array(same, pa.bool_())]
 
-    return append_columns(docs.withColumn("__encoded_text", F.col(text_col)), run,
-                          "n_tokens long, ids_sha256 string, round_trip boolean")
+    return append_to_table(docs, lambda t: F.col(t.of(text_col)), run,
+                           "n_tokens long, ids_sha256 string, round_trip boolean")
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

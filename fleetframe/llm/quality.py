@@ -14,11 +14,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetframe.llm.common import append_columns, crc32_fold, first_labelled, read_table, utf8, blocks
+from fleetframe.llm.common import Plain, append_to_table, crc32_fold, first_labelled, read_table, utf8, blocks
 
 BITS, RANK = 14, 8
-#: Documented bounds of the training sample.
-ROWS_PER_CLASS, MAX_CHARS = 2000, 20_000
+#: Documented bounds of the training sample: rows of each class, and characters of their texts together.
+ROWS_PER_CLASS, CHARS_PER_CLASS = 2000, 10_000_000
 BLOCK = 1 << 18
 
 STATS = ["log_bytes", "log_words", "word_length", "upper", "digit", "symbol", "exclaim", "pipe", "stop_mark",
@@ -215,28 +215,31 @@ def train(texts: list[str], n_chars, labels, epochs: int = 40, rate: float = 0.0
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", fold=None,
-                rows_per_class: int = ROWS_PER_CLASS, max_chars: int = MAX_CHARS) -> QualityModel:
+                rows_per_class: int = ROWS_PER_CLASS, chars_per_class: int = CHARS_PER_CLASS) -> QualityModel:
     """Train on a bounded sample (``first_labelled``) of the rows where ``fold`` holds."""
     fold = F.lit(True) if fold is None else fold
     meta = docs if "n_chars" in docs.columns else docs.withColumn("n_chars", F.length("text"))
-    rows = first_labelled(meta, labels, label_col, fold, rows_per_class, max_chars, ["text", "n_chars"]) \
+    rows = first_labelled(meta, labels, label_col, fold, rows_per_class, chars_per_class, ["text", "n_chars"]) \
         .select("doc_id", "text", "n_chars", "label").toPandas().sort_values("doc_id")
     return train(rows["text"].tolist(), rows["n_chars"].fillna(0).to_numpy(), rows["label"].to_numpy())
 
 
 def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
-                  score: str = "score", predicted: str = "predicted") -> DataFrame:
+                  score: str = "score", predicted: str = "predicted", chars_col: str = "n_chars") -> DataFrame:
     """Add ``score`` (0 to 1, higher: label 1 likelier) and ``predicted`` (1 from 0.5 on).
 
     Every whole text is scored; null and empty texts have no words and zero
-    statistics.  The metadata input is ``n_chars``: null or missing, it is the
+    statistics.  The metadata input is ``chars_col``: null or missing, it is the
     text's length.  All other columns are kept; columns named like the results
     are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # (2^14 + 20) x 9 numbers
-    length = F.coalesce(F.length(text_col), F.lit(0))
-    meta = F.coalesce(F.col("n_chars").cast("long"), length) if "n_chars" in docs.columns else length
-    copy = docs.withColumn("__scored_text", F.struct(F.col(text_col).alias("t"), meta.cast("long").alias("n")))
+
+    def source(t: Plain):
+        text, chars = t.of(text_col), t.find(chars_col)
+        length = F.coalesce(F.length(text), F.lit(0))
+        meta = F.coalesce(F.col(chars).cast("long"), length) if chars else length
+        return F.struct(F.col(text).alias("t"), meta.cast("long").alias("n"))
 
     def run(column: pa.Array) -> list[pa.Array]:
         m = shared.value
@@ -247,7 +250,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text",
             out[lo:hi] = _sigmoid(logits(m, inputs_of(data, offsets[lo:hi + 1], chars[lo:hi]))[0])
         return [pa.array(out), pa.array((out >= 0.5).astype(np.int32))]
 
-    return append_columns(copy, run, f"`{score}` double, `{predicted}` int")
+    return append_to_table(docs, source, run, f"`{score}` double, `{predicted}` int")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

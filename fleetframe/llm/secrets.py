@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetframe.llm.common import append_columns, blocks, read_table, utf8
+from fleetframe.llm.common import append_to_table, blocks, read_table, utf8
 
 
 @dataclass(frozen=True)
@@ -250,7 +250,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", base=BASE_RULES, more=
         return [*[pa.array(c) for c in counts], pa.array(own), pa.array(every)]
 
     schema = ", ".join(f"n_{r.kind} long" for r in base) + ", base_spans string, spans string"
-    return append_columns(docs.withColumn("__scanned_text", F.col(text_col)), scan, schema)
+    return append_to_table(docs, lambda t: F.col(t.of(text_col)), scan, schema)
 
 
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetframe.llm.common import KEY, append_columns, materialize, read_table, with_row_key
+from fleetframe.llm.common import KEY, Plain, append_to_table, materialize, read_table, with_row_key
 from fleetframe.llm.components import connected_components
 
 SHINGLE, MAX_DISTANCE = 4, 4
@@ -64,7 +64,7 @@ def with_fingerprints(docs: DataFrame, text_col: str, shingle: int, name: str) -
         raw = column.fill_null("").cast(pa.binary()).to_pylist()
         return [pa.array([fingerprint(t, shingle) for t in raw], pa.int64())]
 
-    return append_columns(docs.withColumn("__hashed_text", F.col(text_col)), run, f"`{name}` long")
+    return append_to_table(docs, lambda t: F.col(t.of(text_col)), run, f"`{name}` long")
 
 
 def unary_code(fp):
@@ -237,12 +237,14 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          shingle: int = SHINGLE, distance: int = MAX_DISTANCE) -> DataFrame:
     """The rows of ``docs``, one of each component: that of the smallest id (then row
     hash); of fully repeated rows one stays.  Rows whose id is null count as id 0."""
-    found = simhash_components(docs, id_col, text_col, shingle, distance)
+    plain = Plain(docs)
+    id_col, text_col = plain.of(id_col), plain.of(text_col)
+    found = simhash_components(plain.df, id_col, text_col, shingle, distance)
     group = F.coalesce("component_id", F.lit(-1)), F.when(F.col("component_id").isNull(), F.col("fp"))
     kept = found.groupBy(*[g.alias(f"__g{i}") for i, g in enumerate(group)]).agg(F.min(F.struct(*KEY)).alias("k")) \
         .select(*[F.col(f"k.{c}").alias(c) for c in KEY])
-    keyed = with_row_key(docs, id_col, text_col)
-    return keyed.join(kept, KEY, "left_semi").dropDuplicates(KEY).drop(*KEY)
+    keyed = with_row_key(plain.df, id_col, text_col)
+    return keyed.join(kept, KEY, "left_semi").dropDuplicates(KEY).drop(*KEY).toDF(*plain.names)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetframe.llm.common import KEY, append_columns, materialize, ranges, read_table, utf8, with_row_key
+from fleetframe.llm.common import KEY, Plain, append_columns, materialize, ranges, read_table, utf8, with_row_key
 
 LENGTH, GRAM, CELL = 400, 64, 16
 #: Bytes of a document looked at together; neighbours overlap by LENGTH - 1.
@@ -447,12 +447,13 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeated rows are copies of each other.  Input columns named like the results
     are replaced.
     """
-    names = ["n_bytes", "n_removed", "n_spans", "kept"]
-    found = repeated_ranges(docs, id_col, text_col, core_rows).groupBy(*KEY).agg(
+    plain, names = Plain(docs), ["n_bytes", "n_removed", "n_spans", "kept"]
+    id_col, text_col = plain.of(id_col), plain.of(text_col)
+    stay = plain.kept(names)
+    found = repeated_ranges(plain.df, id_col, text_col, core_rows).groupBy(*KEY).agg(
         F.collect_list("at").alias("__at"), F.collect_list("size").alias("__size"))
-    joined = with_row_key(docs, id_col, text_col).join(found, KEY, "left")
-    packed = joined.withColumn("__cut", F.struct(F.col(text_col).alias("t"), "__at", "__size")) \
-        .drop(*KEY, "__at", "__size")
+    joined = with_row_key(plain.df, id_col, text_col).join(found, KEY, "left")
+    packed = joined.select(*stay, F.struct(F.col(text_col).alias("t"), "__at", "__size").alias("cut"))
 
     def run(column: pa.Array) -> list[pa.Array]:
         data, offsets = utf8(column.field(0))
@@ -480,7 +481,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return [pa.array(x, pa.int64()) for x in (n_bytes, n_removed, n_spans)] + [pa.array(kept, pa.binary())]
 
     out = append_columns(packed, run, "n_bytes long, n_removed long, n_spans long, kept binary")
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in names], *names)
+    return out.toDF(*stay.values(), *names)
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,12 +18,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetframe.llm.common import append_columns, crc32_fold, first_labelled, labelled_ids, ranges, read_table, text_blocks
+from fleetframe.llm.common import append_to_table, crc32_fold, first_labelled, labelled_ids, ranges, read_table, text_blocks
 
 BITS, DIM, SIZES = 17, 8, (3, 4, 5)
 WINDOW, STRIDE = 8, 4
-#: Documented bounds of the training sample.
-ROWS_PER_CLASS, MAX_CHARS = 1500, 10_000
+#: Documented bounds of the training sample: rows of each class, and characters of their texts together.
+ROWS_PER_CLASS, CHARS_PER_CLASS = 1500, 8_000_000
 #: Gradient steps that a small sample gets at least.
 LEAST_STEPS = 200
 #: Weight of the starting evidence.
@@ -217,11 +217,11 @@ def calibrate(logit: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", fold=None,
-                 rows_per_class: int = ROWS_PER_CLASS, max_chars: int = MAX_CHARS) -> ToxicityModel:
+                 rows_per_class: int = ROWS_PER_CLASS, chars_per_class: int = CHARS_PER_CLASS) -> ToxicityModel:
     """Train on a bounded sample (``first_labelled``) of the rows where ``fold`` holds;
     the score is calibrated at the class mix of all of them, so the bound does not move it."""
     fold = F.lit(True) if fold is None else fold
-    rows = first_labelled(docs, labels, label_col, fold, rows_per_class, max_chars, ["text"]) \
+    rows = first_labelled(docs, labels, label_col, fold, rows_per_class, chars_per_class, ["text"]) \
         .select("doc_id", "text", "label").toPandas().sort_values("doc_id")
     counts = dict(map(tuple, labelled_ids(labels, label_col, fold).groupBy("label").count().collect()))
     return train(rows["text"].tolist(), rows["label"].to_numpy(), class_counts=(counts.get(0, 0), counts.get(1, 0)))
@@ -243,8 +243,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
             out[lo:hi] = _sigmoid(scale * text_logits(table, subword_bags(texts)) + shift)
         return [pa.array(out), pa.array((out >= 0.5).astype(np.int32))]
 
-    copy = docs.withColumn("__scored_text", F.col(text_col))
-    return append_columns(copy, score, "score double, predicted int")
+    return append_to_table(docs, lambda t: F.col(t.of(text_col)), score, "score double, predicted int")
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

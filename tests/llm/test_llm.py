@@ -450,7 +450,7 @@ def test_pipeline_stages(spark):
     import sentencepiece
 
     documents = docs_in = common.read_table(spark, SF, "documents")
-    model = quality.fit_quality(documents, common.read_table(spark, SF, "labels"))
+    model = quality.fit_quality(documents, common.read_table(spark, SF, "labels"), fold=common.crc32_fold("doc_id", 3) != 1)
     seen = {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs_in = common.materialize(stage(spark, docs_in, SF), name)
@@ -472,5 +472,5 @@ def test_pipeline_stages(spark):
              if any(decontaminate.Pattern(x).best(decontaminate.normal(t)) <= int(0.1 * len(x)) for x in items)}
     assert set(seen["benchmark_decontamination"]) == set(seen["simhash_near_dedup"]) - leaks
     sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
-    final = {r.doc_id: list(r.ids) for r in corpus_pipeline.STAGES[-1][1](spark, docs_in, SF).collect()}
-    assert final == {i: sp.encode(t) for i, t in seen["benchmark_decontamination"].items()}
+    final = {r.doc_id: (list(r.ids), r.decoded, r.round_trip) for r in corpus_pipeline.STAGES[-1][1](spark, docs_in, SF).collect()}
+    assert final == {i: (sp.encode(t), t, True) for i, t in seen["benchmark_decontamination"].items()}
