@@ -5,27 +5,33 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetframe.llm.common import materialize, read_table
+from fleetframe.llm.common import Plain, crc32_fold, materialize, read_table
 from fleetframe.llm.decontaminate import decontaminate
 from fleetframe.llm.lines import dedup_lines
-from fleetframe.llm.pieces import encode_pieces
+from fleetframe.llm.pieces import decode_pieces, encode_pieces
 from fleetframe.llm.quality import fit_quality, score_quality
 from fleetframe.llm.simhash import drop_near_duplicates
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts.  It learns from the labelled
-    rows of ``documents``; null texts are scored as empty ones."""
-    model = fit_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
-    scored = score_quality(docs, model, score="__score", predicted="__keep")
-    return scored.where(F.col("__keep") == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Documents that the quality classifier accepts: that of ``op10_quality``, which learns
+    from the labelled rows of ``documents`` in its fold.  Null texts are scored as empty ones."""
+    model = fit_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                        fold=crc32_fold("doc_id", 3) != 1)
+    plain = Plain(docs)
+    scored = score_quality(plain.df, model, plain.of("text"), "score", "keep", plain.find("n_chars") or "n_chars")
+    return scored.where("keep = 1").drop("score", "keep").toDF(*plain.names)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that three or more of them share (the
     largest doc_id keeps them); n_chars follows the text."""
-    out = dedup_lines(docs).drop("n_lines", "n_dropped").withColumn("n_chars", F.length("text").cast("long"))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain = Plain(docs)
+    text, n_chars = plain.of("text"), plain.find("n_chars")
+    out = dedup_lines(plain.df, plain.of("doc_id"), text).drop("n_lines", "n_dropped")
+    if n_chars:
+        out = out.withColumn(n_chars, F.length(text).cast("long"))
+    return out.toDF(*plain.names)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,9 +45,12 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and SentencePiece ids of every document."""
-    ids = encode_pieces(docs.select("doc_id", "text"))
-    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """doc_id, n_tokens and SentencePiece ids of every document, the text decoded from the
+    ids, and whether it is the document's (null as empty) again."""
+    ids = encode_pieces(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    out = decode_pieces(ids, text_col="decoded")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded",
+                      (F.col("decoded") == F.col("text")).alias("round_trip"))
 
 
 STAGES = [
