@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetframe.functions.exact import (
-    SQUARE_PARTS, mean_of, rounded_mean_of, stddev_of, sum_of, unit_aggs,
+    SQUARE_PARTS, mean_of, out_of_range, rounded_mean_of, stddev_of, sum_of, unit_aggs,
 )
 from fleetframe.functions.geo import route_key_columns
 from fleetframe.schema import DAILY_COLUMNS, ROUTE_COLUMNS, ROUTE_KEYS, TEMPORAL_COLUMNS
@@ -100,6 +100,18 @@ TEMPORAL_MEASURES = (
     _Exact("efficiency_km_per_energy", 4))
 TEMPORAL_KEYS = ["trip_dayofweek", "trip_hour"]
 
+#: Decimals of every measure that means are taken of.
+MEASURE_SCALES = {"distance_km": 2, "total_energy_consumption": 2, "duration_minutes": 2, "efficiency_km_per_energy": 4,
+                  "avg_speed_kmh": 2, "avg_battery_soc": 2, "elevation_gain_m": 2}
+
+
+def values_out_of_range(trips: DataFrame) -> DataFrame:
+    """``measure, n_values``: values too large for exact units (an efficiency over a near-zero
+    energy), which means leave out while their trips stay; one aggregate pass."""
+    counts = trips.agg(*[F.count_if(out_of_range(c, scale)).alias(c) for c, scale in MEASURE_SCALES.items()])
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("n_values")) for c in MEASURE_SCALES]))
+    return counts.select(pairs.alias("p")).select("p.measure", "p.n_values").filter("n_values > 0")
+
 
 def _route_report(agg: DataFrame, min_trips: int, now: Column | None) -> DataFrame:
     """Route columns from summed parts, ``trip_count`` and ``unique_vehicles``."""

@@ -39,7 +39,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from fleetframe.functions.calendar import DAYNUM_EPOCH
 from fleetframe.operators.aggregates import (
-    route_day_parts, route_patterns_from_parts, temporal_day_parts, temporal_patterns_from_parts, vehicle_daily_stats,
+    route_day_parts, route_patterns_from_parts, temporal_day_parts, temporal_patterns_from_parts, values_out_of_range,
+    vehicle_daily_stats,
 )
 from fleetframe.operators.cleaning import RESCUED, clean_telemetry, rescued_counts
 from fleetframe.operators.features import features_from_history, history_stage
@@ -175,7 +176,8 @@ def _rule_counts(candidates: DataFrame, rules) -> dict:
     counts = rule_metrics(candidates, rules).collect()  # one row per rule
     out = {"rows_in": counts[0]["rows_checked"] if counts else 0}
     out.update({f"failed_{r['rule']}": r["rows_failed"] for r in counts})
-    return out
+    beyond = {r["measure"]: r["n_values"] for r in values_out_of_range(candidates).collect()}  # a row for each measure
+    return {**out, **({"values_out_of_range": beyond} if beyond else {})}
 
 
 def _affected_days(spark: SparkSession, cfg: PipelineConfig, new_rows: DataFrame) -> list[int] | None:

@@ -205,3 +205,12 @@ def test_extreme_energies_reach_every_table(spark, ansi):
         assert some["vehicle_efficiency_vs_fleet"] == pytest.approx(some["vehicle_avg_efficiency_last30"] - fleet, rel=1e-9)
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_values_out_of_range_are_counted(spark):
+    from fleetframe.operators.aggregates import MEASURE_SCALES, values_out_of_range
+    rows = [(1e300, 1.0), (9.3e16, -1e17), (9.2e16, None), (None, 9.2e14), (1.0, 9.3e14)]
+    df = spark.createDataFrame(rows, "total_energy_consumption double, efficiency_km_per_energy double") \
+        .withColumns({c: F.lit(1.0) for c in MEASURE_SCALES if c not in ("total_energy_consumption", "efficiency_km_per_energy")})
+    assert {tuple(r) for r in values_out_of_range(df).collect()} == {("total_energy_consumption", 2), ("efficiency_km_per_energy", 2)}
+    assert values_out_of_range(df.limit(0)).count() == 0
