@@ -264,8 +264,8 @@ def build_gold(spark: SparkSession, cfg: PipelineConfig, state: dict) -> None:
     dates = None if days is None else _dates(days)
     touched = silver if days is None else silver.filter(F.col("trip_date").isin(dates))
     for name, build in per_day.items():
-        if days is None:
-            write_table(build(touched), cfg.root, name)
+        if days is None:  # written first: a clustered write runs its input twice, once to sample ranges
+            write_table(materialize(build(touched), name), cfg.root, name)
         elif days:
             _refresh_days(spark, cfg, name, build(touched), dates)
     if days is None or days:
@@ -286,7 +286,7 @@ def build_ml_features(spark: SparkSession, cfg: PipelineConfig, state: dict) ->
         state["history_pending"] = True
         save_state(cfg, state)
     if days is None:
-        write_table(history_stage(silver, cfg.chunks), cfg.root, "trip_history")
+        write_table(materialize(history_stage(silver, cfg.chunks), "history"), cfg.root, "trip_history")
     elif days:
         rows, touched = refreshed_history(
             silver, read_table(spark, cfg.root, "trip_history"), read_table(spark, cfg.root, "gold_vehicle_daily_stats"),
