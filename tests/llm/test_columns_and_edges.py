@@ -39,14 +39,11 @@ def _operators(spark):
         "toxicity": lambda d: toxicity.score_toxicity(d, toxicity.fit_toxicity(d, labels)),
         "suffix": suffix.drop_repeats,
         "simhash": simhash.drop_near_duplicates,
-        "components": simhash.simhash_components,
         "licenses": licenses.scan_licenses,
         "pieces": pieces.round_trips,
-        "encode": pieces.encode_pieces,
         "decode": lambda d: pieces.decode_pieces(pieces.encode_pieces(d), text_col="text2"),
         "secrets": secrets.scan_secrets,
         "lines": lines.dedup_lines,
-        "hits": lambda d: decontaminate.benchmark_hits(d, benchmark),
         "decontaminate": lambda d: decontaminate.decontaminate(d, benchmark),
         "quality": lambda d: quality.score_quality(d, quality.fit_quality(d, labels)),
         "passages": passages.drop_repeated_windows,
@@ -54,8 +51,8 @@ def _operators(spark):
     }
 
 
-@pytest.mark.parametrize("name", ["toxicity", "suffix", "simhash", "components", "licenses", "pieces", "encode", "decode", "secrets", "lines",
-                                  "hits", "decontaminate", "quality", "passages", "ranked"])
+@pytest.mark.parametrize("name", ["toxicity", "suffix", "simhash", "licenses", "pieces", "decode", "secrets", "lines", "decontaminate",
+                                  "quality", "passages", "ranked"])
 def test_clashing_columns(spark, docs, wide, name):
     operator = _operators(spark)[name]
     plain, got = operator(docs), operator(wide)
