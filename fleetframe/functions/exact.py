@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetframe.functions.numeric import _c
 
@@ -90,6 +90,41 @@ def rounded_mean_of(s: Column, n: Column, scale: int, digits: int) -> Column:
     return F.when(n > 0, F.when(s < 0, -q).otherwise(q) / float(10 ** digits))
 
 
+def _number(value: int) -> Column:
+    return F.lit(Decimal(value))
+
+
+def _nearest_mean(s: Column, n: Column) -> Column:
+    """The mean in units, rounded to a whole number (a long; 0 of no values)."""
+    n = F.greatest(n, _number(1).cast(WIDE))
+    half = F.call_function("div", F.abs(s) * _number(2) + n, n * _number(2))
+    return F.when(s < 0, -half).otherwise(half)
+
+
+def _around(mean: Column, s: Column, q: Column, n: Column) -> dict[str, Column]:
+    """Sums of the halves' products around ``mean``, and what it leaves of the sum."""
+    h, hh, hl, ll = (q.getField(k).cast(WIDE) for k in SQUARE_PARTS)
+    low = s - h * _number(1 << 32)
+    mean_h, mean_l = (v.cast(WIDE) for v in _halves(mean))
+    return {"hh": hh - _number(2) * mean_h * h + n * mean_h * mean_h,
+            "hl": hl - mean_h * low - mean_l * h + n * mean_h * mean_l,
+            "ll": ll - _number(2) * mean_l * low + n * mean_l * mean_l,
+            "rest": s - mean.cast(WIDE) * n}  # at most n / 2 to either side
+
+
+def _rough(around: dict[str, Column]) -> Column:
+    return (around["hh"].cast("double") * float(1 << 64) + around["hl"].cast("double") * float(1 << 33)
+            + around["ll"].cast("double"))
+
+
+def _deviation(around: dict[str, Column], rough: Column, n: Column, scale: int) -> Column:
+    rows, rest = n.cast("double"), around["rest"]
+    exact = around["hh"] * _number(1 << 64) + around["hl"] * _number(1 << 33) + around["ll"]
+    variance = F.when(rough * rows < 9e37, (exact * n - rest * rest).cast("double") / (rows * (rows - 1))) \
+        .otherwise((rough - rest.cast("double") * rest.cast("double") / rows) / (rows - 1))
+    return F.when(n > 1, F.sqrt(variance) / float(10 ** scale))
+
+
 def stddev_of(s: Column, q: Column, n: Column, scale: int) -> Column:
     """Sample standard deviation from the sums of ``unit_aggs`` (NULL below two values);
     ``q`` is a struct of the square parts.
@@ -100,23 +135,21 @@ def stddev_of(s: Column, q: Column, n: Column, scale: int) -> Column:
     no measure but a broken one has) it is added up in doubles, whose terms then have
     nothing left to cancel.
     """
-    n, s, h, hh, hl, ll = (c.cast(WIDE) for c in (n, s, *(q.getField(k) for k in SQUARE_PARTS)))
-    number = lambda v: F.lit(Decimal(v))
-    half = F.call_function("div", F.abs(s) * number(2) + n, n * number(2))  # |s| / n, rounded
-    mean = F.when(s < 0, -half).otherwise(half)
-    rest = s - mean.cast(WIDE) * n  # at most n / 2 to either side
-    low = s - h * number(1 << 32)
-    mean_h, mean_l = (v.cast(WIDE) for v in _halves(mean.cast("long")))
-    around_hh = hh - number(2) * mean_h * h + n * mean_h * mean_h
-    around_hl = hl - mean_h * low - mean_l * h + n * mean_h * mean_l
-    around_ll = ll - number(2) * mean_l * low + n * mean_l * mean_l
-    rows = n.cast("double")
-    rough = (around_hh.cast("double") * float(1 << 64) + around_hl.cast("double") * float(1 << 33)
-             + around_ll.cast("double"))
-    exact = around_hh * number(1 << 64) + around_hl * number(1 << 33) + around_ll
-    variance = F.when(rough * rows < 9e37, (exact * n - rest * rest).cast("double") / (rows * (rows - 1))) \
-        .otherwise((rough - rest.cast("double") * rest.cast("double") / rows) / (rows - 1))
-    return F.when(n > 1, F.sqrt(variance) / float(10 ** scale))
+    n, s = n.cast(WIDE), s.cast(WIDE)
+    around = _around(_nearest_mean(s, n), s, q, n)
+    return _deviation(around, _rough(around), n, scale)
+
+
+def with_stddev(df: DataFrame, name: str, s: Column, q: Column, n: Column, scale: int) -> DataFrame:
+    """``df`` with ``stddev_of`` as column ``name``, in steps: as one expression beside others
+    its generated code may be too long to compile."""
+    mean, rough, parts = f"__{name}_mean", f"__{name}_rough", {k: f"__{name}_{k}" for k in ("hh", "hl", "ll", "rest")}
+    n, s = n.cast(WIDE), s.cast(WIDE)
+    around = {k: F.col(c) for k, c in parts.items()}
+    out = df.withColumn(mean, _nearest_mean(s, n))
+    out = out.withColumns({parts[k]: c for k, c in _around(F.col(mean), s, q, n).items()})
+    out = out.withColumn(rough, _rough(around))
+    return out.withColumn(name, _deviation(around, F.col(rough), n, scale)).drop(mean, rough, *parts.values())
 
 
 def out_of_range(x, scale: int) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetframe.functions.exact import (
-    SQUARE_PARTS, mean_of, out_of_range, rounded_mean_of, stddev_of, sum_of, unit_aggs,
+    SQUARE_PARTS, mean_of, out_of_range, rounded_mean_of, sum_of, unit_aggs, with_stddev,
 )
 from fleetframe.functions.geo import route_key_columns
 from fleetframe.schema import DAILY_COLUMNS, ROUTE_COLUMNS, ROUTE_KEYS, TEMPORAL_COLUMNS
@@ -47,8 +47,8 @@ class _Exact:
     def rounded_mean(self, digits: int) -> Column:
         return rounded_mean_of(self._p("s"), self._p("n"), self.scale, digits)
 
-    def stddev(self) -> Column:
-        return stddev_of(self._p("s"), self._p("q"), self._p("n"), self.scale)
+    def with_stddev(self, agg: DataFrame, name: str) -> DataFrame:
+        return with_stddev(agg, name, self._p("s"), self._p("q"), self._p("n"), self.scale)
 
 
 def _exact_aggs(*measures: _Exact) -> list[Column]:
@@ -71,7 +71,7 @@ def vehicle_daily_stats(trips: DataFrame, now: Column | None = None) -> DataFram
         F.min("distance_km").alias("min_trip_distance_km"),
         F.max("max_speed_kmh").alias("max_speed_observed"),
         *_exact_aggs(dist, energy, dur, eff, speed, soc, gain))
-    return agg.select(
+    return dist.with_stddev(agg, "stddev_distance_km").select(
         "VehId", "trip_date", "total_trips",
         dist.total().alias("total_distance_km"),
         energy.total().alias("total_energy_consumption"),
@@ -80,7 +80,7 @@ def vehicle_daily_stats(trips: DataFrame, now: Column | None = None) -> DataFram
         speed.rounded_mean(2).alias("avg_speed_kmh"),
         soc.rounded_mean(2).alias("avg_battery_soc"),
         "max_trip_distance_km", "min_trip_distance_km",
-        dist.stddev().alias("stddev_distance_km"),
+        "stddev_distance_km",
         "max_speed_observed",
         gain.mean().alias("avg_elevation_gain_m"),
         _now(now).alias("processing_timestamp"),
@@ -116,7 +116,7 @@ def values_out_of_range(trips: DataFrame) -> DataFrame:
 def _route_report(agg: DataFrame, min_trips: int, now: Column | None) -> DataFrame:
     """Route columns from summed parts, ``trip_count`` and ``unique_vehicles``."""
     dist, energy, dur, eff, speed, gain = ROUTE_MEASURES
-    return agg.filter(F.col("trip_count") >= min_trips).select(
+    return energy.with_stddev(agg.filter(F.col("trip_count") >= min_trips), "stddev_energy").select(
         *ROUTE_KEYS, "trip_count",
         dist.rounded_mean(2).alias("avg_distance_km"),
         energy.rounded_mean(2).alias("avg_energy_consumption"),
@@ -124,7 +124,7 @@ def _route_report(agg: DataFrame, min_trips: int, now: Column | None) -> DataFra
         eff.rounded_mean(4).alias("avg_efficiency"),
         speed.rounded_mean(2).alias("avg_speed_kmh"),
         gain.mean().alias("avg_elevation_gain_m"),
-        energy.stddev().alias("stddev_energy"),
+        "stddev_energy",
         "unique_vehicles",
         _now(now).alias("processing_timestamp"),
     ).select(*ROUTE_COLUMNS)
@@ -146,13 +146,13 @@ def route_patterns(trips: DataFrame, min_trips: int = MIN_ROUTE_TRIPS,
 def _temporal_report(agg: DataFrame, now: Column | None) -> DataFrame:
     """Hour-of-week columns from summed parts and ``trip_count``."""
     dist, energy, speed, eff = TEMPORAL_MEASURES
-    return agg.select(
+    return energy.with_stddev(agg, "stddev_energy").select(
         *TEMPORAL_KEYS, "trip_count",
         dist.rounded_mean(2).alias("avg_distance_km"),
         energy.rounded_mean(2).alias("avg_energy_consumption"),
         speed.mean().alias("avg_speed_kmh"),
         eff.rounded_mean(4).alias("avg_efficiency"),
-        energy.stddev().alias("stddev_energy"),
+        "stddev_energy",
         _now(now).alias("processing_timestamp"),
     ).select(*TEMPORAL_COLUMNS)
 

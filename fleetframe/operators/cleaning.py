@@ -74,26 +74,31 @@ def clean_telemetry(raw: DataFrame, keep_extra: bool = False, rescue: bool = Fal
     missing = [k for k in TRIP_KEYS if k not in fields]
     if missing:
         raise ValueError(f"telemetry without trip key column(s) {missing}; columns: {sorted(fields)}")
-    out, entries = [], []
+    out, kept, sources = [], [], {}
     for raw_name, name in RAW_TO_CANONICAL.items():
         src = raw_name if raw_name in fields else (name if name in fields else None)
         target = SAMPLE_TYPES[name]
         if src is None:
             out.append(F.lit(None).cast(target).alias(name))
         else:
-            column = F.col(f"`{src}`")
-            typed = _typed(column, fields[src], target)
-            out.append(typed.alias(name))
-            entries.append(F.when(_lost(column, fields[src], typed), _entry(raw_name, column)))
-    if MALFORMED in fields:
-        entries.append(F.when(F.col(MALFORMED).isNotNull(), _entry(MALFORMED_KEY, F.col(MALFORMED))))
-    if rescue:
-        found = F.filter(F.array(*entries), lambda e: e.isNotNull())
-        out.append(F.when(F.size(found) > 0, F.to_json(F.map_from_entries(found))).alias(RESCUED))
+            out.append(_typed(F.col(f"`{src}`"), fields[src], target).alias(name))
+            sources[raw_name] = (name, src)
     if keep_extra:
         known = {*RAW_TO_CANONICAL, *SAMPLE_COLUMNS, RESCUED, MALFORMED}
-        out += [F.col(f"`{c}`") for c in raw.columns if c not in known]
-    return raw.select(*out)
+        kept = [c for c in raw.columns if c not in known]
+    if not rescue:
+        return raw.select(*out, *[F.col(f"`{c}`") for c in kept])
+    # typed once; the text that failed is then found beside the result (one projection for all
+    # of it would be typed twice, in code too long to compile)
+    texts = [F.col(f"`{src}`").alias(f"__text{i}") for i, (_, src) in enumerate(sources.values())]
+    malformed = F.col(MALFORMED) if MALFORMED in fields else F.lit(None).cast("string")
+    typed = raw.select(*out, *texts, malformed.alias(MALFORMED), *[F.col(f"`{c}`").alias(f"__kept{i}") for i, c in enumerate(kept)])
+    entries = [F.when(_lost(F.col(f"__text{i}"), fields[src], F.col(name)), _entry(raw_name, F.col(f"__text{i}")))
+               for i, (raw_name, (name, src)) in enumerate(sources.items())]
+    entries.append(F.when(F.col(MALFORMED).isNotNull(), _entry(MALFORMED_KEY, F.col(MALFORMED))))
+    found = typed.withColumn("__found", F.filter(F.array(*entries), lambda e: e.isNotNull()))
+    held = F.when(F.size("__found") > 0, F.to_json(F.map_from_entries("__found"))).alias(RESCUED)
+    return found.select(*SAMPLE_COLUMNS, held, *[F.col(f"__kept{i}").alias(c) for i, c in enumerate(kept)])
 
 
 def rescued_values(samples: DataFrame) -> DataFrame:

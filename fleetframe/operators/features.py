@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetframe.functions.buckets import distance_category, speed_category
-from fleetframe.functions.exact import SQUARE_PARTS, WIDE, mean_of, rounded_mean_of, stddev_of, unit_values, units
+from fleetframe.functions.exact import SQUARE_PARTS, WIDE, mean_of, rounded_mean_of, unit_values, units, with_stddev
 from fleetframe.functions.calendar import hour_cos, hour_sin, is_rush_hour, is_weekend
 from fleetframe.functions.numeric import guarded_ratio
 from fleetframe.operators.aggregates import with_route_key
@@ -65,10 +65,11 @@ def vehicle_history(trips: DataFrame, chunks: int | None = None, skew_safe: bool
     out = _history(trips, ["VehId"], VEHICLE_ORDER, VEHICLE_FRAME, values, chunks, skew_safe, profile)
     (es, en), (ns, nn), (ds, dn) = _parts("_ve"), _parts("_vn"), _parts("_vd")
     squares = F.struct(*[F.col(f"_vn_{k}").alias(k) for k in SQUARE_PARTS])
+    out = with_stddev(out, "vehicle_stddev_energy_last30", ns, squares, nn, 2)
     out = out.withColumns({
         "vehicle_avg_efficiency_last30": rounded_mean_of(es, en, 4, 4),
         "vehicle_avg_energy_last30": rounded_mean_of(ns, nn, 2, 2),
-        "vehicle_stddev_energy_last30": F.round(stddev_of(ns, squares, nn, 2), 2),
+        "vehicle_stddev_energy_last30": F.round("vehicle_stddev_energy_last30", 2),
         "vehicle_avg_distance_last30": rounded_mean_of(ds, dn, 2, 2),
     })
     return _drop_parts(out, "_ve", "_vn", "_vd")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetframe.functions.buckets import distance_category
 from fleetframe.functions.calendar import daynum_minute
-from fleetframe.functions.exact import SQUARE_PARTS, rounded_mean_of, stddev_of, sum_of, unit_values, units
+from fleetframe.functions.exact import SQUARE_PARTS, rounded_mean_of, sum_of, unit_values, units, with_stddev
 from fleetframe.operators import aggregates, features, history
 from fleetframe.operators.cleaning import RESCUED, clean_telemetry, rescued_counts
 from fleetframe.operators.joins import sized_for_broadcast
@@ -286,9 +286,10 @@ def _order_history(spark, sf_dir, profile=None):
         {"prev_order_count": present, **{f"_p{k}": v for k, v in price.items()}},
         wide={f"_p{k}" for k in ("s", *SQUARE_PARTS)}, profile=profile)
     s, n, q = F.col("_ps"), F.col("_pn"), F.struct(*[F.col(f"_p{k}").alias(k) for k in SQUARE_PARTS])
+    out = with_stddev(out, "prev_stddev_totalprice", s, q, n, 2)
     return out.select("o_orderkey", "o_orderpriority", "o_orderdate", "prev_order_count",
                       rounded_mean_of(s, n, 2, 2).alias("prev_avg_totalprice"),
-                      F.round(stddev_of(s, q, n, 2), 2).alias("prev_stddev_totalprice"))
+                      F.round("prev_stddev_totalprice", 2).alias("prev_stddev_totalprice"))
 
 
 @query

@@ -123,3 +123,18 @@ def test_long_vehicle_list_filters_samples_at_run_time(spark):
     finally:
         for k in confs:
             spark.conf.unset(k)
+
+
+def test_generated_code_compiles(spark):
+    """No projection is too long to compile (Spark would then interpret it, row by row)."""
+    from fleetframe.operators import aggregates
+    from fleetframe.session import materialize
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        for name in ("feature_table", "priority_order_history", "vehicle_daily_stats", "csv_rescued_samples"):
+            REGISTRY[name](spark, SF_TINY).collect()
+        trips = materialize(silver(spark, SF_TINY), "compiled")
+        aggregates.route_patterns_from_parts(materialize(aggregates.route_day_parts(trips), "compiled")).collect()
+        aggregates.temporal_patterns_from_parts(materialize(aggregates.temporal_day_parts(trips), "compiled")).collect()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
