@@ -162,14 +162,17 @@ def labelled_ids(labels: DataFrame, label_col: str, fold) -> DataFrame:
 
 
 def first_labelled(docs: DataFrame, labels: DataFrame, label_col: str, fold, rows_per_class: int,
-                   chars_per_class: int, columns: list[str]) -> DataFrame:
+                   chars_per_class: int, columns: list[str], plain_chars: int = 1 << 40,
+                   least_rows: int = 200) -> DataFrame:
     """A bounded, deterministic training sample: for each class the ``rows_per_class``
     labelled ids of smallest id hash that have a document, with their whole texts (a null
     text is an empty one).
 
     ``fold`` is a condition on ``doc_id``.  Where the texts of a class hold more than
     ``chars_per_class`` characters together, its longest ones are left out until they do
-    not (the shortest always stays, so a class with texts is never empty).  Of several
+    not (the shortest always stays, so a class with texts is never empty).  A label says
+    little about the words of a very long text: those over ``plain_chars`` characters are
+    taken, the shortest first, only where a class has fewer than ``least_rows`` texts.  Of several
     rows with one id the one of least text hash stands for it.
     """
     ids = labelled_ids(labels, label_col, fold)
@@ -187,7 +190,8 @@ def first_labelled(docs: DataFrame, labels: DataFrame, label_col: str, fold, row
     by_length = Window.partitionBy("label").orderBy("n", "doc_id")
     fits = rows.select("doc_id", "label", F.length("text").cast("long").alias("n")) \
         .withColumns({"at": F.row_number().over(by_length), "sum": F.sum("n").over(by_length)}) \
-        .where((F.col("at") == 1) | (F.col("sum") <= chars_per_class)).select("doc_id")
+        .where((F.col("at") == 1) | ((F.col("sum") <= chars_per_class) & (
+            (F.col("n") <= plain_chars) | (F.col("at") <= least_rows)))).select("doc_id")
     return rows.join(F.broadcast(fits), "doc_id")
 
 

@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fleetframe.llm.common import Plain, append_to_table, crc32_fold, first_labelled, read_table, utf8, blocks
 
 BITS, RANK = 14, 8
-#: Documented bounds of the training sample: rows of each class, and characters of their texts together.
+#: Documented bounds of the training sample: rows of each class, and characters of their texts together; longer
+#: texts than PLAIN_CHARS are taken only for a class with few others (``first_labelled``).
 ROWS_PER_CLASS, CHARS_PER_CLASS = 2000, 10_000_000
+PLAIN_CHARS = 20_000
 BLOCK = 1 << 18
 
 STATS = ["log_bytes", "log_words", "word_length", "upper", "digit", "symbol", "exclaim", "pipe", "stop_mark",
@@ -219,7 +221,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
     """Train on a bounded sample (``first_labelled``) of the rows where ``fold`` holds."""
     fold = F.lit(True) if fold is None else fold
     meta = docs if "n_chars" in docs.columns else docs.withColumn("n_chars", F.length("text"))
-    rows = first_labelled(meta, labels, label_col, fold, rows_per_class, chars_per_class, ["text", "n_chars"]) \
+    rows = first_labelled(meta, labels, label_col, fold, rows_per_class, chars_per_class, ["text", "n_chars"], PLAIN_CHARS) \
         .select("doc_id", "text", "n_chars", "label").toPandas().sort_values("doc_id")
     return train(rows["text"].tolist(), rows["n_chars"].fillna(0).to_numpy(), rows["label"].to_numpy())
 

@@ -22,8 +22,10 @@ from fleetframe.llm.common import append_to_table, crc32_fold, first_labelled, l
 
 BITS, DIM, SIZES = 17, 8, (3, 4, 5)
 WINDOW, STRIDE = 8, 4
-#: Documented bounds of the training sample: rows of each class, and characters of their texts together.
+#: Documented bounds of the training sample: rows of each class, and characters of their texts together; longer
+#: texts than PLAIN_CHARS are taken only for a class with few others (``first_labelled``).
 ROWS_PER_CLASS, CHARS_PER_CLASS = 1500, 8_000_000
+PLAIN_CHARS = 10_000
 #: Gradient steps that a small sample gets at least.
 LEAST_STEPS = 200
 #: Weight of the starting evidence.
@@ -221,7 +223,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", f
     """Train on a bounded sample (``first_labelled``) of the rows where ``fold`` holds;
     the score is calibrated at the class mix of all of them, so the bound does not move it."""
     fold = F.lit(True) if fold is None else fold
-    rows = first_labelled(docs, labels, label_col, fold, rows_per_class, chars_per_class, ["text"]) \
+    rows = first_labelled(docs, labels, label_col, fold, rows_per_class, chars_per_class, ["text"], PLAIN_CHARS) \
         .select("doc_id", "text", "label").toPandas().sort_values("doc_id")
     counts = dict(map(tuple, labelled_ids(labels, label_col, fold).groupBy("label").count().collect()))
     return train(rows["text"].tolist(), rows["label"].to_numpy(), class_counts=(counts.get(0, 0), counts.get(1, 0)))

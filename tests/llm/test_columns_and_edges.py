@@ -99,6 +99,8 @@ def test_sample_bounds(spark):
     few = _sample(docs, labels, "toxic", chars_per_class=120_000)
     assert sum(v[0] == 1 for v in few.values()) == 2 and sum(v[0] == 0 for v in few.values()) == 8
     assert sum(v[0] == 1 for v in _sample(docs, labels, "toxic", chars_per_class=100).values()) == 1
+    plain = _sample(docs, labels, "toxic", plain_chars=75, least_rows=3)  # label 0: 14 texts, 10 characters more each
+    assert sum(v[0] == 1 for v in plain.values()) == 3 and {i for i, v in plain.items() if v[0] == 0} == {20, 21, 6, 7}
     two = _sample(docs, labels, "toxic", rows_per_class=2)
     assert len(two) == 4 and _sample(docs.repartition(5), labels, "toxic", rows_per_class=2) == two
     assert _sample(docs.limit(0), labels, "toxic") == {}

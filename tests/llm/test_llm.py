@@ -474,3 +474,18 @@ def test_pipeline_stages(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
     final = {r.doc_id: (list(r.ids), r.decoded, r.round_trip) for r in corpus_pipeline.STAGES[-1][1](spark, docs_in, SF).collect()}
     assert final == {i: (sp.encode(t), t, True) for i, t in seen["benchmark_decontamination"].items()}
+
+
+def test_decontamination_rows(spark, docs):
+    """Every (document, item, distance, budget) of the query, by trying each item on each text."""
+    items = [(r.item_id, decontaminate.normal(r.text)) for r in common.read_table(spark, SF, "benchmark").collect() if r.text]
+    patterns = [(i, decontaminate.Pattern(t), int(0.1 * len(t))) for i, t in items]
+    want = set()
+    for r in docs.collect():
+        text = decontaminate.normal(r.text or "")
+        for item_id, pattern, budget in patterns:
+            distance = pattern.best(text)
+            if distance <= budget:
+                want.add((r.doc_id, item_id, distance, budget))
+    got = [tuple(r) for r in decontaminate.op9_decontaminate(spark, SF).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
