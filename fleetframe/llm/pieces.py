@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fleetframe.llm.common import append_to_table, ranges, read_table, text_blocks
+from fleetframe.llm.common import Plain, append_columns, append_to_table, ranges, read_table, text_blocks
 
 #: Default model file (a parameter of every function here).
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -320,6 +320,30 @@ def decode_pieces(tokens: DataFrame, ids_col: str = "ids", model: str = MODEL, t
     return append_to_table(tokens, lambda t: F.col(t.of(ids_col)), run, f"`{text_col}` string")
 
 
+def encode_and_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:
+    """The id column of every row with ids (array<int>), decoded (the text that the ids give)
+    and round_trip (whether it is the text again).  Both ways in one pass, block by block, so
+    that a task holds one tokenizer and the text of one batch.  Null reads as empty."""
+    shared = _shared_model(docs.sparkSession, model)
+
+    def run(column: pa.Array) -> list[pa.Array]:
+        tok = tokenizer(shared.value)
+        parts: list[list[pa.Array]] = [[], [], []]
+        for _, _, texts in text_blocks(column, 1 << 18):
+            ids, counts = tok.encode(texts)
+            ends = np.concatenate([[0], np.cumsum(counts)])
+            decoded = [tok.decode(ids[a:b]) if b > a else "" for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            parts[0].append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32())))
+            parts[1].append(pa.array(decoded, pa.string()))
+            parts[2].append(pa.array([d == t for d, t in zip(decoded, texts)], pa.bool_()))
+        return [pa.concat_arrays(p) for p in parts]
+
+    plain = Plain(docs)
+    source = plain.df.select(plain.of(id_col), plain.of(text_col))
+    out = append_columns(source, run, "ids array<int>, decoded string, round_trip boolean")
+    return out.withColumnRenamed(plain.of(id_col), id_col)
+
+
 def round_trips(docs: DataFrame, text_col: str = "text", model: str = MODEL) -> DataFrame:
     """Add n_tokens, ids_sha256 (of the ids as little-endian 32-bit numbers) and
     round_trip: whether decoding the ids gives the text again (a text that holds the
