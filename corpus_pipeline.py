@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fleetframe.llm.common import Plain, crc32_fold, materialize, read_table
 from fleetframe.llm.decontaminate import decontaminate
 from fleetframe.llm.lines import dedup_lines
-from fleetframe.llm.pieces import decode_pieces, encode_pieces
+from fleetframe.llm.pieces import encode_and_decode
 from fleetframe.llm.quality import fit_quality, score_quality
 from fleetframe.llm.simhash import drop_near_duplicates
 
@@ -47,10 +47,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and SentencePiece ids of every document, the text decoded from the
     ids, and whether it is the document's (null as empty) again."""
-    ids = encode_pieces(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    out = decode_pieces(ids, text_col="decoded")
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded",
-                      (F.col("decoded") == F.col("text")).alias("round_trip"))
+    out = encode_and_decode(docs)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded", "round_trip")
 
 
 STAGES = [
