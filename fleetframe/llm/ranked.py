@@ -6,10 +6,10 @@ occur in no item can add nothing, so a document keeps only those of the items.
 
 1. One pass over the texts writes each document's term count and its frequencies of the
    items' terms; corpus statistics are aggregated from all of these rows.
-2. The impact vectors of a partition are ordered by length and taken in buckets.  By
-   Cauchy-Schwarz an item is finished with the partition as soon as its length times
-   the bucket's greatest one falls short of the item's tenth best score.  Inside a
-   bucket the item's heaviest coordinates are summed from inverted lists; the others
+2. The impact vectors of a file are ordered by length and taken in buckets.  By
+   Cauchy-Schwarz an item passes over a bucket if its length times the bucket's greatest
+   one falls short of the item's tenth best score; a task may read several files, so a
+   longer bucket can follow.  Inside a bucket the item's heaviest coordinates are summed from inverted lists; the others
    add at most the product of the lengths that remain on both sides.  What survives this
    bound is scored exactly, in integers.
 3. The longest documents of all are searched first.  Their tenth best scores are lower
@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -82,22 +83,28 @@ class Bucket:
     def __init__(self, items: Items, ids: np.ndarray, lengths: np.ndarray, offsets: np.ndarray, term: np.ndarray,
                  impact: np.ndarray):
         self.ids, self.lengths, self.offsets, self.term, self.impact = ids, lengths, offsets, term, impact
-        by_term = np.argsort(term, kind="stable")
-        self.doc = np.repeat(np.arange(len(ids)), np.diff(offsets))[by_term]
-        self.value = items.root[term[by_term]] * impact[by_term]
-        self.lists, first = np.unique(term[by_term], return_index=True)
-        self.edges = np.concatenate([first, [len(term)]])
+        self.root = items.root
+
+    @cached_property
+    def inverted(self) -> tuple[np.ndarray, ...]:
+        """Terms, edges of their lists, and the documents and values in these; made for the first item that looks."""
+        by_term = np.argsort(self.term, kind="stable")
+        doc = np.repeat(np.arange(len(self.ids)), np.diff(self.offsets))[by_term]
+        value = self.root[self.term[by_term]] * self.impact[by_term]
+        lists, first = np.unique(self.term[by_term], return_index=True)
+        return lists, np.concatenate([first, [len(self.term)]]), doc, value
 
     def candidates(self, vector, length: float, least: float) -> np.ndarray:
         """Documents whose inner product may reach ``least``."""
         term, value, _ = vector
         near = int(np.searchsorted(-self.lengths, -least / length * (1 - 1e-9), side="right")) if length else 0
         partial, seen = np.zeros(len(self.ids)), np.zeros(len(self.ids))
+        lists, edges, docs, values = self.inverted
         for t, q in zip(term[:FOCUS].tolist(), value[:FOCUS].tolist()):
-            k = int(np.searchsorted(self.lists, t))
-            if k < len(self.lists) and self.lists[k] == t:
-                own = slice(self.edges[k], self.edges[k + 1])
-                doc, x = self.doc[own], self.value[own]
+            k = int(np.searchsorted(lists, t))
+            if k < len(lists) and lists[k] == t:
+                own = slice(edges[k], edges[k + 1])
+                doc, x = docs[own], values[own]
                 partial[doc] += q * x
                 seen[doc] += x * x
         rest = math.sqrt(float(value[FOCUS:] @ value[FOCUS:]))
@@ -117,18 +124,16 @@ class Bucket:
 
 
 def search(items: Items, buckets: Iterable[Bucket], least: np.ndarray, top: int):
-    """The ``top`` best documents of each item among the buckets (longest first): (item,
-    id, score) arrays.  ``least``: scores below which nothing is wanted, 1 or more."""
+    """The ``top`` best documents of each item among the buckets (in any order; the fewest
+    are looked into with the longest first): (item, id, score) arrays.  ``least``: scores
+    below which nothing is wanted, 1 or more."""
     no = np.zeros(0, np.int64)
     best = [(no, no) for _ in items.vectors]  # scores and ids, best first
     floor = least.astype(np.int64).copy()
-    active = np.flatnonzero(items.length > 0)
     weights = np.zeros(len(items.numbers), np.int64)
     for bucket in buckets:
-        active = active[items.length[active] * bucket.lengths[0] * (1 + 1e-9) + 1e-3 >= floor[active]]
-        if not len(active):
-            break
-        for i in active.tolist():
+        within = items.length * bucket.lengths[0] * (1 + 1e-9) + 1e-3 >= floor
+        for i in np.flatnonzero(within & (items.length > 0)).tolist():
             docs = bucket.candidates(items.vectors[i], items.length[i], float(floor[i]))
             if not len(docs):
                 continue
@@ -173,7 +178,7 @@ def frequency_rows(docs: DataFrame, id_col: str, text_col: str, shared) -> DataF
 
 
 def impact_rows(rows: DataFrame, shared, n_docs: int, n_terms: int) -> DataFrame:
-    """Rows (doc_id, length, term, impact), the longest vector first in every partition."""
+    """Rows (doc_id, length, term, impact), the longest vector first in every partition (so in every file, once written)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight = shared.value.weight.astype(float)
         for batch in batches:
@@ -182,11 +187,10 @@ def impact_rows(rows: DataFrame, shared, n_docs: int, n_terms: int) -> DataFrame
             term, tf = (batch.column(c).flatten().to_numpy() for c in (2, 3))
             counts = np.diff(batch.column(2).offsets.to_numpy())
             impact = impacts(tf, np.repeat(batch.column(1).to_numpy(), counts), n_docs, n_terms)
-            squares = np.concatenate([[0.0], np.cumsum(weight[term] * impact.astype(float) ** 2)])
-            ends = np.cumsum(counts)
-            # a running total loses digits: the length is rounded up by far more than that
-            length = np.sqrt(np.maximum(squares[ends] - squares[ends - counts], 0) + squares[-1] * 1e-13)
-            offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+            offsets = np.concatenate([[0], np.cumsum(counts)])
+            # each row on its own (none is empty): differences of a running total would lose digits
+            length = np.sqrt(np.add.reduceat(weight[term] * impact.astype(float) ** 2, offsets[:-1]))
+            offsets = pa.array(offsets, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(length), pa.ListArray.from_arrays(offsets, pa.array(term, pa.int32())),
                  pa.ListArray.from_arrays(offsets, pa.array(impact, pa.int64()))], ["doc_id", "length", "term", "impact"])
@@ -205,7 +209,7 @@ def _search_rows(vectors: DataFrame, shared, least: np.ndarray, top: int) -> Dat
                 for lo in range(0, batch.num_rows, BUCKET):
                     b = batch.slice(lo, BUCKET)
                     length = b.column(1).to_numpy()
-                    order = np.argsort(-length, kind="stable")  # a partition may read several ordered files
+                    order = np.argsort(-length, kind="stable")  # where one file ends and another begins
                     b = b.take(pa.array(order))
                     offsets = b.column(2).offsets.to_numpy().astype(np.int64)
                     yield Bucket(items, ids[lo:lo + BUCKET][order], length[order], offsets - offsets[0],

@@ -168,6 +168,49 @@ def test_ranked(spark, seed_rows, item_bytes, monkeypatch):
     assert ranked.ranked_search(df.limit(0), asked).count() == 0 and ranked.ranked_search(df, asked.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("seed_rows", [ranked.SEED_ROWS, 500])
+def test_ranked_several_files(spark, seed_rows, monkeypatch):
+    """A task that reads several files, each with its longest vectors first and then thousands of short ones."""
+    packed = lambda df, tag: common.materialize(df, tag).coalesce(1 if tag == "impact-vectors" else 4)
+    monkeypatch.setattr(ranked, "materialize", packed)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(40)]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randint(2, 40))) if rng.random() < 0.05 else "z " * 20 + "common") for i in range(24_000)]
+    items = [(i, " ".join(rng.choices(words, k=3)) + " common") for i in range(6)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = ranked.ranked_search(df, spark.createDataFrame(items, "item_id long, text string"), seed_rows=seed_rows)
+    assert sorted(map(tuple, got.collect()), key=str) == _ranking(docs, items)
+
+
+def test_search_any_order():
+    """Buckets of a task in any order find the same documents."""
+    items = ranked.Items(["rare common"])
+    rare, common_id = items.numbers[b"rare"], items.numbers[b"common"]
+    items.weigh(200, {rare: 20, common_id: 180})
+
+    def bucket(first, term, impact):
+        n = len(impact)
+        length = np.sqrt(float(items.weight[term])) * np.array(impact, float)
+        return ranked.Bucket(items, np.arange(first, first + n), length, np.arange(n + 1), np.full(n, term), np.array(impact, np.int64))
+
+    parts = [bucket(0, rare, [900_000 - 10 * k for k in range(10)]), bucket(10, common_id, [500_000] * 180),
+             bucket(190, rare, [900_005 - 10 * k for k in range(10)])]
+    for order in ([0, 1, 2], [2, 1, 0], [1, 0, 2]):
+        _, ids, _ = ranked.search(items, (parts[k] for k in order), np.ones(1, np.int64), 10)
+        assert ids.tolist() == [190, 0, 191, 1, 192, 2, 193, 3, 194, 4]
+
+
+def test_lengths_of_short_vectors(spark):
+    """A short vector after many long ones keeps all digits of its length."""
+    known = ranked.Items(["heavy light"])
+    known.weight, known.root = np.array([10_000, 1]), np.sqrt([10_000.0, 1.0])
+    rows = [(k, 100 + k % 7, [0], [50]) for k in range(5000)] + [(9000 + k, 100, [1], [1]) for k in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, n long, term array<int>, tf array<int>").coalesce(1)
+    got = ranked.impact_rows(df, spark.sparkContext.broadcast(known), 5000, 500_000).collect()
+    for r in got:
+        assert r.length == pytest.approx(math.sqrt(known.weight[r.term[0]]) * r.impact[0], rel=1e-14)
+
+
 def test_bounds_prune():
     """Few documents of a long list are scored exactly, and none that counts is lost."""
     rng = np.random.default_rng(3)
